@@ -10,10 +10,15 @@ after it.
    out: counts of hashed keys, combined before they are shuffled.
 2. The others get their context, words before and after the key, and are sorted by it: a
    distributed suffix array, dealt into ranges so that a frequent passage spreads over many
-   tasks. The first and last suffixes of a range are compared with those of its neighbours.
+   tasks.
 3. Each suffix is compared with its neighbours from other texts; common words extend the match
    right and left. If it has MIN_WORDS words, its place is marked as repeated. Marked places of
    a text merge to spans.
+4. Among three or more suffixes of a key the partner that shares most may not be a neighbour.
+   There the passages of MIN_WORDS words around the places are compared by hash: within a
+   task, and across tasks for the keys at the ends of a range. So the marked words are exactly
+   those of passages that two different texts have, but for collisions of 64-bit hashes (32-bit
+   for single words of context).
 
 Equal texts are compared once and all get the spans of their text; with MIN_WORDS words or more
 they are repeats of each other as a whole.
@@ -29,12 +34,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from marlstone.llm.batches import map_texts, raw, slices, window_hashes, word_hashes, words
+from marlstone.llm.batches import map_texts, mix, powers, raw, slices, window_hashes, word_hashes, words
 from marlstone.storage import materialize
 
 MIN_WORDS = 50
@@ -42,6 +46,8 @@ WINDOW, SEED_WORDS = 25, 5
 KEY_WORDS = MIN_WORDS - WINDOW + 1
 #: Words of context that are compared before a suffix and after its key.
 LEFT, RIGHT = WINDOW - 1, MIN_WORDS - KEY_WORDS + 1
+#: Suffixes of one key that a task compares together.
+HELD = 40_000
 _ALIKE = 40  # bits of a seed's hash that order it; the rest hold its place, so the first of equals is taken
 
 SPANS = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))
@@ -130,102 +136,115 @@ def _common(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.where(same.all(axis=1), a.shape[1], (~same).argmax(axis=1))
 
 
-_MARK = ["digest", "start", "end", "key", "right", "left", "at", "edge", "part"]
-_MARKS = "digest string, start int, end int, key long, right binary, left binary, at int, edge int, part int"
+_MARKS = "digest string, start int, end int, at int, window long"
+_NAMES = ["digest", "start", "end", "at", "window"]
 
 
-def _compare(key, right, left, at, one, two):
-    """start and end of the match of rows ``one`` with rows ``two``, at rows ``one``; whether it is long enough."""
+def _extended(rows: list[np.ndarray], one: np.ndarray, two: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Words that suffixes ``one`` have in common with suffixes ``two`` before and from their place; whether that is a passage."""
+    key, right, left, _, _ = rows
     r = np.where(key[one] == key[two], KEY_WORDS + _common(right[one], right[two]), 0)
     l = np.where(r > 0, _common(left[one], left[two]), 0)
-    return at[one] - l, at[one] + r, r + l >= MIN_WORDS
+    return l, r, r + l >= MIN_WORDS
+
+
+def _windows(rows: list[np.ndarray]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """For each number of words before the place: the hash of the passage of MIN_WORDS words that starts there, and where it fits."""
+    key, right, left, _, _ = rows
+    before = np.concatenate([np.zeros((len(key), 1), np.uint64), np.cumsum(left.astype(np.uint64) * powers(LEFT), axis=1, dtype=np.uint64)], axis=1)
+    after = np.concatenate([np.zeros((len(key), 1), np.uint64), np.cumsum(right.astype(np.uint64) * powers(RIGHT), axis=1, dtype=np.uint64)], axis=1)
+    room_before, room_after = (np.where((x != 0).all(axis=1), x.shape[1], (x == 0).argmax(axis=1)) for x in (left, right))
+    for l in range(WINDOW):
+        m = MIN_WORDS - KEY_WORDS - l
+        h = mix(mix(key.view(np.uint64)) + mix(before[:, l] + np.uint64(l)) * np.uint64(3) + mix(after[:, m]) * np.uint64(5))
+        yield l, h, (room_before >= l) & (room_after >= m)
+
+
+def _in_two_texts(h: np.ndarray, text: np.ndarray) -> np.ndarray:
+    """Whether another text has the same hash."""
+    order = np.lexsort((text, h))
+    hs, ts = h[order], text[order]
+    new = np.concatenate([[True], hs[1:] != hs[:-1]])
+    first = np.flatnonzero(new)
+    last = np.append(first[1:], len(h)) - 1
+    out = np.zeros(len(h), bool)
+    out[order] = np.repeat(ts[first] != ts[last], last - first + 1)
+    return out
+
+
+def _matches(rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Start and end of each suffix's repeated words, end 0 where there are none; ``rows`` are sorted and hold whole groups of a key."""
+    key, _, _, digest, at = rows
+    n = len(key)
+    start, end = at.astype(np.int64).copy(), np.zeros(n, np.int64)
+    # Neighbours: suffixes of one text in a row form a run, which meets the nearest suffix of another text on either side.
+    turn = np.concatenate([[True], (digest[1:] != digest[:-1]) | (key[1:] != key[:-1])])
+    where = np.flatnonzero(turn)
+    run = np.cumsum(turn) - 1
+    for other in (where[run] - 1, np.append(where[1:], n)[run]):
+        one = np.flatnonzero((other >= 0) & (other < n))
+        if len(one):
+            l, r, ok = _extended(rows, one, other[one])
+            one, l, r = one[ok], l[ok], r[ok]
+            start[one], end[one] = np.minimum(start[one], at[one] - l), np.maximum(end[one], at[one] + r)
+    # Among three or more, a partner with fewer words after the place but more before it may not be a neighbour.
+    group = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+    size = np.diff(np.append(group, n))
+    more = np.flatnonzero(np.repeat(size > 2, size))
+    if len(more):
+        part = [c[more] for c in rows]
+        text = np.unique(part[3], return_inverse=True)[1]
+        for l, h, fits in _windows(part):
+            hit = np.flatnonzero(fits)
+            hit = more[hit[_in_two_texts(h[hit], text[hit])]]
+            start[hit], end[hit] = np.minimum(start[hit], at[hit] - l), np.maximum(end[hit], at[hit] - l + MIN_WORDS)
+    return start, end
 
 
 def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A sorted range of suffixes to its marked places (edge null) and the suffixes at its edges (edge 0: first, 1: last)."""
-    number = TaskContext.get().partitionId()
-    carry: list | None = None
-    head: list = []
-    seen_first: set = set()
-
-    def columns(batch: pa.RecordBatch) -> list:
-        key = batch.column(0).to_numpy(zero_copy_only=False)
+    """A sorted range of suffixes to marked places (window null).
+
+    The first and the last key of a range may go on in other ranges, and a key's group may be
+    too large to hold; those suffixes also give the hashes of their passages, to be met elsewhere.
+    """
+    held: list[np.ndarray] | None = None
+    going_on: list[int] = []  # the range's first key, and the last one that was too large to hold
+
+    def columns(batch: pa.RecordBatch) -> list[np.ndarray]:
         right, left = (np.frombuffer(b"".join(batch.column(i).to_pylist()), ">u4").reshape(batch.num_rows, -1) for i in (1, 2))
-        return [key, right, left, np.array(batch.column(3).to_pylist(), object), batch.column(4).to_numpy(zero_copy_only=False)]
+        return [batch.column(0).to_numpy(zero_copy_only=False), right, left, np.array(batch.column(3).to_pylist(), object), batch.column(4).to_numpy(zero_copy_only=False)]
 
-    def edge(rows: list, side: int) -> pa.RecordBatch:
-        key, right, left, digest, at = rows
-        n = len(key)
-        none = pa.nulls(n, pa.int32())
-        return pa.RecordBatch.from_arrays([pa.array(digest.tolist()), none, none, pa.array(key), _fixed(right), _fixed(left), pa.array(at), pa.array([side] * n, pa.int32()), pa.array([number] * n, pa.int32())], names=_MARK)
+    def marked(rows: list[np.ndarray]) -> pa.RecordBatch:
+        start, end = _matches(rows)
+        ok = np.flatnonzero(end)
+        none = pa.nulls(len(ok), pa.int64())
+        return pa.RecordBatch.from_arrays([pa.array(rows[3][ok].tolist(), pa.string()), pa.array(start[ok].astype(np.int32)), pa.array(end[ok].astype(np.int32)), pa.array(rows[4][ok]), none], names=_NAMES)
 
-    def tail(rows: list) -> list:
-        """The last row, and the last of another text before it."""
-        other = np.flatnonzero(rows[3] != rows[3][-1])
-        pick = [int(other[-1])] * bool(len(other)) + [len(rows[3]) - 1]
-        return [c[pick] for c in rows]
+    def passages(rows: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        for l, h, fits in _windows(rows):
+            start = (rows[4][fits] - l).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([pa.array(rows[3][fits].tolist(), pa.string()), pa.array(start), pa.array((start + MIN_WORDS).astype(np.int32)), pa.array(rows[4][fits]), pa.array(h[fits].view(np.int64))], names=_NAMES)
+
+    def done(rows: list[np.ndarray], whole: bool) -> Iterator[pa.RecordBatch]:
+        yield marked(rows)
+        open_ = np.isin(rows[0], going_on) if whole else np.ones(len(rows[0]), bool)
+        if open_.any():
+            yield from passages([c[open_] for c in rows])
 
     for batch in batches:
-        if not batch.num_rows:
-            continue
-        rows = columns(batch)
-        if len(seen_first) < 2:
-            for i, d in enumerate(rows[3].tolist()):
-                if d not in seen_first:
-                    seen_first.add(d)
-                    head.append([c[i : i + 1] for c in rows])
-                    if len(seen_first) == 2:
-                        break
-        kept = 0 if carry is None else len(carry[0])
-        if carry is not None:
-            rows = [np.concatenate([a, b]) for a, b in zip(carry, rows)]
-        key, right, left, digest, at = rows
-        n = len(key)
-        # A run is suffixes of one text in a row; each meets the nearest of another text on either side.
-        turn = np.concatenate([[True], digest[1:] != digest[:-1]])
-        before = np.maximum.accumulate(np.where(turn, np.arange(n), 0)) - 1
-        nxt = np.full(n, n)
-        where = np.flatnonzero(turn)
-        run = np.cumsum(turn) - 1
-        nxt = np.append(where[1:], n)[run]
-        for other in (before, nxt):
-            one = np.flatnonzero((other >= 0) & (other < n))
-            if len(one):
-                start, end, ok = _compare(key, right, left, at, one, other[one])
-                if ok.any():
-                    m = int(ok.sum())
-                    none = pa.nulls(m, pa.binary())
-                    yield pa.RecordBatch.from_arrays([pa.array(digest[one][ok].tolist()), pa.array(start[ok].astype(np.int32)), pa.array(end[ok].astype(np.int32)), pa.nulls(m, pa.int64()), none, none, pa.nulls(m, pa.int32()), pa.nulls(m, pa.int32()), pa.nulls(m, pa.int32())], names=_MARK)
-        carry = _last_runs(rows)
-    if carry is not None:
-        yield edge([np.concatenate([h[i] for h in head]) for i in range(5)], 0)
-        yield edge(tail(carry), 1)
-
-
-def _last_runs(rows: list) -> list:
-    """The rows of the last run and the one before it: later rows may still meet them."""
-    digest = rows[3]
-    other = np.flatnonzero(digest != digest[-1])
-    first = int(other[-1]) if len(other) else 0
-    return [c[first:].copy() for c in rows]
-
-
-def _across(edges: list) -> list[tuple[str, int, int]]:
-    """Matches between the last suffixes of a range and the first of the next one that has any."""
-    by: dict[int, dict[int, list]] = {}
-    for e in edges:
-        by.setdefault(e.part, {}).setdefault(e.edge, []).append(e)
-    out, parts = [], sorted(by)
-    for p, q in zip(parts, parts[1:]):
-        for a in by[p].get(1, []):
-            for b in by[q].get(0, []):
-                if a.digest != b.digest and a.key == b.key:
-                    rows = [np.array([a.key, b.key]), *(np.stack([np.frombuffer(x[f], ">u4") for x in (a, b)]) for f in ("right", "left")), np.array([a.at, b.at])]
-                    for x, one, two in ((a, [0], [1]), (b, [1], [0])):
-                        start, end, ok = _compare(*rows, np.array(one), np.array(two))
-                        if ok[0]:
-                            out.append((x.digest, int(start[0]), int(end[0])))
-    return out
+        for lo in range(0, batch.num_rows, HELD // 4):
+            rows = columns(batch.slice(lo, HELD // 4))
+            going_on = going_on or [rows[0][0]]
+            rows = rows if held is None else [np.concatenate(x) for x in zip(held, rows)]
+            cut = int(np.searchsorted(rows[0] == rows[0][-1], True))  # where the last key's group begins
+            if cut:
+                yield from done([c[:cut] for c in rows], True)
+            held = [c[cut:] for c in rows]
+            if len(held[0]) > HELD:
+                yield from done(held, False)
+                going_on, held = [going_on[0], held[0][0]], None
+    if held is not None:
+        yield from done(held, False)
 
 
 def repeated_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -248,10 +267,10 @@ def repeated_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     order = ["key", "right", "left", "digest", "at"]
     ordered = suffixes.select(*order).repartitionByRange(*order).sortWithinPartitions(*order)
     marks = materialize(ordered.mapInArrow(_neighbours, _MARKS), "suffix-marks")
-    more = _across(marks.where("edge is not null").collect())
-    spans = marks.where("edge is null").select("digest", "start", "end")
-    if more:
-        spans = spans.union(docs.sparkSession.createDataFrame(more, "digest string, start int, end int"))
+    spans = marks.where("window is null").select("digest", "start", "end")
+    met = marks.where("window is not null")
+    twice = met.groupBy("window").agg(F.min("digest").alias("a"), F.max("digest").alias("b")).where(F.col("a") != F.col("b")).select(F.col("window").alias("w"))
+    spans = spans.union(met.join(twice, F.col("window") == F.col("w"), "left_semi").groupBy("digest", "at").agg(F.min("start").alias("start"), F.max("end").alias("end")).select("digest", "start", "end"))
     spans = spans.groupBy("digest").agg(F.collect_set(F.struct("start", "end")).alias("places"))
     merged = spans.select("digest", _merge(F.array_sort("places")).alias("merged"))
     whole = F.array(F.struct(F.lit(0).cast("long").alias("start"), F.col("n_words").alias("end")))
