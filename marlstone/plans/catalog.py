@@ -1,9 +1,816 @@
-"""The registered queries and their SQL."""
+"""The registered queries of the corpus operators, each with its SQL where SQL can express it."""
 
+from __future__ import annotations
 
-def queries() -> dict:
-    return {}
+from collections.abc import Callable
 
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-def oracle_sql() -> dict:
-    return {}
+from marlstone.functions.links import link_id, link_kind
+from marlstone.functions.text import COMMON_WORDS, common_word_rate, looks_like_words, normalize, semester_code
+from marlstone.operators import agreement, evidence, exports, merge, neardup, quality, report, search, upsert, validate
+from marlstone.plans.views import documents, scores, sections, with_views
+from marlstone.schemas import SCALES
+from marlstone.sources.pages import TableRows, is_cut, option_codes
+from marlstone.storage import table
+
+Query = Callable[[SparkSession, str], DataFrame]
+_QUERIES: dict[str, Query] = {}
+_SQL: dict[str, str] = {}
+
+
+def _query(sql: str | None = None) -> Callable[[Query], Query]:
+    def put(f: Query) -> Query:
+        _QUERIES[f.__name__] = f
+        if sql is not None:
+            _SQL[f.__name__] = sql
+        return f
+
+    return put
+
+
+def queries() -> dict[str, Query]:
+    return dict(_QUERIES)
+
+
+def oracle_sql() -> dict[str, str]:
+    return dict(_SQL)
+
+
+def _pct(n: str, total: str) -> str:
+    return f"CASE WHEN {total} <> 0 THEN CAST({n} AS DOUBLE) * 100.0 / CAST({total} AS DOUBLE) END"
+
+
+# -- distributions ---------------------------------------------------------------------
+
+_NAMES = """
+names AS (SELECT DISTINCT document_id, instructor FROM sections WHERE instructor IS NOT NULL AND document_id IN (SELECT document_id FROM scores))
+"""
+
+
+@_query(
+    with_views(
+        f"""
+{_NAMES.strip()},
+base AS (SELECT scale, count(*) FILTER (WHERE is_clear) AS documents, sum(n_sections) AS sections, (SELECT count(DISTINCT instructor) FROM names) AS instructors FROM scored GROUP BY 1),
+bins AS (SELECT scale, CAST(b AS INTEGER) AS score FROM scales, range(6) r(b)),
+hits AS (SELECT scale, score, count(*) AS documents, sum(n_sections) AS sections FROM scored WHERE is_clear GROUP BY 1, 2),
+who AS (SELECT scale, score, count(DISTINCT instructor) AS instructors FROM scored JOIN names USING (document_id) WHERE is_clear GROUP BY 1, 2),
+filled AS (
+    SELECT b.scale, b.score, unnest(['documents', 'sections', 'instructors']) AS denominator,
+           unnest([coalesce(h.documents, 0), coalesce(h.sections, 0), coalesce(w.instructors, 0)]) AS n,
+           unnest([base.documents, base.sections, base.instructors]) AS total
+    FROM bins b JOIN base USING (scale) LEFT JOIN hits h USING (scale, score) LEFT JOIN who w USING (scale, score)
+)
+SELECT scale, score, denominator, CAST(n AS BIGINT) AS n, CAST(total AS BIGINT) AS total, {_pct("n", "total")} AS pct FROM filled
+"""
+    )
+)
+def bin_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return report.bin_distribution(scores(spark, sf_dir), sections(spark, sf_dir))
+
+
+@_query(
+    with_views(
+        f"""
+{_NAMES.strip()},
+one AS (SELECT DISTINCT document_id, n_sections FROM scored)
+SELECT count(*) AS documents, CAST(sum(n_sections) AS BIGINT) AS sections, (SELECT count(DISTINCT instructor) FROM names) AS instructors FROM one
+"""
+    )
+)
+def policy_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return report.totals(scores(spark, sf_dir), sections(spark, sf_dir))
+
+
+@_query(
+    with_views(
+        f"""
+counted AS (
+    SELECT scale, count(*) FILTER (WHERE is_full) AS "full", count(*) FILTER (WHERE is_clear) AS clear,
+           count(*) FILTER (WHERE is_full AND status IN ('undecided', 'contradictory')) AS unclear
+    FROM scored GROUP BY 1
+)
+SELECT *, {_pct("unclear", '"full"')} AS unclear_pct FROM counted
+"""
+    )
+)
+def status_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return report.status_counts(scores(spark, sf_dir))
+
+
+@_query(
+    with_views(
+        f"""
+counted AS (
+    SELECT scale, count(*) FILTER (WHERE is_clear) AS clear,
+           count(*) FILTER (WHERE is_clear AND score > 0) AS addressed,
+           CAST(coalesce(sum(n_sections) FILTER (WHERE is_clear AND score > 0), 0) AS BIGINT) AS addressed_sections,
+           CAST(sum(n_sections) AS BIGINT) AS all_sections,
+           count(*) FILTER (WHERE is_clear AND score IN (4, 5)) AS strict,
+           count(*) FILTER (WHERE is_clear AND score = 3) AS middle,
+           count(*) FILTER (WHERE is_clear AND score IN (1, 2)) AS permissive
+    FROM scored GROUP BY 1
+)
+SELECT *, {_pct("addressed", "clear")} AS addressed_pct, {_pct("addressed_sections", "all_sections")} AS section_pct,
+       {_pct("strict", "addressed")} AS strict_pct, {_pct("middle", "addressed")} AS middle_pct, {_pct("permissive", "addressed")} AS permissive_pct
+FROM counted
+"""
+    )
+)
+def addressed_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return report.addressed_shares(scores(spark, sf_dir), sections(spark, sf_dir))
+
+
+@_query(
+    with_views(
+        f"""
+counted AS (
+    SELECT scale, count(*) FILTER (WHERE is_full) AS "full", count(*) FILTER (WHERE is_full AND required) AS required,
+           CAST(coalesce(sum(n_sections) FILTER (WHERE is_full AND required), 0) AS BIGINT) AS required_sections,
+           CAST(sum(n_sections) AS BIGINT) AS all_sections
+    FROM scored GROUP BY 1
+)
+SELECT *, {_pct("required", '"full"')} AS required_pct, {_pct("required_sections", "all_sections")} AS section_pct FROM counted
+"""
+    )
+)
+def required_share(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return report.required_share(scores(spark, sf_dir), sections(spark, sf_dir))
+
+
+@_query(
+    with_views(
+        """
+groups AS (
+    SELECT DISTINCT instructor % 20 AS instructor, course, score, status, required
+    FROM sections JOIN scores USING (document_id) WHERE instructor IS NOT NULL AND scale = 'ai'
+)
+SELECT score, count(*) AS n_groups, count(*) FILTER (WHERE status = 'clear') AS n_clear FROM groups GROUP BY 1
+"""
+    )
+)
+def class_policy_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = sections(spark, sf_dir).withColumn("instructor", F.col("instructor") % 20)
+    return report.class_policy_groups(scores(spark, sf_dir), rows, "ai")
+
+
+@_query(
+    with_views(
+        f"""
+counted AS (
+    SELECT scale, count(*) AS addressed, count(*) FILTER (WHERE document_id % 17 = 0) AS contested,
+           count(*) FILTER (WHERE score >= 4 AND document_id % 17 <> 0) AS low,
+           count(*) FILTER (WHERE score >= 4) AS coded,
+           count(*) FILTER (WHERE score >= 4 OR document_id % 17 = 0) AS high
+    FROM scored WHERE is_clear AND score > 0 GROUP BY 1
+)
+SELECT *, {_pct("low", "addressed")} AS low_pct, {_pct("coded", "addressed")} AS coded_pct, {_pct("high", "addressed")} AS high_pct FROM counted
+"""
+    )
+)
+def contested_band(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = scores(spark, sf_dir)
+    return report.contested_band(s, s.where(F.col("document_id") % 17 == 0).select("document_id"))
+
+
+@_query(
+    with_views(
+        """
+rows AS (SELECT score, required FROM scored WHERE is_full AND scale = 'laptop')
+SELECT score, count(*) FILTER (WHERE required) AS "true", count(*) FILTER (WHERE NOT required) AS "false" FROM rows GROUP BY 1
+"""
+    )
+)
+def crosstab_score_required(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = scores(spark, sf_dir).where(report.full() & (F.col("scale") == "laptop"))
+    return report.crosstab(rows, "score", "required", [True, False])
+
+
+@_query(
+    with_views(
+        f"""
+pairs AS (SELECT a.scale, a.score AS a, b.score AS b FROM scores a JOIN scores2 b USING (document_id, scale)),
+counted AS (
+    SELECT scale, count(*) AS n, count(*) FILTER (WHERE a <> b) AS changed, count(*) FILTER (WHERE abs(a - b) >= 2) AS moved_2,
+           count(*) FILTER (WHERE a >= 4) AS strict_before, count(*) FILTER (WHERE a > 0) AS addressed_before,
+           count(*) FILTER (WHERE b >= 4) AS strict_after, count(*) FILTER (WHERE b > 0) AS addressed_after
+    FROM pairs GROUP BY 1
+)
+SELECT *, {_pct("changed", "n")} AS changed_pct, {_pct("strict_before", "addressed_before")} AS strict_before_pct, {_pct("strict_after", "addressed_after")} AS strict_after_pct FROM counted
+"""
+    )
+)
+def version_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return agreement.drift(scores(spark, sf_dir), scores(spark, sf_dir, 2))
+
+
+@_query(
+    with_views(
+        """
+newer AS (SELECT * FROM scores2 WHERE document_id % 3 = 0),
+both_ AS (SELECT * FROM newer UNION ALL SELECT s.* FROM scores s ANTI JOIN newer USING (document_id, scale))
+SELECT scale, score, count(*) AS n FROM both_ GROUP BY 1, 2
+"""
+    )
+)
+def version_overlay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    newer = scores(spark, sf_dir, 2).where(F.col("document_id") % 3 == 0)
+    return report.overlay(scores(spark, sf_dir), newer).groupBy("scale", "score").agg(F.count("*").alias("n"))
+
+
+# -- agreement -------------------------------------------------------------------------
+
+_PAIRS = "pairs AS (SELECT a.document_id, a.scale, a.score AS a, b.score AS b FROM scores a JOIN scores2 b USING (document_id, scale))"
+
+
+def _pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return agreement.paired(scores(spark, sf_dir), scores(spark, sf_dir, 2))
+
+
+@_query(
+    with_views(
+        f"""
+{_PAIRS},
+counted AS (SELECT scale, count(*) AS n, count(*) FILTER (WHERE a = b) AS exact, count(*) FILTER (WHERE abs(a - b) <= 1) AS within_1 FROM pairs GROUP BY 1)
+SELECT *, n - exact AS disagreements, {_pct("exact", "n")} AS exact_pct, {_pct("within_1", "n")} AS within_1_pct FROM counted
+"""
+    )
+)
+def agreement_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return agreement.rates(_pairs(spark, sf_dir))
+
+
+@_query(
+    f"""
+WITH pairs AS (
+    SELECT unnest(['quality', 'toxic']) AS field,
+           unnest([CASE WHEN doc_id % 7 <> 0 THEN quality END, toxic]) AS a,
+           unnest([CASE WHEN doc_id % 14 <> 0 THEN (quality + CASE WHEN doc_id % 5 = 0 THEN 1 ELSE 0 END) % 2 END, toxic]) AS b
+    FROM labels
+), counted AS (SELECT field, count(*) AS n, count(*) FILTER (WHERE a IS NOT DISTINCT FROM b) AS same FROM pairs GROUP BY 1)
+SELECT *, {_pct("same", "n")} AS same_pct FROM counted
+"""
+)
+def nominal_agreement(spark: SparkSession, sf_dir: str) -> DataFrame:
+    i, q, t = F.col("doc_id"), F.col("quality"), F.col("toxic")
+    other = F.when(i % 14 != 0, (q + F.when(i % 5 == 0, 1).otherwise(0)) % 2)
+    fields = F.array(F.struct(F.lit("quality").alias("field"), F.when(i % 7 != 0, q).alias("a"), other.alias("b")), F.struct(F.lit("toxic").alias("field"), t.alias("a"), t.alias("b")))
+    return agreement.nominal(table(spark, sf_dir, "labels").select(F.explode(fields).alias("f")).select("f.*"))
+
+
+@_query(with_views(f"{_PAIRS}\nSELECT document_id, scale, a, b FROM pairs WHERE abs(a - b) >= 2"))
+def wide_disagreements(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return agreement.wide(_pairs(spark, sf_dir))
+
+
+@_query(
+    with_views(
+        f"""
+{_PAIRS},
+o AS (SELECT scale, c, k, count(*) AS o FROM (SELECT scale, a AS c, b AS k FROM pairs UNION ALL SELECT scale, b, a FROM pairs) GROUP BY 1, 2, 3),
+v AS (SELECT scale, c AS v, sum(o) AS n_v FROM o GROUP BY 1, 2),
+w AS (SELECT *, sum(n_v) OVER (PARTITION BY scale ORDER BY v) AS upto, sum(n_v) OVER (PARTITION BY scale) AS n FROM v),
+grid AS (
+    SELECT x.scale, x.n, x.n_v AS nx, y.n_v AS ny, coalesce(o.o, 0) AS o,
+           (CASE WHEN x.v <= y.v THEN y.upto - x.upto + x.n_v ELSE x.upto - y.upto + y.n_v END) - (x.n_v + y.n_v) / 2.0 AS gap
+    FROM w x JOIN w y USING (scale) LEFT JOIN o ON o.scale = x.scale AND o.c = x.v AND o.k = y.v
+),
+sums AS (SELECT scale, CAST(max(n) AS DOUBLE) AS n, count(DISTINCT nx) AS vs, CAST(sum(o * gap * gap) AS DOUBLE) AS seen, CAST(sum(nx * ny * gap * gap) AS DOUBLE) AS chance FROM grid GROUP BY 1)
+SELECT scale, CAST(n / 2 AS BIGINT) AS n_units, round(CASE WHEN chance = 0 THEN 1.0 ELSE 1.0 - (seen / n) / (chance / (n * (n - 1))) END, 9) AS alpha FROM sums
+"""
+    )
+)
+def krippendorff_alpha(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return agreement.alpha_ordinal(_pairs(spark, sf_dir)).withColumn("alpha", F.round("alpha", 9))
+
+
+# -- ingest and merging ----------------------------------------------------------------
+
+
+@_query(
+    """
+SELECT sha256("text") AS content_sha256, min(doc_id) AS first_id, string_agg(CAST(doc_id AS VARCHAR), ',' ORDER BY doc_id) AS source_ids, count(*) AS copies
+FROM documents GROUP BY 1
+"""
+)
+def exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = merge.exact_copies(table(spark, sf_dir, "documents"), F.col("text"))
+    return found.withColumn("source_ids", F.array_join(F.transform("source_ids", lambda i: i.cast("string")), ","))
+
+
+@_query("SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE doc_id IS NOT NULL)")
+def resume_pending(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merge.pending(table(spark, sf_dir, "documents").select("doc_id"), table(spark, sf_dir, "labels"), "doc_id")
+
+
+@_query(
+    """
+WITH log AS (SELECT user_id, event_id AS seq, event_type, "value" FROM events),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY seq DESC) AS r FROM log)
+SELECT user_id, seq, event_type, "value" FROM ranked WHERE r = 1
+"""
+)
+def latest_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    log = table(spark, sf_dir, "events").select("user_id", F.col("event_id").alias("seq"), "event_type", "value")
+    return merge.last_wins(log.withColumn("at", F.col("seq")), "user_id", "at").drop("at")
+
+
+@_query(
+    """
+WITH log AS (SELECT user_id, event_id AS seq, event_type FROM events),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY seq) AS r FROM log)
+SELECT user_id, seq, event_type FROM ranked WHERE r = 1
+"""
+)
+def first_target(spark: SparkSession, sf_dir: str) -> DataFrame:
+    log = table(spark, sf_dir, "events").select("user_id", F.col("event_id").alias("seq"), "event_type")
+    return merge.first_wins(log.withColumn("at", F.col("seq")), "user_id", "at").drop("at")
+
+
+@_query(
+    """
+WITH files AS (SELECT doc_id, sha256("text") AS h, 0 AS kind, doc_id AS seq FROM documents WHERE doc_id % 3 <> 0),
+pages_ AS (SELECT doc_id, sha256("text") AS h, 1 AS kind, doc_id AS seq FROM documents WHERE doc_id % 3 = 0),
+log AS (SELECT * FROM files UNION ALL SELECT * FROM pages_)
+SELECT h AS content_sha256, CASE WHEN min(kind) = 0 THEN 'pdf' ELSE 'simple_syllabus' END AS source_kind,
+       string_agg(CAST(doc_id AS VARCHAR), ',' ORDER BY kind, seq) AS source_ids
+FROM log GROUP BY 1
+"""
+)
+def cross_source_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = table(spark, sf_dir, "documents").select("doc_id", F.sha2("text", 256).alias("sha256"), F.col("text"))
+    name, null = F.concat(F.col("doc_id").cast("string"), F.lit(".txt")), F.lit(None)
+    log = d.select(F.col("doc_id").cast("string").alias("doc_id"), "sha256", F.lit(True).alias("ok"), F.col("doc_id").alias("seq"), name.alias("text_path"), null.cast("timestamp").alias("fetched_at"), F.length("text").alias("chars"))
+    pdf = log.where(F.col("seq") % 3 != 0).withColumns({"bytes": null.cast("int"), "original_filename": null.cast("string")})
+    page = log.where(F.col("seq") % 3 == 0).withColumns({"url": null.cast("string"), "last_updated": null.cast("string")})
+    extractions = pdf.select("sha256", "seq", F.lit(1).alias("pages"), F.lit("text_layer").alias("tier"), "chars", null.cast("double").alias("chars_per_page"), "text_path")
+    texts = d.select(name.alias("path"), F.lit("").alias("text"))  # bodies are not part of this report
+    merged, _ = merge.build_documents(pdf, page, extractions, texts)
+    return merged.select("content_sha256", "source_kind", F.array_join("source_ids", ",").alias("source_ids"))
+
+
+@_query(
+    with_views(
+        """
+rows AS (SELECT department, count(*) AS n_sections, count(DISTINCT document_id) AS n_documents FROM sections JOIN docs ON docs.id = sections.document_id GROUP BY 1)
+SELECT * FROM rows
+"""
+    )
+)
+def syllabi_by_department(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = merge.syllabi(sections(spark, sf_dir), documents(spark, sf_dir).select("id"))
+    return rows.groupBy("department").agg(F.count("*").alias("n_sections"), F.countDistinct("document_id").alias("n_documents"))
+
+
+_UPSERT_SET = ["o_orderstatus", "o_totalprice", "o_orderpriority"]
+
+
+@_query(
+    """
+WITH target AS (SELECT * FROM orders WHERE o_orderkey % 4 <> 0),
+stage AS (
+    SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey % 6 = 0 THEN NULL ELSE o_orderstatus END AS o_orderstatus, o_totalprice,
+           o_orderdate, CASE WHEN o_orderkey % 10 = 0 THEN 'x' ELSE o_orderpriority END AS o_orderpriority
+    FROM orders WHERE o_orderkey % 2 = 0
+),
+joined AS (
+    SELECT coalesce(t.o_orderkey, s.o_orderkey) AS o_orderkey,
+           CASE WHEN s.o_orderkey IS NULL THEN 'kept' WHEN t.o_orderkey IS NULL THEN 'inserted'
+                WHEN t.o_orderstatus IS DISTINCT FROM s.o_orderstatus THEN 'updated' ELSE 'unchanged' END AS change_kind,
+           t.o_orderstatus AS ts, s.o_orderstatus AS ss, t.o_totalprice AS tt, s.o_totalprice AS st, t.o_orderpriority AS tp, s.o_orderpriority AS sp
+    FROM target t FULL JOIN stage s ON t.o_orderkey = s.o_orderkey
+)
+SELECT o_orderkey, change_kind,
+       CASE WHEN change_kind IN ('inserted', 'updated') THEN ss ELSE ts END AS o_orderstatus,
+       CASE WHEN change_kind IN ('inserted', 'updated') THEN st ELSE tt END AS o_totalprice,
+       CASE WHEN change_kind IN ('inserted', 'updated') THEN sp ELSE tp END AS o_orderpriority
+FROM joined
+"""
+)
+def upsert_changed_only(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = table(spark, sf_dir, "orders")
+    k = F.col("o_orderkey")
+    stage = o.where(k % 2 == 0).withColumn("o_orderstatus", F.when(k % 6 != 0, F.col("o_orderstatus"))).withColumn("o_orderpriority", F.when(k % 10 == 0, "x").otherwise(F.col("o_orderpriority")))
+    out = upsert.upsert(o.where(k % 4 != 0), stage, ["o_orderkey"], _UPSERT_SET, ["o_orderstatus"])
+    return out.select("o_orderkey", upsert.CHANGE, *_UPSERT_SET)
+
+
+# -- text quality ----------------------------------------------------------------------
+
+_RATE = "greatest({})".format(
+    ", ".join(
+        "(" + " + ".join(f"(length(lo) - length(replace(lo, '{w}', ''))) / {len(w)}.0" for w in words) + ")"
+        for words in COMMON_WORDS.values()
+    )
+)
+
+
+@_query(
+    f"""
+WITH d AS (SELECT doc_id, lower("text") AS lo, length("text") AS n FROM documents)
+SELECT doc_id, round({_RATE} / (n / 1000.0), 6) AS rate, CASE WHEN n < 500 THEN true ELSE {_RATE} / (n / 1000.0) >= 3.0 END AS looks_like_words FROM d
+"""
+)
+def word_likeness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = F.col("text")
+    return table(spark, sf_dir, "documents").select("doc_id", F.round(common_word_rate(t), 6).alias("rate"), looks_like_words(t).alias("looks_like_words"))
+
+
+_TIERS = f"""
+d AS (SELECT doc_id, "text" AS t, lower("text") AS lo, length("text") AS n, 1 + doc_id % 5 AS pages FROM documents),
+s AS (SELECT *, length(regexp_replace(t, '^\\s+|\\s+$', '', 'g')) AS chars FROM d),
+f AS (SELECT *, chars / CAST(pages AS DOUBLE) >= 200 AS dense, CASE WHEN n < 500 THEN true ELSE {_RATE} / (n / 1000.0) >= 3.0 END AS wordy FROM s),
+tiers AS (
+    SELECT doc_id, CASE WHEN doc_id % 41 = 0 THEN 'encrypted' WHEN dense AND wordy THEN 'text_layer' WHEN doc_id % 2 = 0 THEN 'ocr' ELSE 'failed' END AS tier,
+           doc_id % 41 <> 0 AND dense AND NOT wordy AS garbled_text_layer, chars AS layer_chars
+    FROM f
+)
+"""
+
+
+def _extracted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    i = F.col("doc_id")
+    rows = table(spark, sf_dir, "documents").withColumns({"pages": (1 + i % 5).cast("int"), "recognized": F.when(i % 2 == 0, F.col("text")), "locked": i % 41 == 0})
+    return quality.extraction(rows, "text", "pages", "recognized", "locked")
+
+
+@_query(f"WITH {_TIERS.strip()}\nSELECT doc_id, tier, garbled_text_layer, CASE WHEN tier IN ('text_layer', 'ocr') THEN CAST(layer_chars AS INTEGER) END AS chars FROM tiers")
+def extraction_tier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _extracted(spark, sf_dir).select("doc_id", "tier", "garbled_text_layer", "chars")
+
+
+@_query(
+    f"""
+WITH {_TIERS.strip()},
+counted AS (SELECT tier, count(*) AS n, CAST(coalesce(sum(CASE WHEN tier IN ('text_layer', 'ocr') THEN layer_chars END), 0) AS BIGINT) AS chars FROM tiers GROUP BY 1)
+SELECT *, chars // n AS avg_chars FROM counted
+"""
+)
+def tier_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.tier_counts(_extracted(spark, sf_dir))
+
+
+@_query(f"WITH {_TIERS.strip()}\nSELECT CASE WHEN doc_id % 97 = 0 THEN 'quarantined' ELSE tier END AS outcome, count(*) AS n, (SELECT count(*) FROM tiers) AS total FROM tiers GROUP BY 1")
+def extraction_accounting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.accounting(_extracted(spark, sf_dir), F.when(F.col("doc_id") % 97 == 0, "quarantined").otherwise(F.col("tier")))
+
+
+@_query(
+    r"""
+WITH links AS (SELECT page_id, CASE page_id % 4 WHEN 0 THEN 'https://x.simplesyllabus.com/doc/' || page_id || '/' WHEN 1 THEN url || '/download/' || page_id || '/' WHEN 2 THEN url END AS href FROM pages)
+SELECT page_id, CASE WHEN contains(href, 'simplesyllabus.com') THEN 'view_simplesyllabus' WHEN regexp_matches(href, '/download/\d+/') THEN 'download_pdf' ELSE 'none' END AS kind,
+       CASE WHEN contains(href, 'simplesyllabus.com') THEN split_part(rtrim(href, '/'), '/', -1) WHEN regexp_matches(href, '/download/\d+/') THEN regexp_extract(href, '/download/(\d+)/', 1) END AS doc_id
+FROM links
+"""
+)
+def link_classification(spark: SparkSession, sf_dir: str) -> DataFrame:
+    i, url = F.col("page_id"), F.col("url")
+    href = F.when(i % 4 == 0, F.concat(F.lit("https://x.simplesyllabus.com/doc/"), i, F.lit("/"))).when(i % 4 == 1, F.concat(url, F.lit("/download/"), i, F.lit("/"))).when(i % 4 == 2, url)
+    return table(spark, sf_dir, "pages").select("page_id", link_kind(href).alias("kind"), link_id(href).alias("doc_id"))
+
+
+@_query(
+    """
+WITH links AS (SELECT page_id, CASE WHEN page_id % 3 = 0 THEN 'download_pdf' ELSE 'none' END AS kind, CASE WHEN page_id % 3 = 0 THEN CAST(page_id % 50 AS VARCHAR) END AS doc_id FROM pages)
+SELECT kind, count(*) AS n_sections, count(DISTINCT doc_id) AS n_targets FROM links GROUP BY 1
+"""
+)
+def manifest_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    i = F.col("page_id")
+    href = F.when(i % 3 == 0, F.concat(F.lit("/download/"), (i % 50).cast("string"), F.lit("/")))
+    return merge.summary_by_kind(table(spark, sf_dir, "pages").select(link_kind(href).alias("kind"), link_id(href).alias("doc_id")))
+
+
+@_query(
+    """
+WITH l AS (SELECT o_orderkey, CAST(year(o_orderdate) AS VARCHAR) || ' ' || CASE WHEN month(o_orderdate) < 6 THEN 'Spring' WHEN month(o_orderdate) < 9 THEN 'Summer' ELSE 'Fall' END AS label FROM orders)
+SELECT o_orderkey, label, CAST(CAST(split_part(label, ' ', 1) AS INTEGER) * 10 + CASE lower(split_part(label, ' ', 2)) WHEN 'spring' THEN 2 WHEN 'summer' THEN 6 ELSE 9 END AS INTEGER) AS code FROM l
+"""
+)
+def semester_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    month = F.month("o_orderdate")
+    season = F.when(month < 6, "Spring").when(month < 9, "Summer").otherwise("Fall")
+    label = F.concat_ws(" ", F.year("o_orderdate").cast("string"), season)
+    return table(spark, sf_dir, "orders").select("o_orderkey", label.alias("label")).withColumn("code", semester_code(F.col("label")))
+
+
+# -- evidence and validation -----------------------------------------------------------
+
+
+@_query(
+    r"""
+WITH n AS (SELECT doc_id, lower(trim(regexp_replace(regexp_replace("text", '-\s*', '', 'g'), '\s+', ' ', 'g'))) AS b FROM documents),
+q AS (SELECT item_id, lower(trim(regexp_replace(regexp_replace("text", '-\s*', '', 'g'), '\s+', ' ', 'g'))) AS q FROM benchmark),
+hit AS (SELECT item_id, count(*) AS n_documents, min(doc_id) AS first_document FROM n JOIN q ON contains(b, q) GROUP BY 1)
+SELECT q.item_id, coalesce(n_documents, 0) AS n_documents, first_document FROM q LEFT JOIN hit USING (item_id)
+"""
+)
+def quote_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark passages in documents, after normalizing both: candidates share their first three words."""
+    quotes = table(spark, sf_dir, "benchmark").select("item_id", normalize(F.col("text")).alias("q")).where("q <> ''")
+    bodies = table(spark, sf_dir, "documents").select("doc_id", normalize(F.col("text")).alias("b"))
+    # A passage starts inside a word of the body at worst, so its second to fourth words are whole there.
+    words = F.split("q", " ")
+    keyed = quotes.withColumn("k", F.when(F.size(words) > 4, F.array_join(F.slice(words, 2, 3), " ")))
+    w = F.split("b", " ")
+    rows = F.arrays_zip(w.alias("x"), F.slice(w, 2, 1 << 30).alias("y"), F.slice(w, 3, 1 << 30).alias("z"))
+    grams = bodies.select("doc_id", F.explode(F.array_distinct(F.transform(rows, lambda r: F.concat_ws(" ", r["x"], r["y"], r["z"])))).alias("k"))
+    near = grams.join(keyed.where(F.col("k").isNotNull()), "k").select("doc_id", "item_id", "q").distinct()
+    hits = near.join(bodies, "doc_id").where(F.contains("b", "q")).select("item_id", "doc_id")
+    short = F.broadcast(keyed.where(F.col("k").isNull()).select("item_id", "q").limit(10_000))
+    hits = hits.union(bodies.join(short, F.contains("b", "q")).select("item_id", "doc_id"))
+    counts = hits.groupBy("item_id").agg(F.count("*").alias("n_documents"), F.min("doc_id").alias("first_document"))
+    return table(spark, sf_dir, "benchmark").select("item_id").join(counts, "item_id", "left").fillna(0, ["n_documents"])
+
+
+def _planted(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Score rows whose evidence is cut from the documents, changed in some and foreign in others."""
+    docs = documents(spark, sf_dir)
+    i, body = F.col("id"), F.coalesce(F.col("body"), F.lit(""))
+    true, false = F.substring(body, 5, 60), F.concat(F.lit("qqq zzz "), i.cast("string"))
+    made = F.when(i % 5 == 0, false).when(i % 5 == 1, F.concat(true, F.lit("\n\n"), F.upper(F.substring(body, 20, 40)))).otherwise(true)
+    cols = {}
+    for k, s in enumerate(SCALES):
+        cols[f"{s}_score"] = ((i + k) % 6).cast("int")
+        cols[f"{s}_evidence"] = F.when((i + k) % 4 != 0, made)
+    policies = docs.select(i.alias("document_id"), *[c.alias(n) for n, c in cols.items()])
+    return policies, docs.select("id", "body")
+
+
+@_query()
+def evidence_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    policies, docs = _planted(spark, sf_dir)
+    return evidence.audit(policies, docs, SCALES)[0]
+
+
+@_query()
+def fuzzy_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quotes with a changed letter, on the documents that the labels name."""
+    labelled = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("document_id"))
+    bodies = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("document_id"), F.col("text").alias("body")).join(labelled, "document_id", "left_semi")
+    cut = F.substring("body", 1, 80)
+    quotes = bodies.select("document_id", F.concat(F.substring(cut, 1, 20), F.lit("q"), F.substring(cut, 22, 60)).alias("quote"))
+    return evidence.match(quotes, bodies).groupBy("how").agg(F.count("*").alias("n"))
+
+
+_RECORD_LABELS = "['not addressed', 'required', 'permitted', 'discouraged', 'restricted', 'prohibited']"
+
+
+@_query(
+    f"""
+WITH r AS (
+    SELECT l.doc_id, d.doc_id IS NOT NULL AS found, CASE WHEN d.doc_id % 97 <> 0 THEN d."text" END AS body,
+           CASE WHEN l.doc_id % 23 = 0 THEN 'partial' ELSE 'Full ' END AS completeness,
+           CASE WHEN l.doc_id % 19 = 0 THEN 'unknown' WHEN l.doc_id % 11 = 0 THEN 'undecided' ELSE 'clear' END AS status,
+           CASE WHEN l.doc_id % 17 = 0 THEN 9 ELSE CAST(l.doc_id % 6 AS INTEGER) END AS score,
+           l.doc_id % 13 AS m13, l.doc_id % 31 AS m31, l.doc_id % 7 AS m7, l.doc_id % 9 AS m9
+    FROM (SELECT doc_id + CASE WHEN doc_id % 37 = 0 THEN 1000000000 ELSE 0 END AS doc_id FROM labels) l LEFT JOIN documents d ON d.doc_id = l.doc_id
+), s AS (
+    SELECT *, CASE WHEN score <= 5 THEN {_RECORD_LABELS}[score + 1] ELSE '' END AS wanted,
+           CASE WHEN m13 = 0 THEN 'wrong' WHEN score <= 5 THEN upper({_RECORD_LABELS}[score + 1]) ELSE 'prohibited' END AS label,
+           m7 = 0 OR (score > 0 AND m7 <> 1) AS has_quote
+    FROM r
+)
+SELECT doc_id, CASE
+    WHEN NOT found THEN 'not a document we asked for'
+    WHEN coalesce(body, '') = '' THEN 'quarantined or empty document, refusing to score'
+    WHEN lower(trim(completeness)) NOT IN ('full', 'stub') THEN 'document_completeness not full/stub'
+    WHEN status NOT IN ('clear', 'undecided', 'contradictory') THEN 'phone status invalid'
+    WHEN score > 5 THEN 'phone score not 0-5'
+    WHEN lower(label) <> wanted THEN 'phone label does not match score'
+    WHEN m31 = 0 THEN 'phone confidence invalid'
+    WHEN m9 = 0 THEN 'phone required must be true/false'
+    WHEN score = 0 AND status = 'clear' AND has_quote THEN 'phone scored 0 and clear, but has evidence'
+    WHEN score = 0 AND status <> 'clear' AND NOT has_quote THEN 'phone unsettled but cites nothing'
+    WHEN score > 0 AND NOT has_quote THEN 'phone scored with no evidence'
+    END AS reason
+FROM s
+"""
+)
+def validation_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    i = F.col("document_id")
+    ids = table(spark, sf_dir, "labels").select((F.col("doc_id") + F.when(F.col("doc_id") % 37 == 0, 1_000_000_000).otherwise(0)).alias("document_id"))
+    docs = documents(spark, sf_dir).select("id", "body")
+    rows = ids.join(docs.select(F.col("id").alias("document_id"), F.substring("body", 3, 40).alias("cut")), "document_id", "left")
+    score = F.when(i % 17 == 0, 9).otherwise((i % 6).cast("int"))
+    labels = F.array(*[F.lit(x) for x in validate.DEVICE_LABELS])
+    named = F.when(i % 13 == 0, "wrong").when(score <= 5, F.upper(F.try_element_at(labels, score + 1))).otherwise("prohibited")
+    quoted = (i % 7 == 0) | ((score > 0) & (i % 7 != 1))
+    cols = {
+        "seq": i,
+        "document_completeness": F.when(i % 23 == 0, "partial").otherwise("Full "),
+        "coder_notes": F.lit(""),
+        "phone_score": score,
+        "phone_label": named,
+        "phone_status": F.when(i % 19 == 0, "unknown").when(i % 11 == 0, "undecided").otherwise("clear"),
+        "phone_confidence": F.when(i % 31 == 0, "sure").otherwise("High"),
+        "phone_required": F.when(i % 9 != 0, True),
+        "phone_evidence": F.when(quoted, F.array("cut")),
+    }
+    for s in ("laptop", "ai"):
+        cols |= {f"{s}_score": F.lit(0), f"{s}_label": F.lit("not addressed"), f"{s}_status": F.lit("clear"), f"{s}_confidence": F.lit("low"), f"{s}_required": F.lit(False), f"{s}_evidence": F.lit(None).cast("array<string>")}
+    checked = validate.check(rows.withColumns(cols).drop("cut"), docs)
+    return checked.select(i.alias("doc_id"), "reason")
+
+
+@_query(
+    """
+WITH files AS (SELECT 'batch_' || conv_id || '.json' AS file, conv_id % 9 <> 0 AS valid, count(*) AS n_records FROM conversations GROUP BY conv_id),
+wanted AS (SELECT DISTINCT 'batch_' || conv_id || '.json' AS file, turn + k AS document_id FROM conversations, range(2) r(k) WHERE conv_id % 5 <> 0),
+expected AS (SELECT file, count(*) FILTER (WHERE document_id % 4 <> 3) AS expected FROM wanted GROUP BY 1)
+SELECT file, valid, n_records, expected, CASE WHEN NOT valid THEN 'not valid JSON yet (still being written)' WHEN n_records < expected THEN n_records || ' of ' || expected || ' records - incomplete' END AS reason
+FROM files LEFT JOIN expected USING (file)
+"""
+)
+def batch_completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", F.concat(F.lit("batch_"), F.col("conv_id").cast("string"), F.lit(".json")).alias("file"))
+    files = turns.groupBy("file", (F.col("conv_id") % 9 != 0).alias("valid")).agg(F.count("*").alias("n_records"))
+    wanted = turns.where(F.col("conv_id") % 5 != 0).select("file", F.explode(F.array(F.col("turn"), F.col("turn") + 1)).alias("document_id"))
+    held = wanted.where(F.col("document_id") % 4 == 3).select("document_id")
+    return validate.batch_gate(files, wanted, held)
+
+
+@_query(with_views("pick AS (SELECT doc_id AS document_id FROM labels WHERE quality = 1)\nSELECT document_id, body FROM docs JOIN pick ON docs.id = pick.document_id WHERE body IS NOT NULL"))
+def export_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sample = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("document_id"), F.when(F.col("quality") == 1, "dev").otherwise("gold").alias("split"))
+    return exports.selected(documents(spark, sf_dir), sample, "dev")
+
+
+# -- near-duplicates -------------------------------------------------------------------
+
+_NEAR = """
+w AS (SELECT doc_id, list_filter(regexp_split_to_array(lower("text"), '[^a-z]+'), lambda x: x <> '') AS w FROM documents WHERE "text" IS NOT NULL),
+long_ AS (SELECT doc_id, w, len(w) AS n FROM w WHERE len(w) >= 120),
+sh AS (SELECT doc_id, n, w, unnest(range(1, n - 3)) AS i FROM long_),
+hs AS (SELECT DISTINCT doc_id, n, substr(md5(array_to_string(w[i:i+4], ' ')), 1, 16) AS h FROM sh),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY h) - 1 AS r FROM hs),
+sketch AS (SELECT doc_id, n, list(h ORDER BY h) AS s FROM ranked WHERE r < 256 GROUP BY 1, 2),
+cls AS (SELECT doc_id, n, s, min(doc_id) OVER (PARTITION BY n, s) AS rep FROM sketch),
+reps AS (SELECT doc_id, n, s FROM cls WHERE doc_id = rep),
+heads AS (SELECT doc_id, n, s, unnest(s[1:77]) AS h FROM reps),
+cand AS (SELECT DISTINCT a.doc_id AS a, b.doc_id AS b FROM heads a JOIN heads b ON a.h = b.h AND a.doc_id < b.doc_id AND greatest(a.n, b.n) <= least(a.n, b.n) * CAST(1.4 AS DOUBLE)),
+sim AS (
+    SELECT a, b, list_sort(list_distinct(list_concat(x.s, y.s)))[1:256] AS win, x.s AS sa, y.s AS sb
+    FROM cand JOIN reps x ON x.doc_id = a JOIN reps y ON y.doc_id = b
+),
+pairs AS (SELECT a, b, CAST(len(list_intersect(list_intersect(win, sa), sb)) AS DOUBLE) / len(win) AS similarity FROM sim),
+good AS (SELECT * FROM pairs WHERE similarity >= 0.7)
+"""
+_CLUSTERS = (
+    _NEAR
+    + """,
+edges AS (SELECT a AS x, b AS y FROM good UNION ALL SELECT b, a FROM good UNION ALL SELECT rep, doc_id FROM cls UNION ALL SELECT doc_id, rep FROM cls),
+reach AS (SELECT doc_id AS node, doc_id AS root FROM cls UNION SELECT y, root FROM reach JOIN edges ON node = x),
+comp AS (SELECT node AS doc_id, min(root) AS root FROM reach GROUP BY 1),
+clustered AS (SELECT * FROM (SELECT doc_id, root, count(*) OVER (PARTITION BY root) AS size FROM comp) WHERE size > 1)
+"""
+)
+
+
+def _linked(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    return neardup.linked(table(spark, sf_dir, "documents").select("doc_id", "text"), hash_name="md5_64")
+
+
+def _clustered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.clusters(*_linked(spark, sf_dir))
+
+
+@_query(f"WITH {_NEAR.strip()}\nSELECT a, b, similarity FROM good UNION ALL SELECT rep, doc_id, 1.0 FROM cls WHERE rep <> doc_id")
+def neardup_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of class representatives, and each other member of a class with its representative."""
+    pairs, members = _linked(spark, sf_dir)
+    return pairs.union(members.where(F.col("rep") != F.col("doc_id")).select("rep", "doc_id", F.lit(1.0)))
+
+
+@_query(f"WITH RECURSIVE {_CLUSTERS.strip()}\nSELECT doc_id, root, size FROM clustered")
+def neardup_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _clustered(spark, sf_dir)
+
+
+@_query(
+    f"""
+WITH RECURSIVE {_CLUSTERS.strip()},
+c AS (SELECT (SELECT count(*) FROM documents WHERE "text" IS NOT NULL) AS examined, count(DISTINCT root) AS clusters, count(*) AS inside, count(*) - count(DISTINCT root) AS redundant FROM clustered)
+SELECT *, {_pct("redundant", "examined")} AS redundant_pct, examined - redundant AS after_collapsing FROM c
+"""
+)
+def neardup_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.statistics(table(spark, sf_dir, "documents"), _clustered(spark, sf_dir))
+
+
+@_query(
+    f"""
+WITH RECURSIVE {_CLUSTERS.strip()},
+counts AS (SELECT root, source, count(*) AS n FROM clustered JOIN documents USING (doc_id) GROUP BY 1, 2),
+placed AS (SELECT *, row_number() OVER (PARTITION BY root ORDER BY n DESC, source) AS r FROM counts)
+SELECT root, source, n FROM placed WHERE r = 1
+"""
+)
+def cluster_modal_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.modal_value(_clustered(spark, sf_dir), table(spark, sf_dir, "documents").select("doc_id", "source"), "source")
+
+
+@_query(f"WITH RECURSIVE {_CLUSTERS.strip()}\nSELECT root, count(*) AS size FROM clustered GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10")
+def neardup_largest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.largest(_clustered(spark, sf_dir))
+
+
+@_query(
+    with_views(
+        f"""
+{_CLUSTERS.strip()},
+picked AS (SELECT * FROM scores WHERE status = 'clear'),
+a_ AS (SELECT scale, count(*) FILTER (WHERE score >= 4) AS strict_all, count(*) FILTER (WHERE score > 0) AS addressed_all FROM picked GROUP BY 1),
+b_ AS (SELECT scale, count(*) FILTER (WHERE score >= 4) AS strict_dedup, count(*) FILTER (WHERE score > 0) AS addressed_dedup FROM picked WHERE document_id NOT IN (SELECT doc_id FROM clustered WHERE doc_id <> root) GROUP BY 1),
+p AS (SELECT *, {_pct("strict_all", "addressed_all")} AS as_is_pct, {_pct("strict_dedup", "addressed_dedup")} AS dedup_pct FROM a_ JOIN b_ USING (scale))
+SELECT *, dedup_pct - as_is_pct AS difference FROM p
+"""
+    ).replace("WITH ", "WITH RECURSIVE ", 1)
+)
+def dedup_sensitivity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.dedup_sensitivity(scores(spark, sf_dir), _clustered(spark, sf_dir))
+
+
+@_query()
+def neardup_blake2b(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clusters by the BLAKE2b hash, with their labels."""
+    pairs, members = neardup.linked(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return neardup.groups(neardup.clusters(pairs, members))
+
+
+# -- search ----------------------------------------------------------------------------
+
+_TOKENS = """
+tok AS (SELECT doc_id, regexp_extract_all(lower(coalesce("text", '')), '[a-z0-9]+') AS t FROM documents)
+"""
+
+
+def _posted(spark: SparkSession, sf_dir: str, config: str = "simple") -> DataFrame:
+    return search.postings(table(spark, sf_dir, "documents").select("doc_id", "text"), config=config)
+
+
+@_query(f"WITH {_TOKENS.strip()}\nSELECT doc_id FROM tok WHERE list_contains(t, 'worthless')")
+def search_term(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.search(_posted(spark, sf_dir), "Worthless")
+
+
+@_query(f"WITH {_TOKENS.strip()}\nSELECT doc_id FROM tok WHERE (list_contains(t, 'idiot') AND list_contains(t, 'the') AND NOT list_contains(t, 'moron')) OR list_contains(t, 'token')")
+def search_boolean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.search(_posted(spark, sf_dir), "idiot the -moron or token")
+
+
+@_query(f"""WITH {_TOKENS.strip()}\nSELECT doc_id FROM tok WHERE contains(' ' || array_to_string(t, ' ') || ' ', ' of the ') AND list_contains(t, 'and')""")
+def search_phrase(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.search(_posted(spark, sf_dir), '"of the" and')
+
+
+@_query(
+    with_views(
+        f"""
+{_TOKENS.strip()},
+hit AS (SELECT doc_id FROM tok WHERE list_contains(t, 'token'))
+SELECT department, count(*) AS sections FROM sections WHERE document_id IN (SELECT doc_id FROM hit) GROUP BY 1
+"""
+    )
+)
+def search_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.rollup(search.search(_posted(spark, sf_dir), "token"), sections(spark, sf_dir))
+
+
+@_query(
+    with_views(
+        f"""
+{_TOKENS.strip()},
+hit AS (SELECT DISTINCT doc_id, word AS token FROM tok, (SELECT unnest(['token', 'worthless', 'idiot']) AS word) WHERE list_contains(t, word))
+SELECT token, count(*) AS documents, CAST(coalesce(sum(n_sections), 0) AS BIGINT) AS sections FROM hit LEFT JOIN held ON held.document_id = doc_id GROUP BY 1
+"""
+    )
+)
+def term_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.term_frequency(_posted(spark, sf_dir), ["token", "worthless", "idiot"], sections(spark, sf_dir))
+
+
+@_query()
+def search_english(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.search(_posted(spark, sf_dir, "english"), "tokens or insulting", "english")
+
+
+# -- pages -----------------------------------------------------------------------------
+
+
+@_query("""SELECT page_id, length(html) > 0 AS has_html, contains(html, 'Limiting results') AS cut, 0 AS n_codes FROM pages""")
+def page_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    html = F.col("html")
+    return table(spark, sf_dir, "pages").select("page_id", (F.length(html) > 0).alias("has_html"), is_cut(html).alias("cut"), F.size(option_codes(html)).alias("n_codes"))
+
+
+@_query()
+def page_table_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pages as rows of a listing each, taken apart again."""
+    spark.udtf.register("marlstone_table_rows", TableRows)
+    cells = F.concat(*[F.concat(F.lit("<td>"), F.lit(c), F.col("page_id").cast("string"), F.lit("</td>")) for c in "abcdef"], F.lit('<td><a href="'), F.col("url"), F.lit('">s</a></td><td></td>'))
+    page = F.concat(F.lit('<table id="results_table"><tbody><tr>'), cells, F.lit("</tr><tr><td>short</td></tr></tbody></table>"))
+    table(spark, sf_dir, "pages").select("page_id", page.alias("html")).createOrReplaceTempView("marlstone_page_rows")
+    return spark.sql("SELECT p.page_id, r.course, r.href FROM marlstone_page_rows p, LATERAL marlstone_table_rows(p.html) r")
