@@ -22,11 +22,9 @@ def read_jsonl(spark: SparkSession, path: str, schema: T.StructType, strict: boo
 
 def read_jsonl_counted(spark: SparkSession, path: str, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
     """Good rows, and the malformed lines as text."""
-    whole = T.StructType([*schema.fields, T.StructField("_bad", T.StringType())])
-    rows = spark.read.schema(whole).json(path, mode="PERMISSIVE", columnNameOfCorruptRecord="_bad")
-    lines = spark.read.text(path).where(F.trim("value") != "")
-    bad = lines.where(F.try_parse_json("value").isNull()).withColumnRenamed("value", "line")
-    return rows.where(F.col("_bad").isNull()).drop("_bad"), bad
+    lines = spark.read.text(path).where(F.trim("value") != "").withColumn("_ok", F.try_parse_json("value").isNotNull())
+    rows = lines.where("_ok").select(F.from_json("value", schema).alias("r")).select("r.*")
+    return rows, lines.where("not _ok").select(F.col("value").alias("line"))
 
 
 def with_sequence(records: DataFrame, by: list[str] | None = None) -> DataFrame:
