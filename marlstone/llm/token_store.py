@@ -20,6 +20,7 @@ documents to train on give an empty dictionary. Other columns are not read.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import zlib
@@ -33,15 +34,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from marlstone.llm.batches import slices
+from marlstone.llm.batches import raw, slices
+from marlstone.llm.chunks import Memo, Ragged, distinct
 
 #: Documents and id bytes that the dictionary is trained on at most, and its size.
 TRAIN_DOCS, TRAIN_BYTES, DICT_BYTES = 512, 8 << 20, 112 << 10
 #: Frames gathered into one block.
 BLOCK_BYTES = 1 << 20
 LEVEL = 3
-#: Chunks whose ids a worker remembers.
-MEMO = 300_000
+#: Chunks whose ids a worker remembers, about; and chunks encoded in a row.
+MEMO, ROW = 1_000_000, 256
 
 INDEX = np.dtype([("known", "u1"), ("doc_id", "<i8"), ("offset", "<u8"), ("size", "<u4"), ("n", "<u4")])
 
@@ -59,40 +61,84 @@ BLOCKS = T.StructType(
     ]
 )
 
-# Code points with the Unicode property White_Space.
-_SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
-# A byte-level pre-tokenizer never carries a token from other characters into following
-# white space, so these chunks are encoded alone with the same ids.
-_CHUNK = re.compile(f"[{_SPACE}]*[^{_SPACE}]+|[{_SPACE}]+")
+# White space of more than one byte in UTF-8, and that of one.
+_WIDE_SPACE = re.compile(rb"\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80")
+_SPACE = b" \t\n\x0b\x0c\r"
+_IS_SPACE = np.zeros(256, bool)
+_IS_SPACE[list(_SPACE)] = True
 
 
-def encoder(path: str) -> Callable[[list[str]], list[bytes]]:
-    """Texts to ids as little-endian bytes of the width the vocabulary needs.
+class Encoder:
+    """Texts to ids, by way of the distinct chunks among them.
 
-    A text's chunks are encoded by the tokenizers library once each and remembered.
+    A byte-level pre-tokenizer never carries a token from other characters into following
+    white space, so a chunk of white space and the characters after it has the same ids alone
+    as in its text. Each distinct chunk is encoded once by the tokenizers library, many of them
+    in a row, and the row's ids are dealt out again by the bytes they stand for. Other kinds of
+    tokenizers encode text by text.
     """
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
-
-    tokenizer = Tokenizer.from_file(path)
-    kind = id_type(path)
-    memo: dict[str, bytes] = {}
 
-    def encode(texts: list[str]) -> list[bytes]:
-        chunks = [_CHUNK.findall(t) for t in texts]
-        wanted = set().union(*chunks) - memo.keys()
-        if len(memo) + len(wanted) > MEMO:
-            memo.clear()
-            wanted = set().union(*chunks)
-        new = list(wanted)
-        for at in range(0, len(new), 4096):
-            part = new[at : at + 4096]
-            for chunk, found in zip(part, tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                memo[chunk] = np.array(found.ids, kind).tobytes()
-        get = memo.__getitem__
-        return [b"".join(map(get, c)) for c in chunks]
-
-    return encode
+    def __init__(self, path: str) -> None:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+        self.kind = id_type(path)
+        spec = json.loads(self.tokenizer.to_str())
+        pre = spec.get("pre_tokenizer") or {}
+        self.by_chunk = spec.get("normalizer") is None and pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space")
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.width = np.zeros(max(vocabulary.values(), default=0) + 1, np.int64)
+        for token, i in vocabulary.items():
+            self.width[i] = len(token)  # one character stands for a byte
+        self.memo = Memo(self.kind, MEMO)
+
+    def _encode(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _chunks(self, chunks: Ragged) -> Ragged:
+        """Ids of distinct chunks. Those that begin with a space and end in ASCII otherwise can stand in a row."""
+        first, last = chunks.flat[chunks.at[:-1]], chunks.flat[chunks.at[1:] - 1]
+        fits = (first == 32) & (last < 128) & ~_IS_SPACE[last]
+        row, alone = np.flatnonzero(fits), np.flatnonzero(~fits)
+        whole = chunks.take(alone)
+        data = whole.flat.tobytes()
+        single = [np.array(i, self.kind) for i in self._encode([data[a:b].decode() for a, b in zip(whole.at[:-1].tolist(), whole.at[1:].tolist())])]
+        joined = chunks.take(row)
+        data, edges = joined.flat.tobytes(), joined.at[::ROW].tolist() + [int(joined.at[-1])] * (len(row) % ROW > 0)
+        ids = np.concatenate([np.zeros(0, self.kind), *[np.array(i, self.kind) for i in self._encode([data[a:b].decode() for a, b in zip(edges, edges[1:])])]])
+        cuts = np.searchsorted(np.cumsum(self.width[ids]), joined.at[1:]) + 1
+        size = np.zeros(len(chunks), np.int64)
+        size[alone], size[row] = [len(x) for x in single], np.diff(cuts, prepend=0)
+        both = Ragged(np.concatenate([np.zeros(0, self.kind), *single, ids]), np.concatenate([[0], np.cumsum(np.concatenate([size[alone], size[row]]))]))
+        back = np.empty(len(chunks), np.int64)
+        back[np.concatenate([alone, row])] = np.arange(len(chunks))
+        return both.take(back)
+
+    def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the texts in a row, and where each text's begin (n + 1)."""
+        if not self.by_chunk:
+            found = [np.array(i, self.kind) for i in self._encode(texts.to_pylist())]
+            return np.concatenate([np.zeros(0, self.kind), *found]), np.concatenate([[0], np.cumsum([len(f) for f in found], dtype=np.int64)])
+        data, offsets = raw(texts)
+        if not len(data):
+            return np.zeros(0, self.kind), np.zeros(len(offsets), np.int64)
+        space, whole = _IS_SPACE[data], data.tobytes()
+        for m in _WIDE_SPACE.finditer(whole):
+            space[m.start() : m.end()] = True
+        begins = np.empty(len(data), bool)
+        begins[0], begins[1:] = True, space[1:] & ~space[:-1]
+        begins[offsets[:-1][np.diff(offsets) > 0]] = True
+        start = np.flatnonzero(begins)
+        texts_ = Ragged(data, np.append(start, len(data)))
+        hashes, first, which = distinct(texts_)
+        known = self.memo.find(hashes, texts_, first)
+        new = np.flatnonzero(known < 0)
+        chunks = texts_.take(first[new])
+        made = self._chunks(chunks)
+        out = self.memo.with_rows(made, known, new).take(known[which])
+        self.memo.add(hashes[new], chunks, made)
+        return out.flat, out.at[np.searchsorted(start, offsets)]
 
 
 def id_type(path: str) -> np.dtype:
@@ -101,6 +147,16 @@ def id_type(path: str) -> np.dtype:
     return np.dtype("<u2" if Tokenizer.from_file(path).get_vocab_size() <= 1 << 16 else "<u4")
 
 
+_OPEN: dict[str, Encoder] = {}
+
+
+def encoder(path: str) -> Encoder:
+    """The tokenizer of this process; a worker keeps it, and what it remembers, from task to task."""
+    if path not in _OPEN:
+        _OPEN[path] = Encoder(path)
+    return _OPEN[path]
+
+
 def train_dictionary(samples: list[bytes]) -> bytes:
     """A zstandard dictionary, or none (b"") if the samples don't suffice."""
     if len(samples) < 16 or sum(map(len, samples)) < 4096:
@@ -125,10 +181,13 @@ def write_store(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2, doc
     """Tokenize ``docs`` and write a store to ``path``."""
     spark = docs.sparkSession
     docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
-    picked = docs.orderBy(F.xxhash64("doc_id", "text")).limit(TRAIN_DOCS).select("text")
+    # The sample's hashes come first, without their texts; then the few texts up to the last of them.
+    order = F.xxhash64("doc_id", "text")
+    last = docs.select(order.alias("h")).orderBy("h").limit(TRAIN_DOCS).agg(F.max("h")).first()[0]
+    picked = docs.where(order <= last).select("text").limit(TRAIN_DOCS) if last is not None else docs.select("text").limit(0)
     encode, kind, samples, size = encoder(tokenizer), id_type(tokenizer), [], 0
     for row in picked.toLocalIterator():
-        ids = encode([row.text])[0]
+        ids = encode(pa.array([row.text]))[0].tobytes()
         if size + len(ids) <= TRAIN_BYTES:
             samples.append(ids)
             size += len(ids)
@@ -143,7 +202,7 @@ def _packer(tokenizer: str, kind: str, trained: bytes, end_id: int) -> Callable[
 
     def pack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, press = encoder(tokenizer), zstandard.ZstdCompressor(level=LEVEL, dict_data=_dictionary(trained))
-        end, width = np.array([end_id], kind).tobytes(), np.dtype(kind).itemsize
+        end = np.array([end_id], kind).tobytes()
         shard, block, before = TaskContext.get().partitionId(), 0, 0
         index: list[tuple] = []
         frames: list[bytes] = []
@@ -162,9 +221,10 @@ def _packer(tokenizer: str, kind: str, trained: bytes, end_id: int) -> Callable[
 
         for batch in batches:
             for part in slices(batch, "text"):
-                for doc, ids in zip(part.column(0).to_pylist(), encode(part.column(1).to_pylist())):
-                    frame = press.compress(ids + end)
-                    index.append((doc is not None, doc or 0, size, len(frame), len(ids) // width + 1))
+                ids, cuts = encode(part.column(1))
+                for doc, a, b in zip(part.column(0).to_pylist(), cuts[:-1].tolist(), cuts[1:].tolist()):
+                    frame = press.compress(ids[a:b].tobytes() + end)
+                    index.append((doc is not None, doc or 0, size, len(frame), b - a + 1))
                     frames.append(frame)
                     size += len(frame)
                     if size >= BLOCK_BYTES:
