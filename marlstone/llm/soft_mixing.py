@@ -7,8 +7,8 @@ on the squared relative errors plus a pull towards rate 1. A round is one distri
 (tokens, posteriors); rates aren't stored between rounds but follow from the rounds' error
 vectors, of one number per domain each.
 
-The classifier is a multinomial logistic regression over hashed words (2**HASH_BITS counts,
-damped by logarithm), fitted on a bounded sample: the first TRAIN_DOCS labelled documents of
+The classifier is a multinomial logistic regression over hashed words (2**HASH_BITS, present
+or not, and the bytes that end them; those that tell domains apart), fitted on a bounded sample: the first TRAIN_DOCS labelled documents of
 each domain in hash order. Tokens are words.
 
 Cases: a null or empty text has no tokens, the posteriors of an empty text and the rate they
@@ -35,6 +35,7 @@ from marlstone.storage import materialize
 HASH_BITS = 16
 #: Labelled documents of each domain that the classifier is fitted on at most.
 TRAIN_DOCS = 1500
+CHANCE = 4.0  # standard deviations that say nothing yet
 ROUNDS, TOLERANCE = 20, 1e-3  # steps at most, and the relative error that ends them
 PULL = 1e-3  # weight of staying at rate 1, against squared relative errors
 
@@ -47,47 +48,52 @@ def domain_of(labels: DataFrame, quality: str = "quality", toxic: str = "toxic")
     return F.when(F.col(toxic) == 1, "toxic").when(F.col(quality) == 0, "junk").when(F.col(quality) == 1, "clean")
 
 
-def _counts(part: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Bucket of every word, and each text's first word (n + 1)."""
+def _counts(part: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Bucket of every word for the classifier, each text's first of those (n + 1), and each text's number of words."""
     data, offsets = raw(part)
-    start, end, first = words(data, offsets)
-    # Case and punctuation at a word's end carry little; letters are folded before hashing.
+    _, _, first = words(data, offsets)
+    # Case, full stops and commas carry little: letters are folded, the marks part words.
     folded = data.copy()
-    capital = (folded >= 65) & (folded <= 90)
-    folded[capital] += 32
-    return (word_hashes(folded, start, end) >> np.uint64(64 - HASH_BITS)).astype(np.int64), first
+    folded[(folded >= 65) & (folded <= 90)] += 32
+    folded[(folded == 44) | (folded == 46)] = 32
+    start, end, own = words(folded, offsets)
+    top = 1 << HASH_BITS
+    bucket = (word_hashes(folded, start, end) % np.uint64(top - 256)).astype(np.int64)
+    last = top - 256 + folded[end - 1].astype(np.int64)  # the byte that ends a word has buckets of its own
+    return np.stack([bucket, last], axis=1).ravel(), 2 * own, np.diff(first).astype(np.int64)
 
 
-def vectors(part: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Of each text its buckets and their damped, length-normalized counts."""
-    bucket, first = _counts(part)
-    out = []
-    for a, b in zip(first[:-1], first[1:]):
-        found, n = np.unique(bucket[a:b], return_counts=True)
-        v = np.log1p(n)
-        out.append((found, v / max(float(np.sqrt((v * v).sum())), 1e-9)))
-    return out
+def vectors(part: pa.Array) -> list[np.ndarray]:
+    """Of each text the buckets of its words."""
+    bucket, first, _ = _counts(part)
+    return [np.unique(bucket[a:b]) for a, b in zip(first[:-1], first[1:])]
 
 
 class Classifier:
-    """Logistic regression over hashed words; ``scale`` weighs rare buckets up."""
+    """Logistic regression over hashed words that tell domains apart."""
 
     def __init__(self, names: list[str], weights: np.ndarray, bias: np.ndarray) -> None:
         self.names, self.weights, self.bias = names, weights, bias
 
     @staticmethod
-    def train(rows: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, names: list[str], rounds: int = 150) -> Classifier:
+    def train(rows: list[np.ndarray], y: np.ndarray, names: list[str], sizes: list[int] | None = None, rounds: int = 200) -> Classifier:
+        """``sizes``: how many labelled documents each domain has in all, if the rows are a part of them."""
         c, width = len(names), 1 << HASH_BITS
         w, b = np.zeros((width, c)), np.zeros(c)
         if len(set(y.tolist())) < 2:
             return Classifier(names, w, b)
-        index = np.concatenate([r[0] for r in rows])
-        value = np.concatenate([r[1] for r in rows])
-        owner = np.repeat(np.arange(len(rows)), [len(r[0]) for r in rows])
-        weigh = np.log((1 + len(rows)) / (1 + np.bincount(index, minlength=width))) + 1  # rare words tell more
-        value = value * weigh[index]
+        index, owner = np.concatenate(rows), np.repeat(np.arange(len(rows)), [len(r) for r in rows])
+        # A word counts by how far its documents in a domain exceed what chance would give, in standard deviations.
         share = np.bincount(y, minlength=c)
-        each = (1 / (c * np.maximum(share, 1)))[y]
+        has = np.stack([np.bincount(index[y[owner] == k], minlength=width) for k in range(c)], axis=1)
+        expected = has.sum(axis=1, keepdims=True) * share / share.sum()
+        excess = ((has - expected) / np.sqrt(expected + 1)).max(axis=1)
+        weigh = np.where(excess > CHANCE, np.minimum(excess / 10, 2), 0)
+        told = weigh[index] > 0
+        index, owner = index[told], owner[told]
+        value = weigh[index]
+        each = (np.asarray(sizes if sizes is not None else share) / np.maximum(share, 1))[y]
+        each = each / each.sum()
         truth = np.eye(c)[y]
         first, second = np.zeros_like(w), np.zeros_like(w)
         b1, b2 = np.zeros(c), np.zeros(c)
@@ -107,22 +113,20 @@ class Classifier:
 
     def posteriors(self, part: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Words and posteriors of each text."""
-        bucket, first = _counts(part)
+        bucket, first, n_words = _counts(part)
         n = len(first) - 1
-        owner = np.repeat(np.arange(n), np.diff(first))
-        pair, count = np.unique((owner << HASH_BITS) | bucket, return_counts=True)
+        pair = np.unique((np.repeat(np.arange(n), np.diff(first)) << HASH_BITS) | bucket)
         owner, bucket = pair >> HASH_BITS, pair & ((1 << HASH_BITS) - 1)
-        v = np.log1p(count)
-        norm = np.sqrt(np.bincount(owner, v * v, minlength=n))
-        z = np.stack([np.bincount(owner, v * self.weights[bucket, k], minlength=n) for k in range(len(self.names))], axis=1) / np.maximum(norm, 1e-9)[:, None] + self.bias
+        z = np.stack([np.bincount(owner, self.weights[bucket, k], minlength=n) for k in range(len(self.names))], axis=1) + self.bias
         z -= z.max(axis=1, keepdims=True)
         p = np.exp(z)
-        return np.diff(first).astype(np.int64), p / p.sum(axis=1, keepdims=True)
+        return n_words, p / p.sum(axis=1, keepdims=True)
 
 
 def train(docs: DataFrame, labels: DataFrame, domain: F.Column, names: list[str], doc_id: str = "doc_id", text: str = "text") -> Classifier:
     """A classifier from the first TRAIN_DOCS labelled documents of each domain in hash order."""
-    known = labels.select(F.col(doc_id).cast("long").alias("doc_id"), domain.alias("domain")).where(F.col("doc_id").isNotNull() & F.col("domain").isin(names)).groupBy("doc_id").agg(F.max("domain").alias("domain"))
+    known = labels.where(F.col(doc_id).isNotNull()).select(F.col(doc_id).cast("long").alias("doc_id"), domain.alias("domain")).where(F.col("doc_id").isNotNull() & F.col("domain").isin(names)).groupBy("doc_id").agg(F.max("domain").alias("domain"))
+    counts = {r.domain: r["count"] for r in known.groupBy("domain").count().collect()}
     order = Window.partitionBy("domain").orderBy(F.xxhash64("doc_id"), "doc_id")
     picked = known.withColumn("r", F.row_number().over(order)).where(F.col("r") <= TRAIN_DOCS).select("doc_id", "domain")
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).join(F.broadcast(picked), "doc_id").select("doc_id", "domain", "text")
@@ -130,13 +134,13 @@ def train(docs: DataFrame, labels: DataFrame, domain: F.Column, names: list[str]
     def work() -> Callable[[pa.RecordBatch], dict[str, Any]]:
         def one(part: pa.RecordBatch) -> dict[str, Any]:
             found = vectors(part.column(part.schema.get_field_index("text")))
-            return {"at": pa.array([a.astype(np.int32).tobytes() for a, _ in found], pa.binary()), "v": pa.array([v.astype(np.float32).tobytes() for _, v in found], pa.binary())}
+            return {"at": pa.array([a.astype(np.int32).tobytes() for a in found], pa.binary())}
 
         return one
 
-    found = map_texts(rows, "text", [T.StructField("at", T.BinaryType()), T.StructField("v", T.BinaryType())], work).select("doc_id", "domain", "at", "v")
+    found = map_texts(rows, "text", [T.StructField("at", T.BinaryType())], work).select("doc_id", "domain", "at")
     got = sorted(found.collect(), key=lambda r: (r.doc_id, bytes(r.at)))
-    return Classifier.train([(np.frombuffer(r.at, np.int32).astype(np.int64), np.frombuffer(r.v, np.float32).astype(float)) for r in got], np.array([names.index(r.domain) for r in got], np.int64), names)
+    return Classifier.train([np.frombuffer(r.at, np.int32).astype(np.int64) for r in got], np.array([names.index(r.domain) for r in got], np.int64), names, [counts.get(n, 0) for n in names])
 
 
 def with_posteriors(docs: DataFrame, model: Classifier, text: str = "text") -> DataFrame:
