@@ -4,8 +4,8 @@ Equal texts form an atomic group. Groups are ordered by their smallest doc_id an
 sums of bytes. A binary search finds the smallest capacity at which greedy filling, group by
 group in order, needs no more than the given number of shards; the groups are cut there.
 
-The running sums stay in a table. The driver knows a bounded set of them: for each of at most
-``BUCKETS`` equal stretches the last running sum in it. A capacity is surely enough if greedy
+The running sums stay in a table. The driver knows a bounded set of them: for each of about
+``BUCKETS`` equal stretches the first and the last running sum in it. A capacity is surely enough if greedy
 cuts at known sums suffice, and surely too small if cuts anywhere inside unknown stretches
 don't. Where neither holds, the stretches that the cuts can fall in are split again, so a few
 passes give the exact capacity at any size.
@@ -134,16 +134,19 @@ def _search(known: _Known, shards: int, low: int, high: int, hopeful: bool) -> i
 
 
 def _refine(groups: DataFrame, known: _Known, ranges: list[tuple[int, int]]) -> None:
-    """One pass: the last running sum of each stretch of each range (a, b]."""
-    step = [max(1, -(-(b - a) * len(ranges) // BUCKETS)) for a, b in ranges]
-    p = F.col("bytes_upto")
+    """One pass: the first and last running sum of each stretch of each range (a, b], two stretches at least."""
+    step = [max(1, min(-(-(b - a) * len(ranges) // BUCKETS), (b - a + 1) // 2)) for a, b in ranges]
+    p, new = F.col("bytes_upto"), {}
     place = reduce(
         lambda other, r: F.when((p > r[1][0]) & (p <= r[1][1]), F.struct(F.lit(r[0]).alias("r"), F.floor((p - r[1][0] - 1) / r[2]).cast("long").alias("s"))).otherwise(other),
         [(i, r, s) for i, (r, s) in enumerate(zip(ranges, step))][::-1],
         F.lit(None).cast("struct<r:int,s:bigint>"),
     )
-    found = groups.select(place.alias("at"), "bytes_upto").where("at is not null").groupBy("at").agg(F.max("bytes_upto").alias("p"), F.count("*").alias("n"))
-    known.put({int(r.p): r.n == 1 for r in found.collect()})
+    found = groups.select(place.alias("at"), "bytes_upto").where("at is not null").groupBy("at").agg(F.min(p).alias("first"), F.max(p).alias("last"), F.count("*").alias("n"))
+    for r in found.collect():
+        new[int(r.last)] = r.n <= 2
+        new[int(r.first)] = True
+    known.put(new)
 
 
 def shard(docs: DataFrame, shards: int, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
