@@ -247,7 +247,11 @@ def findings_made(seed: int = 11, n: int = 4000) -> list[tuple]:
             return ("src1", words(2, " ") + rng.choice([" ", "@"]), f"mail{rng.randint(1, 20)}.{words(2, '.')}.{rng.choice(['com', 'org', 'net'])}", " ", False)
         return ("src5", words(2, " ") + " ", f"{words(1, '')}{rng.randint(10, 999)}{words(2, '')}{rng.randint(1, 9)}", rng.choice([" ", ", "]), False)
 
-    return [secret() if i % 2 else plain() for i in range(n)]
+    def anywhere(finding: tuple) -> tuple:
+        """Half of the findings lie in files that tell nothing."""
+        return (rng.choice(["", "src1", "src2", "src3", "src5", "src7", "notes.txt"]), *finding[1:]) if rng.random() < 0.5 else finding
+
+    return [anywhere(secret() if i % 2 else plain()) for i in range(n)]
 
 
 def labelled_findings(spark: SparkSession, seed: int = 11, n: int = 4000) -> DataFrame:
