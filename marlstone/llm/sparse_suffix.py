@@ -80,24 +80,30 @@ def _hashed(part: pa.RecordBatch, text: str) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _keys(docs: DataFrame) -> DataFrame:
-    """n_words, and the keys and positions of the kept suffixes, of each text."""
+    """n_words, and the distinct keys of the kept suffixes with their positions, of each text."""
 
     def work():
         def one(part: pa.RecordBatch) -> dict:
             h, first = _hashed(part, "text")
             seeds, keys = window_hashes(h, first, SEED_WORDS), window_hashes(h, first, KEY_WORDS)
             at = [selected(h[a:b], seeds[a:b]) for a, b in zip(first[:-1], first[1:])]
-            flat = np.concatenate([x + a for x, a in zip(at, first)]).astype(np.int64) if at else np.zeros(0, np.int64)
-            lists = np.concatenate([[0], np.cumsum([len(x) for x in at])]).astype(np.int32)
+            flat = np.concatenate([np.zeros(0, np.int64), *[x + a for x, a in zip(at, first)]])
+            owner = np.repeat(np.arange(len(at)), [len(x) for x in at])
+            order = np.lexsort((flat, keys[flat], owner))
+            flat, owner = flat[order], owner[order]
+            key = keys[flat]
+            heads = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (owner[1:] != owner[:-1])])) if len(flat) else np.zeros(0, np.int64)
+            outer = np.searchsorted(owner[heads], np.arange(len(at) + 1)).astype(np.int32)
+            places = pa.ListArray.from_arrays(pa.array(np.append(heads, len(flat)).astype(np.int32)), pa.array((flat - first[owner]).astype(np.int32)))
             return {
                 "n_words": pa.array(np.diff(first).astype(np.int64)),
-                "keys": pa.ListArray.from_arrays(pa.array(lists), pa.array(keys[flat].view(np.int64))),
-                "at": pa.ListArray.from_arrays(pa.array(lists), pa.array(np.concatenate(at).astype(np.int32) if at else np.zeros(0, np.int32))),
+                "keys": pa.ListArray.from_arrays(pa.array(outer), pa.array(key[heads].view(np.int64))),
+                "at": pa.ListArray.from_arrays(pa.array(outer), places),
             }
 
         return one
 
-    fields = [T.StructField("n_words", T.LongType()), T.StructField("keys", T.ArrayType(T.LongType())), T.StructField("at", T.ArrayType(T.IntegerType()))]
+    fields = [T.StructField("n_words", T.LongType()), T.StructField("keys", T.ArrayType(T.LongType())), T.StructField("at", T.ArrayType(T.ArrayType(T.IntegerType())))]
     return map_texts(docs, "text", fields, work).drop("text")
 
 
@@ -162,6 +168,8 @@ def _windows(rows: list[np.ndarray]) -> Iterator[tuple[int, np.ndarray, np.ndarr
 
 def _in_two_texts(h: np.ndarray, text: np.ndarray) -> np.ndarray:
     """Whether another text has the same hash."""
+    if not len(h):
+        return np.zeros(0, bool)
     order = np.lexsort((text, h))
     hs, ts = h[order], text[order]
     new = np.concatenate([[True], hs[1:] != hs[:-1]])
@@ -221,9 +229,17 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return pa.RecordBatch.from_arrays([pa.array(rows[3][ok].tolist(), pa.string()), pa.array(start[ok].astype(np.int32)), pa.array(end[ok].astype(np.int32)), pa.array(rows[4][ok]), none], names=_NAMES)
 
     def passages(rows: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        """Hashes to be met elsewhere: of those that two texts have here already (and which are marked) one each, of the others all."""
+        text = np.unique(rows[3], return_inverse=True)[1]
         for l, h, fits in _windows(rows):
-            start = (rows[4][fits] - l).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([pa.array(rows[3][fits].tolist(), pa.string()), pa.array(start), pa.array((start + MIN_WORDS).astype(np.int32)), pa.array(rows[4][fits]), pa.array(h[fits].view(np.int64))], names=_NAMES)
+            hit = np.flatnonzero(fits)
+            if not len(hit):
+                continue
+            twice = _in_two_texts(h[hit], text[hit])
+            _, first = np.unique(np.where(twice, h[hit], mix(h[hit] + text[hit].astype(np.uint64))), return_index=True)
+            hit = hit[first]
+            start = (rows[4][hit] - l).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([pa.array(rows[3][hit].tolist(), pa.string()), pa.array(start), pa.array((start + MIN_WORDS).astype(np.int32)), pa.array(rows[4][hit]), pa.array(h[hit].view(np.int64))], names=_NAMES)
 
     def done(rows: list[np.ndarray], whole: bool) -> Iterator[pa.RecordBatch]:
         yield marked(rows)
@@ -259,9 +275,10 @@ def repeated_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     same = materialize(same, "suffix-texts")
     once = found.join(same.select(F.col("digest").alias("d"), "first_id"), (F.col("digest") == F.col("d")) & F.col("doc_id").eqNullSafe(F.col("first_id")))
     once = once.select("digest", "doc_id", F.explode(F.arrays_zip("keys", "at")).alias("s")).select("digest", "doc_id", F.col("s.keys").alias("key"), F.col("s.at").alias("at"))
-    shared = once.groupBy("key").agg(F.min("digest").alias("a"), F.max("digest").alias("b")).where(F.col("a") != F.col("b")).select(F.col("key").alias("k"))
+    text_no = F.xxhash64("digest")  # a number, so that the aggregates are hashed and not sorted
+    shared = once.groupBy("key").agg(F.min(text_no).alias("a"), F.max(text_no).alias("b")).where(F.col("a") != F.col("b")).select(F.col("key").alias("k"))
     kept = once.join(shared, F.col("key") == F.col("k"), "left_semi")
-    places = materialize(kept.groupBy("digest", "doc_id").agg(F.collect_set("at").alias("at")), "suffix-places").withColumnRenamed("doc_id", "of")
+    places = materialize(kept.groupBy("digest", "doc_id").agg(F.array_distinct(F.flatten(F.collect_list("at"))).alias("at")), "suffix-places").withColumnRenamed("doc_id", "of")
     texts = rows.withColumn("d", F.md5("text")).join(places, F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("d") == F.col("digest"))).select("digest", "text", "at")
     suffixes = materialize(texts.mapInArrow(_contexts, _SUFFIX).drop("n_words"), "suffix-contexts")
     order = ["key", "right", "left", "digest", "at"]
@@ -269,7 +286,7 @@ def repeated_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     marks = materialize(ordered.mapInArrow(_neighbours, _MARKS), "suffix-marks")
     spans = marks.where("window is null").select("digest", "start", "end")
     met = marks.where("window is not null")
-    twice = met.groupBy("window").agg(F.min("digest").alias("a"), F.max("digest").alias("b")).where(F.col("a") != F.col("b")).select(F.col("window").alias("w"))
+    twice = met.groupBy("window").agg(F.min(text_no).alias("a"), F.max(text_no).alias("b")).where(F.col("a") != F.col("b")).select(F.col("window").alias("w"))
     spans = spans.union(met.join(twice, F.col("window") == F.col("w"), "left_semi").groupBy("digest", "at").agg(F.min("start").alias("start"), F.max("end").alias("end")).select("digest", "start", "end"))
     spans = spans.groupBy("digest").agg(F.collect_set(F.struct("start", "end")).alias("places"))
     merged = spans.select("digest", _merge(F.array_sort("places")).alias("merged"))
