@@ -30,20 +30,23 @@ text. Columns named like a result column are replaced.
 from __future__ import annotations
 
 import heapq
-import re
+import zlib
 from collections.abc import Callable
 from typing import Any
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from marlstone.llm.batches import map_texts, powers
+from marlstone.llm.batches import as_utf8, map_texts, powers, raw
+from marlstone.llm.chunks import Memo, Ragged, distinct
 
-#: Words whose ids a worker remembers, and words solved at once.
-MEMO, TOGETHER = 400_000, 16_384
+#: Words whose ids a worker remembers, words solved at once, and their characters with padding.
+MEMO, TOGETHER, CELLS = 600_000, 16_384, 1 << 18
 _SPACE = "▁"
+_MARK = _SPACE.encode()
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _NONE = -1
 _BEYOND = -(1 << 31)
@@ -118,9 +121,9 @@ class Transducer:
         if self.bpe and not inner <= self.lexicon.keys():
             raise ValueError("a character of a piece is no piece itself")
         crosses = any(a != _SPACE and b == _SPACE for p in self.lexicon for a, b in zip(p, p[1:]))
-        self.cut = re.compile("(?s).+" if crosses else " *[^ \n]+|\n| +" if "\n" not in inner else " *[^ ]+| +")
+        self.cuts_words, self.cuts_lines = not crosses, not crosses and "\n" not in inner
         self._compile()
-        self.memo: dict[str, bytes] = {}
+        self.memo = Memo(np.dtype("<i4"), MEMO)
         self.runs: dict[int, list[int]] = {}
 
     # -- compilation -----------------------------------------------------------------
@@ -199,12 +202,12 @@ class Transducer:
 
     # -- the lattice -----------------------------------------------------------------
 
-    def solve(self, inputs: list[str]) -> list[list[int]]:
-        """The shortest paths of normalised inputs, ids without byte fallback for _NONE marks."""
+    def solve(self, inputs: list[str]) -> Ragged:
+        """The ids along the shortest paths of normalised inputs."""
         order = sorted(range(len(inputs)), key=lambda i: -len(inputs[i]))
         size = np.array([len(inputs[i]) for i in order], np.int64)
         if not len(size) or not size[0]:
-            return [[] for _ in inputs]
+            return Ragged(np.zeros(0, "<i4"), np.zeros(len(inputs) + 1, np.int64))
         longest = int(size[0])
         points = np.zeros((len(order), longest), np.uint64)
         flat = np.frombuffer("".join(inputs[i] for i in order).encode("utf-32-le"), np.uint32)
@@ -250,7 +253,6 @@ class Transducer:
                 step = best[end - 1, bare] + (0 if self.bpe else 10 - float(self.scores.min()))
                 bare, step = bare[step < best[end, bare]], step[step < best[end, bare]]
                 best[end, bare], last[end, bare], span[end, bare] = step, len(self.names), 1
-        out: list[list[int]] = [[] for _ in inputs]
         at, rows = size.copy(), np.arange(len(order))
         paths: list[np.ndarray] = []
         while (at > 0).any():
@@ -258,11 +260,18 @@ class Transducer:
             paths.append(np.where(ids == len(self.names), -at, ids))  # -p: the character that ends at p has no piece
             at = np.where(at > 0, at - span[at, rows], 0)
         found = np.stack(paths[::-1], axis=1)
-        plain = (found >= 0).sum(axis=1) == (found != _BEYOND).sum(axis=1)
-        for row, i in enumerate(order):
-            ids = found[row][found[row] != _BEYOND].tolist()
-            out[i] = ids if plain[row] else [x for v in ids for x in ([v] if v >= 0 else self._fallback(inputs[i][-v - 1]))]
-        return out
+        back = np.empty(len(order), np.int64)
+        back[order] = rows
+        found = found[back]
+        inside = found != _BEYOND
+        out = Ragged(found[inside].astype("<i4"), np.concatenate([[0], np.cumsum(inside.sum(axis=1))]))
+        bare = np.flatnonzero(((found < 0) & inside).any(axis=1))
+        if not len(bare):
+            return out
+        parts = [out.flat[a:b] for a, b in zip(out.at[:-1], out.at[1:])]
+        for i in bare:
+            parts[i] = np.array([x for v in parts[i].tolist() for x in ([v] if v >= 0 else self._fallback(inputs[i][-v - 1]))], "<i4")
+        return Ragged(np.concatenate(parts), np.concatenate([[0], np.cumsum([len(x) for x in parts])]))
 
     def _fallback(self, c: str) -> list[int]:
         return [self.bytes[b] for b in c.encode("utf-8")] if self.bytes else [self.unknown]
@@ -273,43 +282,68 @@ class Transducer:
             if self.bpe:
                 self.runs[n] = merge([self.lexicon[_SPACE]] * n, self.pair_list, self.scores)
             else:
-                self.runs[n] = self.solve([_SPACE * n])[0]
+                self.runs[n] = self.solve([_SPACE * n]).flat.tolist()
         return self.runs[n]
 
-    def _chunks(self, chunks: list[str]) -> list[list[int]]:
+    def _words(self, chunks: list[str]) -> Ragged:
         """Ids of chunks: spaces, then other characters."""
         if not self.bpe:
             return self.solve([c.replace(" ", _SPACE) for c in chunks])
         spaces = [len(c) - len(c.lstrip(" ")) for c in chunks]
-        bodies = [(_SPACE if s else "") + c[s:] if len(c) > s else "" for c, s in zip(chunks, spaces)]
-        mark = self.lexicon.get(_SPACE)
-        out = []
-        for s, body, ids in zip(spaces, bodies, self.solve(bodies)):
-            # Merges of spaces come last of all, so the last space belongs to the word where it merged with it.
-            if not body:
-                ids = self._run(s)
-            elif s > 1:
-                ids = self._run(s) + ids[1:] if ids[0] == mark else self._run(s - 1) + ids
-            out.append(ids)
-        return out
-
-    def encode(self, texts: list[str | None]) -> list[bytes | None]:
-        """Ids of each text, as little-endian 32-bit integers."""
-        cut = [None if t is None else self.cut.findall((" " + t if self.prefix and t else t).replace(_SPACE, " ")) for t in texts]
-        wanted = set().union(*(c for c in cut if c)) - self.memo.keys()
-        if len(self.memo) + len(wanted) > MEMO:
-            self.memo.clear()
-            wanted = set().union(*(c for c in cut if c))
-        new = sorted(wanted, key=len)
+        found = self.solve([(_SPACE if s else "") + c[s:] if len(c) > s else "" for c, s in zip(chunks, spaces)])
+        many = [i for i, (c, s) in enumerate(zip(chunks, spaces)) if s > 1 or len(c) == s]
+        if not many:
+            return found
+        # Merges of spaces come last of all, so the last space belongs to the word where it merged with it.
+        mark, rows = self.lexicon.get(_SPACE), [found.flat[a:b] for a, b in zip(found.at[:-1], found.at[1:])]
+        for i in many:
+            ids, s = rows[i].tolist(), spaces[i]
+            ids = self._run(s) + ids[1:] if not ids or ids[0] == mark else self._run(s - 1) + ids
+            rows[i] = np.array(ids, "<i4")
+        return Ragged(np.concatenate(rows), np.concatenate([[0], np.cumsum([len(r) for r in rows])]))
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the texts in a row, and where each text's begin (n + 1); null counts as empty."""
+        data, offsets = raw(texts)
+        if _MARK in data.tobytes():
+            return self.encode(pc.replace_substring(as_utf8(texts), _SPACE, " "))
+        if self.prefix:
+            full = np.diff(offsets) > 0
+            data = np.insert(data, offsets[:-1][full], 32)
+            offsets = offsets + np.concatenate([[0], np.cumsum(full)])
+        if not len(data):
+            return np.zeros(0, "<i4"), np.zeros(len(offsets), np.int64)
+        space, line = data == 32, (data == 10) & self.cuts_lines
+        begins = np.zeros(len(data), bool)
+        if self.cuts_words:
+            begins[1:] = line[1:] | line[:-1] | (space[1:] & ~space[:-1])
+        begins[offsets[:-1][np.diff(offsets) > 0]] = True
+        start = np.flatnonzero(begins)
+        rows = Ragged(data, np.append(start, len(data)))
+        hashes, first, which = distinct(rows)
+        known = self.memo.find(hashes, rows, first)
+        new = np.flatnonzero(known < 0)
+        chunks = rows.take(first[new])
+        made = self._chunks(chunks)
+        out = self.memo.with_rows(made, known, new).take(known[which])
+        self.memo.add(hashes[new], chunks, made)
+        return out.flat, out.at[np.searchsorted(start, offsets)]
+
+    def _chunks(self, chunks: Ragged) -> Ragged:
+        """Ids of distinct chunks, solved in groups of like length."""
+        whole, size = chunks.flat.tobytes(), np.diff(chunks.at)
+        order = np.argsort(size, kind="stable")
+        texts = [whole[a:b].decode() for a, b in zip(chunks.at[order].tolist(), chunks.at[order + 1].tolist())]
+        found: list[Ragged] = []
         lo = 0
-        while lo < len(new):
-            hi = lo + max(1, min(TOGETHER, (1 << 20) // max(1, len(new[min(lo + TOGETHER, len(new)) - 1]))))
-            part = new[lo:hi]
-            for c, ids in zip(part, self._chunks(part)):
-                self.memo[c] = np.array(ids, "<i4").tobytes()
+        while lo < len(texts):
+            hi = lo + max(1, min(TOGETHER, CELLS // max(1, len(texts[min(lo + TOGETHER, len(texts)) - 1]))))
+            found.append(self._words(texts[lo:hi]))
             lo = hi
-        get = self.memo.__getitem__
-        return [None if c is None else b"".join(map(get, c)) for c in cut]
+        n = np.concatenate([np.zeros(0, np.int64), *[np.diff(f.at) for f in found]])
+        back = np.empty(len(order), np.int64)
+        back[order] = np.arange(len(order))
+        return Ragged(np.concatenate([np.zeros(0, "<i4"), *[f.flat for f in found]]), np.concatenate([[0], np.cumsum(n)])).take(back)
 
     def decode(self, ids: list[list[int] | None]) -> list[str | None]:
         """The inverse transducer: pieces to characters, runs of byte pieces to what they spell."""
@@ -385,11 +419,11 @@ def encode(docs: DataFrame, model: str, text: str = "text") -> DataFrame:
         machine = transducer(model)
 
         def one(part: pa.RecordBatch) -> dict[str, Any]:
-            found = machine.encode(part.column(part.schema.get_field_index(text)).to_pylist())
-            size = [None if f is None else len(f) // 4 for f in found]
-            lists = np.concatenate([[0], np.cumsum([s or 0 for s in size])]).astype(np.int32)
-            ids = pa.ListArray.from_arrays(pa.array(lists), pa.array(np.frombuffer(b"".join(f or b"" for f in found), "<i4")), mask=pa.array([f is None for f in found]))
-            return {"n_ids": pa.array(size, pa.int64()), "ids": ids}
+            texts = part.column(part.schema.get_field_index(text))
+            flat, at = machine.encode(texts)
+            null = texts.is_null()
+            n = pc.if_else(null, None, pa.array(np.diff(at)))
+            return {"n_ids": n, "ids": pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(flat), mask=null)}
 
         return one
 
@@ -409,3 +443,26 @@ def decode(rows: DataFrame, model: str, ids: str = "ids", to: str = "decoded") -
                 yield pa.RecordBatch.from_arrays([made if n == to else part.column(part.schema.get_field_index(n)) for n in schema.names], names=schema.names)
 
     return rows.mapInArrow(run, schema)
+
+
+def verify(docs: DataFrame, model: str, text: str = "text") -> DataFrame:
+    """``docs`` with n_ids, ids_crc32 (of the ids as little-endian 32-bit integers) and round_trip: whether decoding gives the text again.
+
+    Encoding and decoding happen in one pass, and ids don't leave the worker.
+    """
+
+    def work() -> Callable[[pa.RecordBatch], dict[str, Any]]:
+        machine = transducer(model)
+
+        def one(part: pa.RecordBatch) -> dict[str, Any]:
+            column = part.column(part.schema.get_field_index(text))
+            flat, at = machine.encode(column)
+            null, data = column.is_null().to_pylist(), flat.tobytes()
+            ids = [None if z else flat[a:b].tolist() for z, a, b in zip(null, at[:-1], at[1:])]
+            sums = [None if z else zlib.crc32(data[4 * a : 4 * b]) for z, a, b in zip(null, at[:-1].tolist(), at[1:].tolist())]
+            same = [a == b for a, b in zip(machine.decode(ids), column.to_pylist())]
+            return {"n_ids": pa.array([None if i is None else len(i) for i in ids], pa.int64()), "ids_crc32": pa.array(sums, pa.int64()), "round_trip": pa.array(same)}
+
+        return one
+
+    return map_texts(docs, text, [T.StructField("n_ids", T.LongType()), T.StructField("ids_crc32", T.LongType()), T.StructField("round_trip", T.BooleanType())], work)
