@@ -272,13 +272,12 @@ def repeated_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
     found = materialize(_keys(rows.withColumn("digest", F.md5("text"))).where(F.col("n_words") >= MIN_WORDS), "suffix-keys")
     same = found.groupBy("digest").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("copies"), F.max("n_words").alias("n_words"))
-    same = materialize(same, "suffix-texts")
     once = found.join(same.select(F.col("digest").alias("d"), "first_id"), (F.col("digest") == F.col("d")) & F.col("doc_id").eqNullSafe(F.col("first_id")))
     once = once.select("digest", "doc_id", F.explode(F.arrays_zip("keys", "at")).alias("s")).select("digest", "doc_id", F.col("s.keys").alias("key"), F.col("s.at").alias("at"))
     text_no = F.xxhash64("digest")  # a number, so that the aggregates are hashed and not sorted
     shared = once.groupBy("key").agg(F.min(text_no).alias("a"), F.max(text_no).alias("b")).where(F.col("a") != F.col("b")).select(F.col("key").alias("k"))
     kept = once.join(shared, F.col("key") == F.col("k"), "left_semi")
-    places = materialize(kept.groupBy("digest", "doc_id").agg(F.array_distinct(F.flatten(F.collect_list("at"))).alias("at")), "suffix-places").withColumnRenamed("doc_id", "of")
+    places = kept.groupBy("digest", F.col("doc_id").alias("of")).agg(F.array_distinct(F.flatten(F.collect_list("at"))).alias("at"))
     texts = rows.withColumn("d", F.md5("text")).join(places, F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("d") == F.col("digest"))).select("digest", "text", "at")
     suffixes = materialize(texts.mapInArrow(_contexts, _SUFFIX).drop("n_words"), "suffix-contexts")
     order = ["key", "right", "left", "digest", "at"]
