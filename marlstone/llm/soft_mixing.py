@@ -195,17 +195,23 @@ def fit_rates(rows: DataFrame, targets: dict[str, float], names: list[str], roun
     return steps
 
 
-def mix(docs: DataFrame, model: Classifier, shares: dict[str, float], budget: float = 1.0, text: str = "text", rounds: int = ROUNDS, keep: list[str] | None = None) -> DataFrame:
+def mix(docs: DataFrame, model: Classifier, shares: dict[str, float], budget: float = 1.0, text: str = "text", rounds: int = ROUNDS, keep: list[str] | None = None, without: tuple[str, ...] = ()) -> DataFrame:
     """Columns ``keep`` of ``docs`` with n_tokens, posteriors and rate.
 
     ``shares``: by domain the target as a multiple of the tokens it has now; ``budget`` scales
-    them all. Domains without a share are to lose their tokens.
+    them all. Domains without a share are to lose their tokens. Documents whose likeliest domain
+    is in ``without`` are left out of what a domain has: their tokens are to go, the trace of
+    such a domain in all other documents is not.
     """
     names = model.names
     found = with_posteriors(docs, model, text)
     kept = [c for c in (keep if keep is not None else docs.columns) if c.lower() not in {"n_tokens", *(f"p_{n}" for n in names)}]
     rows = materialize(found.select(*kept, "n_tokens", *[f"p_{n}" for n in names]), "mixing")
-    have = rows.agg(*[F.sum(F.col("n_tokens") * F.col(f"p_{n}")).alias(n) for n in names]).first()
+    best = F.greatest(*[F.col(f"p_{n}") for n in names])
+    barred = F.lit(False)
+    for n in without:
+        barred = barred | (F.col(f"p_{n}") == best)
+    have = rows.where(~barred).agg(*[F.sum(F.col("n_tokens") * F.col(f"p_{n}")).alias(n) for n in names]).first()
     targets = {n: budget * shares.get(n, 0.0) * float(have[n] or 0.0) for n in names}
     steps = fit_rates(rows, targets, names, rounds)
     return rows.withColumn("rate", rate_of(names, steps))
