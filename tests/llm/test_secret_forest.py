@@ -1,0 +1,65 @@
+import numpy as np
+from edges import TEXTS, documents
+
+from marlstone.llm import queries, secret_forest
+
+
+def forest():
+    rows = secret_forest.findings_made(11, 3000)
+    pairs = secret_forest._log_odds(rows)
+    f = secret_forest.Forest.train(np.array([secret_forest.features(*r[:4], pairs) for r in rows]), np.array([float(r[4]) for r in rows]))
+    f.pairs = pairs
+    return f
+
+
+FOREST = forest()
+
+
+def test_held_out_accuracy():
+    rows = secret_forest.findings_made(99, 2000)
+    score = FOREST.score(np.array([secret_forest.features(*r[:4], FOREST.pairs) for r in rows]))
+    truth = np.array([r[4] for r in rows])
+    assert ((score >= secret_forest.CUTOFF) == truth).mean() > 0.97
+
+
+def test_trees_split_what_can_be_split():
+    rng = np.random.default_rng(0)
+    x = rng.normal(size=(800, 3))
+    y = ((x[:, 0] > 0) ^ (x[:, 1] > 0)).astype(float)
+    f = secret_forest.Forest.train(x[:600], y[:600], trees=30)
+    assert ((f.score(x[600:]) >= 0.5) == y[600:]).mean() > 0.85
+
+
+def test_candidates():
+    text = 'see commit 3f786850e387550fdab836ed7e6dc881de23001b, password: hunter22X! and plainlongwordwithoutdigits'
+    got = secret_forest.candidates(text)
+    assert [(text[a:b], r) for a, b, r in got] == [("3f786850e387550fdab836ed7e6dc881de23001b", "run"), ("hunter22X!", "value")]
+    assert secret_forest.candidates("") == [] == secret_forest.candidates(None)
+    key = 'token = "24be64439e3e49cf46b2d7c90f3602a3d0b907ff"###'
+    assert [(key[a:b], r) for a, b, r in secret_forest.candidates(key)] == [("24be64439e3e49cf46b2d7c90f3602a3d0b907ff", "value")]
+
+
+def test_context_decides():
+    value = "3f786850e387550fdab836ed7e6dc881de23001b"
+    (a,), (b,) = secret_forest.findings_in([f'token = "{value}"', f"commit {value} fixed it"], [None, None], FOREST)
+    assert a["secret"] and not b["secret"]
+
+
+def test_edges(spark):
+    train = secret_forest.train(secret_forest.labelled_findings(spark, 11, 1500))
+    docs = documents(spark)
+    got = {r.doc_id: r.findings for r in secret_forest.scan(docs, train).collect() if r.findings}
+    assert set(got) == {9} and got[9][0].secret
+    clean = secret_forest.redact(docs, train)
+    assert clean.columns == docs.columns and clean.count() == len(TEXTS)
+    row = clean.where("doc_id = 9").first()
+    assert '"<secret>"' in row.text and row.n_chars == len(row.text)
+    before, after = ({(r.doc_id, r.text) for r in d.collect() if r.doc_id != 9} for d in (docs, clean))
+    assert before == after
+    assert secret_forest.redact(documents(spark, []), train).count() == 0
+
+
+def test_query_against_every_text(spark, sf):
+    got = {(r.doc_id, r.start, r.length) for r in queries.op3_secret_scan(spark, sf).collect()}
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()
+    assert got == {(r.doc_id, a, b - a) for r in docs for a, b, _ in secret_forest.candidates(r.text or "")}
