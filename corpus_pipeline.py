@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 from marlstone.llm import line_crf, piece_fst, secret_forest, simhash_ring, soft_mixing
 from marlstone.storage import materialize, table
 
-#: Targets as multiples of the tokens a domain has: toxic text goes, the rest stays as it is.
-SHARES = {"clean": 1.0, "junk": 1.0, "toxic": 0.0}
+#: Targets as multiples of the tokens a domain has, without the documents of the barred ones.
+SHARES, BARRED = {"clean": 1.0, "junk": 1.0, "toxic": 1.0}, ("toxic",)
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,7 +37,7 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as its rate says, rounded to whole copies."""
     labels = table(spark, sf_dir, "labels")
     model = soft_mixing.train(docs, labels, soft_mixing.domain_of(labels), soft_mixing.DOMAINS)
-    mixed = soft_mixing.mix(docs, model, SHARES)
+    mixed = soft_mixing.mix(docs, model, SHARES, without=BARRED)
     copies = F.floor(F.col("rate") + 0.5).cast("int")
     return mixed.withColumn("_copy", F.explode(F.when(copies > 0, F.sequence(F.lit(1), copies)))).select(*docs.columns)
 
