@@ -47,6 +47,13 @@ def exact_copies(docs: DataFrame, content: Column, key: str = "doc_id") -> DataF
     return hashed.groupBy("content_sha256").agg(F.min("k").alias("first_id"), F.array_sort(F.collect_list("k")).alias("source_ids"), F.count("*").alias("copies"))
 
 
+def exact_classes(docs: DataFrame, content: Column, key: str = "doc_id") -> DataFrame:
+    """Each document's content_sha256 with the smallest key and the number of documents that share it; no group is gathered."""
+    hashed = docs.select(F.col(key), F.sha2(content, 256).alias("content_sha256"))
+    groups = hashed.groupBy("content_sha256").agg(F.min(key).alias("first_id"), F.count("*").alias("copies"))
+    return hashed.join(groups, "content_sha256").select(key, "content_sha256", "first_id", "copies")
+
+
 _PDF_FIRST, _PAGE_SECOND = 0, 1
 
 

@@ -7,7 +7,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
+
+from marlstone.operators.ranking import with_rank
 
 # What the two loads refresh and what counts as a difference.
 DOCUMENT_KEY, DOCUMENT_SET, DOCUMENT_DIFF = ["content_sha256"], ["source_ids", "body", "extract_tier", "chars", "page_count", "fetched_at"], ["body", "source_ids", "extract_tier", "chars", "page_count"]
@@ -59,13 +60,10 @@ def upsert_policies(target: DataFrame, stage: DataFrame) -> DataFrame:
 
 
 def with_ids(rows: DataFrame, order: str, id_column: str = "id") -> DataFrame:
-    """Fill null ids with numbers above the largest, by ``order``: ranks within hash prefixes plus the prefixes before."""
+    """Fill null ids with numbers above the largest, by ``order``."""
     top = rows.agg(F.coalesce(F.max(id_column), F.lit(0)).alias("top"))
-    new = rows.where(F.col(id_column).isNull()).select(F.col(order).alias("_k")).withColumn("_p", F.substring("_k", 1, 3))
-    before = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
-    counts = new.groupBy("_p").agg(F.count("*").alias("_c")).select("_p", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_b"))
-    ranked = new.withColumn("_r", F.row_number().over(Window.partitionBy("_p").orderBy("_k"))).join(F.broadcast(counts), "_p")
-    ids = ranked.crossJoin(F.broadcast(top)).select("_k", (F.col("top") + F.col("_b") + F.col("_r")).cast("long").alias("_id"))
+    new = with_rank(rows.where(F.col(id_column).isNull()).select(F.col(order).alias("_k")), [F.col("_k")], "_r")
+    ids = new.crossJoin(F.broadcast(top)).select("_k", (F.col("top") + F.col("_r")).alias("_id"))  # one row of top
     return rows.join(ids, F.col(order) == F.col("_k"), "left").withColumn(id_column, F.coalesce(id_column, "_id")).drop("_k", "_id")
 
 

@@ -30,7 +30,9 @@ def read_jsonl_counted(spark: SparkSession, path: str, schema: T.StructType) ->
 def with_sequence(records: DataFrame, by: list[str] | None = None) -> DataFrame:
     """A log with ``seq``, the order its records were appended in: by file and place, or by the given columns."""
     if by:
-        return records.withColumn("seq", F.row_number().over(Window.orderBy(*by)).cast("long"))
+        from marlstone.operators.ranking import with_rank
+
+        return with_rank(records, [F.col(c) for c in by], "seq")
     return records.withColumn("seq", F.monotonically_increasing_id())
 
 
