@@ -20,6 +20,7 @@ gives no rows. Columns named like a result column are replaced.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 from typing import Any
 
 import numpy as np
@@ -27,7 +28,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.window import Window
 
 from marlstone.llm.batches import map_texts, raw, word_hashes, words
 from marlstone.storage import materialize
@@ -127,8 +127,8 @@ def train(docs: DataFrame, labels: DataFrame, domain: F.Column, names: list[str]
     """A classifier from the first TRAIN_DOCS labelled documents of each domain in hash order."""
     known = labels.where(F.col(doc_id).isNotNull()).select(F.col(doc_id).cast("long").alias("doc_id"), domain.alias("domain")).where(F.col("doc_id").isNotNull() & F.col("domain").isin(names)).groupBy("doc_id").agg(F.max("domain").alias("domain"))
     counts = {r.domain: r["count"] for r in known.groupBy("domain").count().collect()}
-    order = Window.partitionBy("domain").orderBy(F.xxhash64("doc_id"), "doc_id")
-    picked = known.withColumn("r", F.row_number().over(order)).where(F.col("r") <= TRAIN_DOCS).select("doc_id", "domain")
+    parts = [known.where(F.col("domain") == n).orderBy(F.xxhash64("doc_id"), "doc_id").limit(TRAIN_DOCS) for n in names]
+    picked = reduce(DataFrame.union, parts).select("doc_id", "domain")
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).join(F.broadcast(picked), "doc_id").select("doc_id", "domain", "text")
 
     def work() -> Callable[[pa.RecordBatch], dict[str, Any]]:
