@@ -44,7 +44,7 @@ from marlstone.llm.batches import as_utf8, map_texts, powers, raw
 from marlstone.llm.chunks import Memo, Ragged, distinct
 
 #: Words whose ids a worker remembers, words solved at once, and their characters with padding.
-MEMO, TOGETHER, CELLS = 600_000, 16_384, 1 << 18
+MEMO, TOGETHER, CELLS = 200_000, 16_384, 1 << 18
 _SPACE = "▁"
 _MARK = _SPACE.encode()
 _BASE = np.uint64(0x9E3779B97F4A7C15)
