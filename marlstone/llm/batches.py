@@ -104,7 +104,7 @@ def inverse(base: int = _MULTIPLIER) -> int:
     return pow(base, -1, 1 << 64)
 
 
-def window_hashes(h: np.ndarray, first: np.ndarray, width: int) -> np.ndarray:
+def window_hashes(h: np.ndarray, width: int) -> np.ndarray:
     """The hash of h[i : i + width] for every i where it fits, else of what is left; callers mask those."""
     n = len(h)
     if not n:

@@ -85,7 +85,7 @@ def _keys(docs: DataFrame) -> DataFrame:
     def work():
         def one(part: pa.RecordBatch) -> dict:
             h, first = _hashed(part, "text")
-            seeds, keys = window_hashes(h, first, SEED_WORDS), window_hashes(h, first, KEY_WORDS)
+            seeds, keys = window_hashes(h, SEED_WORDS), window_hashes(h, KEY_WORDS)
             at = [selected(h[a:b], seeds[a:b]) for a, b in zip(first[:-1], first[1:])]
             flat = np.concatenate([np.zeros(0, np.int64), *[x + a for x, a in zip(at, first)]])
             owner = np.repeat(np.arange(len(at)), [len(x) for x in at])
@@ -115,7 +115,7 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in slices(batch, "text"):
             h, first = _hashed(part, "text")
-            keys = window_hashes(h, first, KEY_WORDS)
+            keys = window_hashes(h, KEY_WORDS)
             short = np.maximum(h >> np.uint64(32), np.uint64(1)).astype(">u4")
             at = part.column(part.schema.get_field_index("at")).to_pylist()
             digests = part.column(part.schema.get_field_index("digest")).to_pylist()

@@ -111,7 +111,7 @@ def _thin(ids: np.ndarray, c: np.ndarray, k: int) -> np.ndarray:
     return np.sort(order[np.arange(len(order)) - heads <= k])
 
 
-def _none(ids: np.ndarray, other: np.ndarray) -> np.ndarray:
+def _is_self(ids: np.ndarray, other: np.ndarray) -> np.ndarray:
     return ids[:, None] == other[None, :]
 
 
@@ -127,7 +127,7 @@ def _first(k: int):
                 keep = _thin(c_ids, c, k)
                 c_ids, c = c_ids[keep], c[keep]
                 lists, _ = _scores(q, c)
-                own = _none(q_ids, c_ids)
+                own = _is_self(q_ids, c_ids)
                 low = np.iinfo(np.int64).min if lists[0].dtype == np.int64 else -np.inf
                 seen = np.zeros(own.shape, bool)
                 for part in lists:
@@ -156,7 +156,7 @@ def _rest(k: int):
                 c_ids, c = c_ids[keep], c[keep]
                 cutoffs = {x["query_id"]: x["cutoff"] for x in row["cutoffs"] or []}
                 lists, _ = _scores(q, c)
-                own = _none(q_ids, c_ids)
+                own = _is_self(q_ids, c_ids)
                 qs, vs, ss = [], [], []
                 for i, query in enumerate(q_ids.tolist()):
                     cut = cutoffs.get(query)
