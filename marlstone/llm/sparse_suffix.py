@@ -277,7 +277,7 @@ def repeated_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     text_no = F.xxhash64("digest")  # a number, so that the aggregates are hashed and not sorted
     shared = once.groupBy("key").agg(F.min(text_no).alias("a"), F.max(text_no).alias("b")).where(F.col("a") != F.col("b")).select(F.col("key").alias("k"))
     kept = once.join(shared, F.col("key") == F.col("k"), "left_semi")
-    places = kept.groupBy("digest", F.col("doc_id").alias("of")).agg(F.array_distinct(F.flatten(F.collect_list("at"))).alias("at"))
+    places = materialize(kept.groupBy("digest", F.col("doc_id").alias("of")).agg(F.array_distinct(F.flatten(F.collect_list("at"))).alias("at")), "suffix-places")
     texts = rows.withColumn("d", F.md5("text")).join(places, F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("d") == F.col("digest"))).select("digest", "text", "at")
     suffixes = materialize(texts.mapInArrow(_contexts, _SUFFIX).drop("n_words"), "suffix-contexts")
     order = ["key", "right", "left", "digest", "at"]
