@@ -13,6 +13,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _KEY = "spark.checkpoint.dir"
+_MADE: list[str] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -34,6 +35,7 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: lineage ends there."""
     spark = df.sparkSession
     path = new_path(spark, name)
+    _MADE.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -45,5 +47,11 @@ def drop_path(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def release(spark: SparkSession) -> None:
+    """Remove every table ``materialize`` wrote in this process; results not yet written are lost with them."""
+    while _MADE:
+        drop_path(spark, _MADE.pop())
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
