@@ -56,6 +56,9 @@ def exact_classes(docs: DataFrame, content: Column, key: str = "doc_id") -> Data
 
 _PDF_FIRST, _PAGE_SECOND = 0, 1
 
+# The kinds of sources and the tier of rendered pages.
+PDF_KIND, PAGE_KIND, PAGE_TIER = "pdf", "simple_syllabus", "rendered_html"
+
 
 def build_documents(pdf_log: DataFrame, page_log: DataFrame, extractions: DataFrame, texts: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Documents (one per content hash) and the map source_id to content_sha256.
@@ -70,12 +73,12 @@ def build_documents(pdf_log: DataFrame, page_log: DataFrame, extractions: DataFr
     pdf = pdf.join(body, F.col("ex_path") == F.col("p"), "left")
     null = F.lit(None).cast("string")
     files = pdf.select(
-        "sha256", "doc_id", "seq", F.lit(_PDF_FIRST).alias("rank"), F.lit("pdf").alias("source_kind"), null.alias("source_url"), "original_filename", F.col("bytes").alias("byte_size"), F.col("pages").alias("page_count"), F.col("text").alias("body"), F.col("tier").alias("extract_tier"), F.col("ex_chars").alias("chars"), F.col("chars_per_page").cast("decimal(12,1)").alias("chars_per_page"), null.alias("last_updated"), "fetched_at"
+        "sha256", "doc_id", "seq", F.lit(_PDF_FIRST).alias("rank"), F.lit(PDF_KIND).alias("source_kind"), null.alias("source_url"), "original_filename", F.col("bytes").alias("byte_size"), F.col("pages").alias("page_count"), F.col("text").alias("body"), F.col("tier").alias("extract_tier"), F.col("ex_chars").alias("chars"), F.col("chars_per_page").cast("decimal(12,1)").alias("chars_per_page"), null.alias("last_updated"), "fetched_at"
     )
     page = ok_only(page_log).join(body, F.col("text_path") == F.col("p"), "left")
     none = F.lit(None).cast("int")
     pages = page.select(
-        "sha256", "doc_id", "seq", F.lit(_PAGE_SECOND).alias("rank"), F.lit("simple_syllabus").alias("source_kind"), F.col("url").alias("source_url"), null.alias("original_filename"), none.alias("byte_size"), none.alias("page_count"), F.col("text").alias("body"), F.lit("rendered_html").alias("extract_tier"), "chars", F.lit(None).cast("decimal(12,1)").alias("chars_per_page"), "last_updated", "fetched_at"
+        "sha256", "doc_id", "seq", F.lit(_PAGE_SECOND).alias("rank"), F.lit(PAGE_KIND).alias("source_kind"), F.col("url").alias("source_url"), null.alias("original_filename"), none.alias("byte_size"), none.alias("page_count"), F.col("text").alias("body"), F.lit(PAGE_TIER).alias("extract_tier"), "chars", F.lit(None).cast("decimal(12,1)").alias("chars_per_page"), "last_updated", "fetched_at"
     )
     rows = files.unionByName(pages).withColumn("at", F.struct("rank", "seq"))
     attributes = [c for c in files.columns if c not in ("sha256", "doc_id", "seq", "rank")]

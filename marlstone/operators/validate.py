@@ -17,6 +17,13 @@ AI_LABELS = ["not addressed", "required", "permitted", "conditional", "restricte
 LABELS = {"phone": DEVICE_LABELS, "laptop": DEVICE_LABELS, "ai": AI_LABELS}
 CONFIDENCE, COMPLETENESS, STATUSES = ["high", "medium", "low"], ["full", "stub"], ["clear", "undecided", "contradictory"]
 
+# Wordings that readers of the rejection log know.
+NOT_ASKED = "not a document we asked for"
+QUARANTINED = "quarantined or empty document, refusing to score"
+DUPLICATE = "duplicate record"
+NOT_JSON = "not valid JSON yet (still being written)"
+SOFT_NOTE = ": matched after normalizing extraction noise"
+
 
 def _clean(c: Column) -> Column:
     return F.lower(F.trim(F.coalesce(c, F.lit(""))))
@@ -50,8 +57,8 @@ def first_reason(rules: list[tuple[str, Column]]) -> Column:
 def document_rules() -> list[tuple[str, Column]]:
     """Rules before the scales': ``_matched`` tells a missing document from one without text."""
     return [
-        ("not a document we asked for", F.col("_matched").isNull()),
-        ("quarantined or empty document, refusing to score", F.coalesce(F.col("body"), F.lit("")) == ""),
+        (NOT_ASKED, F.col("_matched").isNull()),
+        (QUARANTINED, F.coalesce(F.col("body"), F.lit("")) == ""),
         ("document_completeness not full/stub", ~_clean(F.col("document_completeness")).isin(COMPLETENESS)),
     ]
 
@@ -76,8 +83,8 @@ def check(records: DataFrame, documents: DataFrame) -> DataFrame:
     earlier = Window.partitionBy("document_id").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
     seen = F.coalesce(F.max(F.col("_own").isNull()).over(earlier), F.lit(False))
     scored = F.filter("_soft", lambda x: reduce(lambda a, s: a | ((x["scale"] == s) & (F.col(f"{s}_score") > 0)), LABELS, F.lit(False)))
-    notes = F.transform(scored, lambda x: F.concat(x["scale"], F.lit(": matched after normalizing extraction noise")))
-    rows = rows.withColumn("reason", F.when(seen, F.lit("duplicate record")).otherwise(F.col("_own")))
+    notes = F.transform(scored, lambda x: F.concat(x["scale"], F.lit(SOFT_NOTE)))
+    rows = rows.withColumn("reason", F.when(seen, F.lit(DUPLICATE)).otherwise(F.col("_own")))
     rows = rows.withColumn("evidence_notes", F.nullif(F.array_join(notes, "; "), F.lit("")))
     return rows.drop("body", "_matched", "_own", "_soft", *[f"{s}_missing" for s in LABELS])
 
@@ -114,7 +121,7 @@ def batch_gate(files: DataFrame, wanted: DataFrame, quarantined: DataFrame) -> D
     expected = wanted.select("file", "document_id").distinct().join(held, "document_id", "left").groupBy("file").agg(F.count_if(F.col("_held").isNull()).alias("expected"))
     rows = files.join(expected, "file", "left")
     short = F.concat(F.col("n_records").cast("string"), F.lit(" of "), F.col("expected").cast("string"), F.lit(" records - incomplete"))
-    return rows.withColumn("reason", F.when(~F.col("valid"), F.lit("not valid JSON yet (still being written)")).when(F.col("n_records") < F.col("expected"), short))
+    return rows.withColumn("reason", F.when(~F.col("valid"), F.lit(NOT_JSON)).when(F.col("n_records") < F.col("expected"), short))
 
 
 def quarantined_ids(documents: DataFrame) -> DataFrame:
