@@ -14,7 +14,7 @@ ascending order. Reading one document opens the blocks whose range covers it, ch
 hash and decompresses its frame alone.
 
 Cases: a null text is an empty one and still gets its end id. Null ids come first. Rows that
-share an id all stay, ordered by text. An empty table gives a store without blocks. Too few
+share an id all stay, ordered by their text's hash. An empty table gives a store without blocks. Too few
 documents to train on give an empty dictionary. Other columns are not read.
 """
 
@@ -193,7 +193,9 @@ def write_store(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2, doc
             size += len(ids)
     trained = train_dictionary(samples)
     spark.createDataFrame([(bytearray(trained), dict_hash(trained), kind.itemsize, os.path.basename(tokenizer), end_id)], "dictionary binary, dict_hash string, width int, tokenizer string, end_id long").coalesce(1).write.parquet(f"{path}/dictionary")
-    ordered = docs.repartitionByRange("doc_id", "text").sortWithinPartitions("doc_id", "text")
+    # Bounds of ranges are drawn from a sample of the keys at the driver: numbers, not texts.
+    keyed = docs.withColumn("h", F.xxhash64("text"))
+    ordered = keyed.repartitionByRange("doc_id", "h").sortWithinPartitions("doc_id", "h", "text").drop("h")
     ordered.mapInArrow(_packer(tokenizer, kind.str, trained, end_id), BLOCKS).write.parquet(f"{path}/blocks")
 
 
