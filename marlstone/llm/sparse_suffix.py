@@ -142,8 +142,9 @@ def _common(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.where(same.all(axis=1), a.shape[1], (~same).argmax(axis=1))
 
 
-_MARKS = "digest string, start int, end int, at int, window long"
-_NAMES = ["digest", "start", "end", "at", "window"]
+#: A marked place has start and end; a passage to be met has its hash, the words before its places, and those.
+_MARKS = "digest string, start int, end int, window long, before int, places array<int>"
+_NAMES = ["digest", "start", "end", "window", "before", "places"]
 
 
 def _extended(rows: list[np.ndarray], one: np.ndarray, two: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -225,21 +226,36 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def marked(rows: list[np.ndarray]) -> pa.RecordBatch:
         start, end = _matches(rows)
         ok = np.flatnonzero(end)
-        none = pa.nulls(len(ok), pa.int64())
-        return pa.RecordBatch.from_arrays([pa.array(rows[3][ok].tolist(), pa.string()), pa.array(start[ok].astype(np.int32)), pa.array(end[ok].astype(np.int32)), pa.array(rows[4][ok]), none], names=_NAMES)
+        none = [pa.nulls(len(ok), kind) for kind in (pa.int64(), pa.int32(), pa.list_(pa.int32()))]
+        return pa.RecordBatch.from_arrays([pa.array(rows[3][ok].tolist(), pa.string()), pa.array(start[ok].astype(np.int32)), pa.array(end[ok].astype(np.int32)), *none], names=_NAMES)
 
     def passages(rows: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        """Hashes to be met elsewhere: of those that two texts have here already (and which are marked) one each, of the others all."""
+        """Hashes to be met elsewhere, a row for each text that has one, with all its places.
+
+        What two texts have here is marked already: two texts with a place each stand for them,
+        so that either text meets the other wherever else it has the passage.
+        """
         text = np.unique(rows[3], return_inverse=True)[1]
         for l, h, fits in _windows(rows):
             hit = np.flatnonzero(fits)
             if not len(hit):
                 continue
-            twice = _in_two_texts(h[hit], text[hit])
-            _, first = np.unique(np.where(twice, h[hit], mix(h[hit] + text[hit].astype(np.uint64))), return_index=True)
-            hit = hit[first]
-            start = (rows[4][hit] - l).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([pa.array(rows[3][hit].tolist(), pa.string()), pa.array(start), pa.array((start + MIN_WORDS).astype(np.int32)), pa.array(rows[4][hit]), pa.array(h[hit].view(np.int64))], names=_NAMES)
+            hit = hit[np.lexsort((text[hit], h[hit]))]
+            hs, ts = h[hit], text[hit]
+            new = np.concatenate([[True], hs[1:] != hs[:-1]])
+            heads = np.flatnonzero(new | np.concatenate([[True], ts[1:] != ts[:-1]]))
+            group = np.cumsum(new)[heads]
+            opens, ends = np.concatenate([[True], group[1:] != group[:-1]]), np.concatenate([group[1:] != group[:-1], [True]])
+            size = np.where(opens & ends, np.diff(np.append(heads, len(hit))), 1)
+            given = opens | ends
+            heads, size = heads[given], size[given]
+            first = np.concatenate([[0], np.cumsum(size)])
+            places = rows[4][hit[np.repeat(heads - first[:-1], size) + np.arange(first[-1])]].astype(np.int32)
+            none = pa.nulls(len(heads), pa.int32())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(rows[3][hit[heads]].tolist(), pa.string()), none, none, pa.array(hs[heads].view(np.int64)), pa.array(np.full(len(heads), l, np.int32)), pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pa.array(places))],
+                names=_NAMES,
+            )
 
     def done(rows: list[np.ndarray], whole: bool) -> Iterator[pa.RecordBatch]:
         yield marked(rows)
@@ -286,7 +302,9 @@ def repeated_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     spans = marks.where("window is null").select("digest", "start", "end")
     met = marks.where("window is not null")
     twice = met.groupBy("window").agg(F.min(text_no).alias("a"), F.max(text_no).alias("b")).where(F.col("a") != F.col("b")).select(F.col("window").alias("w"))
-    spans = spans.union(met.join(twice, F.col("window") == F.col("w"), "left_semi").groupBy("digest", "at").agg(F.min("start").alias("start"), F.max("end").alias("end")).select("digest", "start", "end"))
+    found_far = met.join(twice, F.col("window") == F.col("w"), "left_semi").select("digest", "before", F.explode("places").alias("at"))
+    found_far = found_far.groupBy("digest", "at").agg(F.min(F.col("at") - F.col("before")).alias("start"), F.max(F.col("at") - F.col("before") + MIN_WORDS).alias("end"))
+    spans = spans.union(found_far.select("digest", "start", "end"))
     spans = spans.groupBy("digest").agg(F.collect_set(F.struct("start", "end")).alias("places"))
     merged = spans.select("digest", _merge(F.array_sort("places")).alias("merged"))
     whole = F.array(F.struct(F.lit(0).cast("long").alias("start"), F.col("n_words").alias("end")))

@@ -97,3 +97,39 @@ def test_groups_too_large_to_hold(monkeypatch):
     out = pa.Table.from_batches(list(sparse_suffix._neighbours(iter([batch])))).to_pylist()
     assert {r["digest"] for r in out if r["window"] is None} == {f"{i:04}" for i in range(n)}
     assert len({r["window"] for r in out if r["window"] is not None}) == sparse_suffix.WINDOW
+
+
+def _suffix_batch(digests, at):
+    n = len(digests)
+    right = np.tile(np.arange(1, sparse_suffix.RIGHT + 1, dtype=">u4"), (n, 1))
+    left = np.tile(np.arange(1, sparse_suffix.LEFT + 1, dtype=">u4"), (n, 1))
+    return pa.RecordBatch.from_arrays([pa.array(np.full(n, 7)), sparse_suffix._fixed(right), sparse_suffix._fixed(left), pa.array(digests), pa.array(np.array(at, np.int32))], names=["key", "right", "left", "digest", "at"])
+
+
+def test_all_places_of_a_text_are_given_out():
+    """A range with one text gives out every place; one with two texts gives out both."""
+    at = list(range(30, 330, 10))
+    alone = [r for b in sparse_suffix._neighbours(iter([_suffix_batch(["a"] * 30, at)])) for r in b.to_pylist() if r["window"] is not None]
+    assert len({r["window"] for r in alone}) == sparse_suffix.WINDOW
+    assert all(sorted(r["places"]) == at for r in alone)
+    both = [r for b in sparse_suffix._neighbours(iter([_suffix_batch(["a"] * 5 + ["b"] * 5, [*at[:5], *at[:5]])])) for r in b.to_pylist() if r["window"] is not None]
+    assert {r["window"] for r in both} == {r["window"] for r in alone}
+    assert all({r["digest"] for r in both if r["window"] == w} == {"a", "b"} for w in {r["window"] for r in both})
+
+
+def test_partner_in_another_chunk(spark, monkeypatch):
+    """A text with many places of one passage whose only partner lies in another range or chunk."""
+    rows = [(0, "una linea se repite aqui " * 400), (1, prose(30, 3) + " una linea se repite aqui" * 14), (2, prose(300, 4))]
+    monkeypatch.setattr(sparse_suffix, "_neighbours", _in_small_chunks())
+    assert found(sparse_suffix.repeated_passages(documents(spark, rows))) == brute(rows)
+
+
+def _in_small_chunks():
+    def work(batches):
+        from marlstone.llm import sparse_suffix as there  # the worker's own, which is not patched
+
+        there.HELD, held = 64, there.HELD
+        yield from there._neighbours(batches)
+        there.HELD = held
+
+    return work
