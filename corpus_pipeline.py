@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 from marlstone.llm import line_crf, piece_fst, secret_forest, simhash_ring, soft_mixing
 from marlstone.storage import materialize, table
 
+#: Jaccard similarity of five-word shingles from which documents are near copies.
+SIMILARITY = 0.8
 #: Targets as multiples of the tokens a domain has, without the documents of the barred ones.
 SHARES, BARRED = {"clean": 1.0, "junk": 1.0, "toxic": 1.0}, ("toxic",)
 
@@ -24,8 +26,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of linked fingerprints."""
-    return simhash_ring.keep_one(docs)
+    """One document of each group linked by fingerprints or by five-word shingles."""
+    return simhash_ring.keep_one(docs, similarity=SIMILARITY)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

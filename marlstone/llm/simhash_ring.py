@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from marlstone.llm import shingle_bands
 from marlstone.llm.batches import map_texts, raw
 from marlstone.operators.components import connected_components
 from marlstone.storage import materialize
@@ -240,16 +241,32 @@ def _labels(rows: DataFrame) -> DataFrame:
     return first.join(found.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "first_id", F.coalesce("component", "fp").alias("component"))
 
 
-def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def _labels_alike(rows: DataFrame, texts: DataFrame, similarity: float, shingle: int) -> DataFrame:
+    """Like _labels, and components that hold texts of the similarity are one; ``rows`` have digest and bands too."""
+    of = materialize(_labels(rows), "simhash-labels")
+    once = rows.groupBy("digest").agg(F.first("fp").alias("fp"), F.first("bands").alias("bands"))
+    banded = materialize(once.join(of.select("fp", F.col("component").alias("group")), "fp").select(F.xxhash64("digest").alias("id"), "group", "bands"), "bands")
+    texts = texts.select(F.xxhash64("digest").alias("id"), "text")
+    found = connected_components(shingle_bands.links(banded, texts, similarity, shingle), "shingle-links").withColumnRenamed("component", "whole")
+    return of.join(found, F.col("component") == F.col("node"), "left").select("fp", "first_id", F.coalesce("whole", "component").alias("component"))
+
+
+def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similarity: float | None = None, shingle: int = shingle_bands.SHINGLE) -> DataFrame:
     """``docs`` with one row of each component: that with the smallest id, then the smallest digest of its text.
 
+    With ``similarity``, texts whose shingles of ``shingle`` words have that Jaccard similarity
+    are linked too, however far apart their fingerprints are.
     Rows without an id stay only in components that hold no id. Of rows with the same id and
     text one stays.
     """
     digest = F.md5(F.coalesce(F.col(text).cast("string"), F.lit("")))
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    rows = materialize(with_fingerprints(rows.withColumn("digest", F.md5(F.coalesce("text", F.lit(""))))).select("doc_id", "digest", "fp"), "simhash-rows")
-    of = _labels(rows).select(F.col("fp").alias("of_fp"), "component")
+    rows = texts = rows.withColumn("digest", F.md5(F.coalesce("text", F.lit(""))))
+    if similarity is not None:
+        rows = shingle_bands.with_bands(rows, shingle=shingle)
+    rows = materialize(with_fingerprints(rows).drop("text"), "simhash-rows")
+    of = _labels(rows) if similarity is None else _labels_alike(rows, texts, similarity, shingle)
+    of = of.select(F.col("fp").alias("of_fp"), "component")
     # A fingerprint's own best row first, so that copies are gone before the components meet.
     own = rows.groupBy("fp").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "digest")).alias("best"))
     best = own.join(of, F.col("fp") == F.col("of_fp")).groupBy("component").agg(F.min("best").alias("best"))

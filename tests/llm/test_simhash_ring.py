@@ -100,3 +100,46 @@ def test_keep_one(spark):
     assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted([(4, rows[10][1]), (20, rows[11][1]), (None, rows[14][1]), (21, rows[15][1]), (21, rows[16][1])], key=str)
     assert simhash_ring.keep_one(documents(spark, [])).count() == 0
     assert simhash_ring.keep_one(documents(spark)).where(F.col("doc_id").isin(4, 5, 12)).count() == 1
+
+
+def _shingle_set(text):
+    words = re.split(r"[\x20\x09-\x0D]+", text.lower().strip())
+    return {tuple(words[i : i + 5]) for i in range(len(words) - 4)}
+
+
+def test_near_copies_beyond_the_fingerprints_distance(spark):
+    """Texts of five-word Jaccard 0.8 or more leave one, wherever their fingerprints are; less alike ones stay."""
+    rng, rows = random.Random(3), []
+    for g in range(40):
+        base = prose(120, 900 + g).split()
+        rows.append((10 * g, " ".join(base)))
+        for k in range(1, 4):
+            w = base[:]
+            for at in rng.sample(range(5, 115), 2):
+                w[at] = f"edit{rng.randrange(10**6)}"
+            rows.append((10 * g + k, " ".join(w)))
+    alike = [(i, j) for i, a in rows for j, b in rows if i < j and i // 10 == j // 10 and len(_shingle_set(a) & _shingle_set(b)) >= 0.8 * len(_shingle_set(a) | _shingle_set(b))]
+    text = dict(rows)
+    assert any((plain(text[i]) ^ plain(text[j])).bit_count() > simhash_ring.DISTANCE for i, j in alike)
+    kept = {r.doc_id for r in simhash_ring.keep_one(documents(spark, rows), similarity=0.8).collect()}
+    assert not any(i in kept and j in kept for i, j in alike)
+    assert {i - i % 10 for i in kept} == {10 * g for g in range(40)}
+    changed = [(i, " ".join(w if n % 12 else f"new{i}" for n, w in enumerate(t.split()))) for i, t in rows if i % 10 == 0]
+    low = [(i + 5, t) for i, t in changed]
+    ids = {r.doc_id for r in simhash_ring.keep_one(documents(spark, [r for r in rows if r[0] % 10 == 0] + low), similarity=0.8).collect()}
+    plainly = {r.doc_id for r in simhash_ring.keep_one(documents(spark, [r for r in rows if r[0] % 10 == 0] + low)).collect()}
+    assert ids == plainly
+
+
+def test_stage_links_near_copies(spark, sf):
+    import corpus_pipeline
+
+    base = prose(120, 61).split()
+    rows, far = [(1, " ".join(base))], 0
+    for k in range(2, 12):
+        w = base[:]
+        w[40 + k], w[80 - k] = f"one{k}", f"two{k}"
+        rows.append((k, " ".join(w)))
+        far += (plain(rows[0][1]) ^ plain(rows[-1][1])).bit_count() > simhash_ring.DISTANCE
+    assert far
+    assert [r.doc_id for r in corpus_pipeline.near_duplicates(spark, documents(spark, rows), sf).collect()] == [1]
