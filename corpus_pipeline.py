@@ -16,7 +16,7 @@ from marlstone.storage import materialize, table
 #: Jaccard similarity of five-word shingles from which documents are near copies.
 SIMILARITY = 0.8
 #: Targets as multiples of the tokens a domain has, without the documents of the barred ones.
-SHARES, BARRED = {"clean": 1.0, "junk": 1.0, "toxic": 1.0}, ("toxic",)
+SHARES, BARRED = {"clean": 1.25, "junk": 1.25, "toxic": 1.0}, ("toxic",)
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,11 +36,11 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as its rate says, rounded to whole copies."""
+    """Each document as often as its rate says; one copy more or less by its hash, so that totals are kept."""
     labels = table(spark, sf_dir, "labels")
     model = soft_mixing.train(docs, labels, soft_mixing.domain_of(labels), soft_mixing.DOMAINS)
     mixed = soft_mixing.mix(docs, model, SHARES, without=BARRED)
-    copies = F.floor(F.col("rate") + 0.5).cast("int")
+    copies = soft_mixing.copies(F.col("rate"), *[F.col(c) for c in docs.columns])
     return mixed.withColumn("_copy", F.explode(F.when(copies > 0, F.sequence(F.lit(1), copies)))).select(*docs.columns)
 
 

@@ -195,6 +195,12 @@ def fit_rates(rows: DataFrame, targets: dict[str, float], names: list[str], roun
     return steps
 
 
+def copies(rate: F.Column, *row: F.Column) -> F.Column:
+    """Whole copies of a row: floor(rate), and one more if a hash of the row is below the fraction, so that the expected number is the rate."""
+    place = F.shiftrightunsigned(F.xxhash64(F.lit("copies"), *row), 11) / F.lit(float(1 << 53))
+    return (F.floor(rate) + F.when(place < rate - F.floor(rate), 1).otherwise(0)).cast("int")
+
+
 def mix(docs: DataFrame, model: Classifier, shares: dict[str, float], budget: float = 1.0, text: str = "text", rounds: int = ROUNDS, keep: list[str] | None = None, without: tuple[str, ...] = ()) -> DataFrame:
     """Columns ``keep`` of ``docs`` with n_tokens, posteriors and rate.
 

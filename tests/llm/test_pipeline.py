@@ -1,6 +1,8 @@
 from collections import Counter
 
+import numpy as np
 import public_tokenizers
+import pytest
 import sentencepiece
 from edges import CLASHING, documents, prose
 
@@ -57,3 +59,25 @@ def test_edges(spark, sf):
             assert rows.columns == COLUMNS
         assert corpus_pipeline.STAGES[-1][1](spark, rows, sf).count() == rows.count()
     assert "kept" in CLASHING.lower()
+
+
+def test_mixing_meets_its_targets(spark, sf):
+    """Token totals after copying, by the posteriors of the documents that are copied."""
+    from marlstone.llm import soft_mixing
+    from marlstone.storage import table
+
+    base = sf.replace("sf0.001", "sf0.1")
+    docs, marks = table(spark, base, "documents"), table(spark, base, "labels")
+    names = soft_mixing.DOMAINS
+    model = soft_mixing.train(docs, marks, soft_mixing.domain_of(marks), names)
+    found = soft_mixing.with_posteriors(docs, model).select("doc_id", "n_tokens", *[f"p_{n}" for n in names]).toPandas().set_index("doc_id")
+    p = found[[f"p_{n}" for n in names]].to_numpy()
+    tokens = found.n_tokens.to_numpy(float)[:, None] * p
+    have = tokens[p.argmax(axis=1) != names.index("toxic")].sum(axis=0)
+    times = Counter(r.doc_id for r in corpus_pipeline.mixing(spark, docs, base).select("doc_id").collect())
+    total = (np.array([times[i] for i in found.index])[:, None] * tokens).sum(axis=0)
+    clean = names.index("clean")
+    assert corpus_pipeline.SHARES["clean"] != corpus_pipeline.SHARES["toxic"]
+    assert total[clean] == pytest.approx(corpus_pipeline.SHARES["clean"] * have[clean], rel=0.03)
+    assert total.sum() == pytest.approx(sum(corpus_pipeline.SHARES[n] * h for n, h in zip(names, have)), rel=0.05)
+    print("totals / targets", {n: float(t / (corpus_pipeline.SHARES[n] * h)) for n, t, h in zip(names, total, have)})

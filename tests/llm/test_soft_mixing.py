@@ -65,3 +65,13 @@ def test_edges(spark):
     flat = soft_mixing.train(docs, labels(spark), soft_mixing.domain_of(labels(spark)), NAMES)
     assert soft_mixing.with_posteriors(docs, flat).first().p_junk == pytest.approx(1 / 3)
     assert soft_mixing.mix(documents(spark, []), model, {"clean": 1.0}).count() == 0
+
+
+def test_copies_keep_the_totals(spark):
+    rates = [0.0, 0.25, 0.5, 1.0, 1.05, 1.4, 1.5, 2.75]
+    rows = spark.createDataFrame([(i, rates[i % 8]) for i in range(16_000)], "i long, rate double")
+    got = rows.withColumn("n", soft_mixing.copies(F.col("rate"), F.col("i"))).groupBy("rate").agg(F.avg("n").alias("mean"), F.min("n").alias("low"), F.max("n").alias("high")).collect()
+    assert len(got) == 8
+    for r in got:
+        assert r.mean == pytest.approx(r.rate, abs=0.04)
+        assert (r.low, r.high) == (np.floor(r.rate), np.ceil(r.rate))
