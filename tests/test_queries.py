@@ -58,3 +58,8 @@ def test_nothing_else_imports_the_llm_subpackage():
     for path in glob.glob(f"{root}/marlstone/**/*.py", recursive=True):
         if "/llm/" not in path:
             assert "marlstone.llm" not in open(path).read(), path
+
+
+def test_fuzzy_evidence_checks_every_document(spark, sf):
+    found = catalog.queries()["fuzzy_evidence"](spark, sf).collect()
+    assert sum(r.n for r in found) == spark.read.parquet(f"{sf}/documents.parquet").count()
