@@ -2,33 +2,40 @@
 
 Equal texts form an atomic group. Groups are ordered by their smallest doc_id and get running
 sums of bytes. A binary search finds the smallest capacity at which greedy filling, group by
-group in order, needs no more than the given number of shards; the groups are cut there.
+group in order, needs no more than the given number of shards. The groups are cut so that no
+shard exceeds that capacity, and each cut lies as near as that allows to an equal part of what
+is left, so the last shards are no emptier than the first.
 
 The running sums stay in a table. The driver knows a bounded set of them: for each of about
 ``BUCKETS`` equal stretches the first and the last running sum in it. A capacity is surely enough if greedy
 cuts at known sums suffice, and surely too small if cuts anywhere inside unknown stretches
 don't. Where neither holds, the stretches that the cuts can fall in are split again, so a few
-passes give the exact capacity at any size.
+passes give the exact capacity at any size. Cuts are made at known sums; these lie no farther
+apart than a stretch or a group.
+
+Rows find their group's shard by a join on the group. Groups of more than 1 / ``HOT`` of all
+rows are fewer than ``HOT``, so they are broadcast, and their rows are never gathered.
 
 Cases: a null text has no bytes (size 8, crc32 0) and is a group of its own, apart from the
-empty text. Null ids come first. Rows that share an id or text all get a slot. Fewer groups
+empty text. Null ids come first. Rows that share an id or text all get a slot. Texts of any
+length are measured whole, and a long one is never shuffled, only its digest. Fewer groups
 than shards leave shards empty; one group larger than a fair share fills a shard alone. An
 empty table gives no rows. Other columns are not read.
 """
 
 from __future__ import annotations
 
-from bisect import bisect_right
-from functools import reduce
+from bisect import bisect_left, bisect_right
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from marlstone.llm.spread import HOT, join_spread
 from marlstone.storage import materialize
 
 #: Stretches that a pass splits the undecided ranges into, at most.
-BUCKETS = 8192
+BUCKETS = 4096
 ROW_BYTES = 8
 
 
@@ -39,7 +46,7 @@ def rows_of(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
         F.col(doc_id).cast("long").alias("doc_id"),
         (F.coalesce(F.octet_length(t), F.lit(0)) + ROW_BYTES).cast("long").alias("size"),
         F.coalesce(F.crc32(t.cast("binary")), F.lit(0)).cast("long").alias("text_crc32"),
-        F.coalesce(F.sha2(t, 256), F.lit("null")).alias("grp"),
+        F.coalesce(F.unhex(F.sha2(t, 256)), F.lit(b"null")).alias("grp"),
     )
 
 
@@ -89,9 +96,24 @@ class _Known:
     def fits(self, capacity: int, shards: int, hopeful: bool) -> bool:
         return self.cuts(capacity, shards, hopeful)[-1] >= self.points[-1]
 
+    def level(self, capacity: int, shards: int) -> list[int]:
+        """Cuts at known sums, each shard within the capacity and as near to an equal part of the rest as the later ones allow."""
+        total, needed = self.points[-1], [self.points[-1]]
+        for _ in range(shards - 1):  # from here on the shards behind can still take what is left
+            needed.append(self.points[bisect_left(self.points, needed[-1] - capacity)])
+        at, out = 0, []
+        for left, least in zip(range(shards, 1, -1), needed[-2::-1]):
+            aim = at + (total - at) / left
+            i = bisect_left(self.points, aim)
+            near = [p for p in self.points[max(i - 1, 0) : i + 1]]
+            best = min(near, key=lambda p: abs(p - aim), default=at)
+            at = min(max(best, least, at), self.reach(at, capacity, False))
+            out.append(at)
+        return [*out, total]
+
 
 def smallest_capacity(groups: DataFrame, shards: int) -> tuple[int, list[int]]:
-    """The least capacity and the running sums at which greedy filling cuts.
+    """The least capacity and the running sums at which shards end.
 
     ``groups`` has bytes and bytes_upto.
     """
@@ -105,7 +127,7 @@ def smallest_capacity(groups: DataFrame, shards: int) -> tuple[int, list[int]]:
         _refine(groups, known, ranges)
         low, high = _search(known, shards, low, high, True), _search(known, shards, low, high, False)
         if low == high and known.cuts(low, shards, True) == known.cuts(low, shards, False):
-            return low, known.cuts(low, shards, False)
+            return low, known.level(low, shards)
         ranges = []
         for a, b in zip(known.cuts(low, shards, False), known.cuts(high, shards, True)):
             i, j = bisect_right(known.points, a) - 1, bisect_right(known.points, b)
@@ -134,30 +156,35 @@ def _search(known: _Known, shards: int, low: int, high: int, hopeful: bool) -> i
 
 
 def _refine(groups: DataFrame, known: _Known, ranges: list[tuple[int, int]]) -> None:
-    """One pass: the first and last running sum of each stretch of each range (a, b], two stretches at least."""
+    """One pass: the first and last running sum of each stretch of each range (a, b], two stretches at least.
+
+    ``ranges`` are sorted and disjoint. A sum's range is the number of lower bounds under it.
+    """
     step = [max(1, min(-(-(b - a) * len(ranges) // BUCKETS), (b - a + 1) // 2)) for a, b in ranges]
-    p, new = F.col("bytes_upto"), {}
-    place = reduce(
-        lambda other, r: F.when((p > r[1][0]) & (p <= r[1][1]), F.struct(F.lit(r[0]).alias("r"), F.floor((p - r[1][0] - 1) / r[2]).cast("long").alias("s"))).otherwise(other),
-        [(i, r, s) for i, (r, s) in enumerate(zip(ranges, step))][::-1],
-        F.lit(None).cast("struct<r:int,s:bigint>"),
-    )
-    found = groups.select(place.alias("at"), "bytes_upto").where("at is not null").groupBy("at").agg(F.min(p).alias("first"), F.max(p).alias("last"), F.count("*").alias("n"))
-    for r in found.collect():
-        new[int(r.last)] = r.n <= 2
-        new[int(r.first)] = True
+    table = F.array(*[F.struct(F.lit(a).cast("long").alias("a"), F.lit(b).cast("long").alias("b"), F.lit(s).cast("long").alias("s")) for (a, b), s in zip(ranges, step)])
+    p = F.col("bytes_upto")
+    found = groups.select(p, F.size(F.filter(table, lambda r: r["a"] < p)).alias("r")).where("r > 0")
+    found = found.select(p, "r", F.element_at(table, F.col("r")).alias("in")).where(p <= F.col("in.b"))
+    found = found.groupBy("r", F.floor((p - F.col("in.a") - 1) / F.col("in.s")).alias("stretch")).agg(F.min(p).alias("first"), F.max(p).alias("last"), F.count("*").alias("n"))
+    found = found.agg(*[F.collect_list(c).alias(c) for c in ("first", "last", "n")])  # at most BUCKETS and a few per range
+    new: dict[int, bool] = {}
+    for row in found.collect():
+        for first, last, n in zip(row.first, row.last, row.n):
+            new[last] = new.get(last, False) or n <= 2
+            new[first] = True
     known.put(new)
 
 
 def shard(docs: DataFrame, shards: int, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, size, text_crc32, shard and slot of every row; sizes of shards are near equal."""
     rows = materialize(rows_of(docs, doc_id, text), "shard-rows")
-    groups = rows.groupBy("grp").agg(F.min("doc_id").alias("first_id"), F.sum("size").alias("bytes"))
+    groups = rows.groupBy("grp").agg(F.min("doc_id").alias("first_id"), F.sum("size").alias("bytes"), F.count("*").alias("n"))
     groups = materialize(running(groups, [F.col("first_id"), F.col("grp")], ["bytes"], "shard-groups"), "shard-sums")
     _, cuts = smallest_capacity(groups, shards)
-    number = reduce(lambda n, c: n + (F.col("bytes_upto") > c).cast("int"), cuts[:-1], F.lit(0))
-    placed = rows.join(groups.select("grp", number.alias("shard")), "grp").withColumn("one", F.lit(1).cast("long"))
+    ends = F.array(*[F.lit(c).cast("long") for c in cuts[:-1]])
+    number = F.size(F.filter(ends, lambda c: c < F.col("bytes_upto")))
+    placed = join_spread(rows, groups.select("grp", number.alias("shard"), "n"), ["grp"], "n").withColumn("one", F.lit(1).cast("long"))
     order = [F.col("shard"), F.col("doc_id"), F.col("grp")]
     ranked = running(placed.select("doc_id", "size", "text_crc32", "grp", "shard", "one"), order, ["one"], "shard-placed")
-    first = placed.groupBy("shard").agg(F.count("*").alias("n")).withColumn("before", F.coalesce(F.sum("n").over(Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    first = groups.groupBy(number.alias("shard")).agg(F.sum("n").alias("n")).withColumn("before", F.coalesce(F.sum("n").over(Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     return ranked.join(F.broadcast(first.select("shard", "before")), "shard").select("doc_id", "size", "text_crc32", "shard", (F.col("one_upto") - F.col("before") - 1).alias("slot"))

@@ -78,3 +78,31 @@ def test_query(spark, sf):
 def test_native_plan(spark, sf):
     plan = queries.op8_minimax_shards(spark, sf)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_shards_are_level(spark):
+    """No shard is emptier than its neighbours allow; a group beyond a fair share leaves none empty."""
+    rng = random.Random(1)
+    rows = [(i, prose(rng.randint(20, 60), i)) for i in range(1200)]
+    sizes = defaultdict(int)
+    for r in minimax_shards.shard(documents(spark, rows), 24).collect():
+        sizes[r.shard] += r.size
+    assert len(sizes) == 24 and min(sizes.values()) > 0.9 * max(sizes.values())
+    rows += [(i, rows[600][1]) for i in range(2000, 3000)]
+    sizes = defaultdict(int)
+    for r in minimax_shards.shard(documents(spark, rows), 24).collect():
+        sizes[r.shard] += r.size
+    rest = sorted(sizes.values())[:-1]
+    assert len(sizes) == 24 and rest[0] > 0.6 * rest[-1]
+
+
+def test_hot_groups_are_joined_whole(spark):
+    """More groups than HOT would call hot, one of them hot: every row is found once."""
+    from marlstone.llm.spread import HOT, join_spread
+
+    many = spark.range(6000).selectExpr("id", "if(id % 3 = 0, 0, id) AS k", "cast(null AS int) AS m")
+    one = many.groupBy("k").count().withColumnRenamed("count", "n").selectExpr("k", "k * 2 AS v", "n")
+    assert one.where(f"n * {HOT} > 6000").count() == 1
+    got = join_spread(many, one, ["k"], "n")
+    assert set(got.columns) == {"k", "id", "m", "v"}
+    assert sorted((r.id, r.v) for r in got.collect()) == [(i, 0 if i % 3 == 0 else 2 * i) for i in range(6000)]
