@@ -3,8 +3,9 @@
 Equal texts form an atomic group. Groups are ordered by their smallest doc_id and get running
 sums of bytes. A binary search finds the smallest capacity at which greedy filling, group by
 group in order, needs no more than the given number of shards. The groups are cut so that no
-shard exceeds that capacity, and each cut lies as near as that allows to an equal part of what
-is left, so the last shards are no emptier than the first.
+shard exceeds that capacity. Where one group alone decides it, the others are held to the least
+size at which greedy filling still does, and each cut lies as near to an equal part of what is
+left as that allows, so the last shards are no emptier than the first.
 
 The running sums stay in a table. The driver knows a bounded set of them: for each of about
 ``BUCKETS`` equal stretches the first and the last running sum in it. A capacity is surely enough if greedy
@@ -96,18 +97,43 @@ class _Known:
     def fits(self, capacity: int, shards: int, hopeful: bool) -> bool:
         return self.cuts(capacity, shards, hopeful)[-1] >= self.points[-1]
 
+    def soft(self, at: int, fair: int, capacity: int) -> int:
+        """The farthest cut from ``at`` of a shard of ``fair`` bytes, or of the next known sum alone where that is more."""
+        i = bisect_right(self.points, at)
+        p = max(self.reach(at, fair, False), self.points[min(i, len(self.points) - 1)])
+        return p if p - at <= capacity else at
+
     def level(self, capacity: int, shards: int) -> list[int]:
-        """Cuts at known sums, each shard within the capacity and as near to an equal part of the rest as the later ones allow."""
-        total, needed = self.points[-1], [self.points[-1]]
-        for _ in range(shards - 1):  # from here on the shards behind can still take what is left
-            needed.append(self.points[bisect_left(self.points, needed[-1] - capacity)])
+        """Cuts at known sums, no shard above the capacity.
+
+        A group beyond a fair size has a shard to itself, so that size is the least with which
+        greedy filling needs no more than ``shards``. Each cut then lies as near to an equal part
+        of what is left as the shards behind it allow.
+        """
+        total = self.points[-1]
+
+        def ends(fair: int) -> bool:
+            at = 0
+            for _ in range(shards):
+                at = self.soft(at, fair, capacity)
+            return at >= total
+
+        low, fair = 1, capacity
+        while low < fair:
+            mid = (low + fair) // 2
+            low, fair = (low, mid) if ends(mid) else (mid + 1, fair)
+        needed = [total]
+        for _ in range(shards - 1):  # the least sums from which the shards behind can still take what is left
+            end = needed[-1]
+            i, j = bisect_left(self.points, end - fair), bisect_left(self.points, end)
+            needed.append(self.points[max(i if i < j else j - 1, 0)] if end else 0)
         at, out = 0, []
-        for left, least in zip(range(shards, 1, -1), needed[-2::-1]):
+        for left, least in zip(range(shards, 1, -1), needed[:0:-1]):
             aim = at + (total - at) / left
             i = bisect_left(self.points, aim)
-            near = [p for p in self.points[max(i - 1, 0) : i + 1]]
-            best = min(near, key=lambda p: abs(p - aim), default=at)
-            at = min(max(best, least, at), self.reach(at, capacity, False))
+            best = min(self.points[max(i - 1, 0) : i + 1], key=lambda p: abs(p - aim), default=at)
+            after = self.points[min(bisect_right(self.points, at), len(self.points) - 1)]
+            at = min(max(best, least, after), self.soft(at, fair, capacity))
             out.append(at)
         return [*out, total]
 
