@@ -81,7 +81,7 @@ def oracle_sql() -> dict[str, str]:
 
 _TOPK = """
 WITH good AS (
-    SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+    SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS HUGEINT)) AS v
     FROM embeddings
     WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
       AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0

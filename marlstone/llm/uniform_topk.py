@@ -2,25 +2,29 @@
 
 A vector's coordinates are dealt to ``LISTS`` score lists; a candidate's score for a query is
 the sum of its entries in the lists. Candidates and queries are packed into blocks, and the
-blocks meet in a grid with one cell for each pair of blocks.
-
-1. Each cell takes the k best entries of every list for each of its queries, adds up the
-   scores of those candidates and passes on the k best: local lower bounds. The k-th best of
-   all cells is a query's cutoff: at least k candidates reach it.
-2. The cutoff goes to every cell. A candidate whose entries all stay under cutoff / LISTS can't
-   reach it, so only entries of at least that are collected. A collected candidate whose
-   entries so far, with cutoff / LISTS or the best entry of the list for each missing one,
-   stay under the cutoff goes.
+stated queries meet all candidates block by block.
+
+1. Each block of candidates hands on the heads of its sorted coordinates: the candidates with
+   the k largest or k smallest values of any coordinate. Their scores are local lower bounds;
+   the k-th best over all blocks is a query's cutoff: at least k candidates reach it.
+2. The cutoff goes to every block. A candidate whose entries all stay under cutoff / LISTS can't
+   reach it. A list is sorted by the length of its candidates' part, which bounds their entries:
+   only the head of each list that may hold entries of cutoff / LISTS is computed. A candidate
+   whose entries so far, with the least bound for each missing one, stay under the cutoff goes.
 3. The missing entries of the rest are looked up; candidates under the cutoff go, and the k
    best by (score descending, id ascending) are the answer.
 
-Scores are integers: component x counts as floor(256 * x). Components beyond +-2**28 count as
-that. Shorter vectors count as if filled up with zeros.
-
-Cases: vectors that are null or hold a null or non-finite component take no part, nor do null
-ids. Of the rows that share an id the smallest vector counts. Among equal vectors of a cell
-the k + 1 smallest ids suffice, so large groups of copies stay small. An empty table gives no
-rows. Other columns are not read.
+Scores are integers: component x counts as floor(256 * x), x as double. They are exact for
+components of any size: products are taken as doubles while all sums stay below 2**53, as
+64-bit integers below 2**62, and as whole numbers of any length above. A score beyond 64 bits
+is given, and compared, as the nearest 64-bit integer. Shorter vectors count as if filled up
+with zeros.
+
+Cases: vectors that are null or hold a null or non-finite component (also after times 256) take
+no part, nor do null ids. Rows that share an id are candidates each, and queries of one id are
+answered together; a row of the query's own id is not a candidate of it. Among equal vectors of
+a block 2 * k rows suffice, so large groups of copies stay small. An empty table gives no rows.
+Other columns are not read.
 """
 
 from __future__ import annotations
@@ -37,35 +41,65 @@ from pyspark.sql.window import Window
 from marlstone.storage import materialize
 
 LISTS = 4
-CANDIDATES, QUERIES = 2048, 256  # vectors in a block
-_LIMIT = float(1 << 28)
+CANDIDATES, QUERIES = 4096, 512  # vectors in a block
+STRIP = 128  # queries of a block whose lists are held at once
+_LEAST, _MOST = np.iinfo(np.int64).min, np.iinfo(np.int64).max
 
-_BLOCK = T.StructType([T.StructField("n", T.IntegerType()), T.StructField("dims", T.IntegerType()), T.StructField("ids", T.BinaryType()), T.StructField("matrix", T.BinaryType())])
+_BLOCK = T.StructType([T.StructField("n", T.IntegerType()), T.StructField("dims", T.IntegerType()), T.StructField("ids", T.BinaryType()), T.StructField("matrix", T.BinaryType()), T.StructField("heads", T.BinaryType())])
 
 
-def quantized(vectors: DataFrame, vec_id: str, vector: str) -> DataFrame:
-    """One row per id: vec_id and its components as whole doubles."""
+def usable(vectors: DataFrame, vec_id: str, vector: str) -> DataFrame:
+    """vec_id and components as doubles of every row that takes part."""
     x = F.col(vector).cast("array<double>")
-    good = x.isNotNull() & F.forall(x, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < F.lit(float("inf"))))
-    limit = F.lit(_LIMIT)
-    whole = F.transform(x, lambda v: F.greatest(-limit, F.least(limit, F.floor(F.greatest(-limit, F.least(limit, v * 256)))).cast("double")))
-    return vectors.where(F.col(vec_id).isNotNull() & good).select(F.col(vec_id).cast("long").alias("vec_id"), whole.alias("v")).groupBy("vec_id").agg(F.min("v").alias("v"))
+    good = F.forall(x, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) * 256 < F.lit(float("inf"))))
+    return vectors.where(F.col(vec_id).isNotNull() & F.col(vector).isNotNull() & F.coalesce(good, F.lit(False))).select(F.col(vec_id).cast("long").alias("vec_id"), x.alias("v"))
+
+
+def thinned(ids: np.ndarray, c: np.ndarray, k: int) -> np.ndarray:
+    """Rows that can be among the k best of any query: of equal vectors k of each id, and of those the 2 * k of the smallest ids."""
+    order = np.lexsort((ids, *c.T[::-1])) if c.shape[1] else np.argsort(ids, kind="stable")
+    same = np.concatenate([[False], (c[order[1:]] == c[order[:-1]]).all(axis=1)])
+    again = same & np.concatenate([[False], ids[order[1:]] == ids[order[:-1]]])
+
+    def place(follows: np.ndarray) -> np.ndarray:
+        at = np.arange(len(follows))
+        return at - np.maximum.accumulate(np.where(follows, 0, at))
+
+    few = place(again) < k
+    order, starts = order[few], np.cumsum(~same)[few]
+    return np.sort(order[place(np.concatenate([[False], starts[1:] == starts[:-1]])) < 2 * k])
 
 
-def _pack(size: int):
+def heads_of(c: np.ndarray, k: int) -> np.ndarray:
+    """Rows with one of the k largest or smallest values of a coordinate."""
+    take = min(k, len(c))
+    if not c.shape[1]:
+        return np.arange(take)
+    order = np.argsort(c, axis=0, kind="stable")
+    return np.unique(np.concatenate([order[:take].ravel(), order[len(c) - take :].ravel()]))
+
+
+def _pack(size: int, k: int | None):
+    """Rows to blocks; with ``k``, blocks of candidates with their heads."""
+
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids: list[int] = []
         rows: list[list[float]] = []
 
         def close() -> pa.RecordBatch:
-            dims = max(map(len, rows))
-            matrix = np.zeros((len(rows), dims))
+            matrix = np.zeros((len(rows), max(map(len, rows))))
             for i, r in enumerate(rows):
                 matrix[i, : len(r)] = r
-            block = [len(rows), dims, np.array(ids, np.int64).tobytes(), matrix.astype(np.int32).tobytes()]
+            matrix, names = np.floor(matrix * 256), np.array(ids, np.int64)
+            heads = np.zeros(0, np.int32)
+            if k is not None:
+                keep = thinned(names, matrix, k)
+                matrix, names = matrix[keep], names[keep]
+                heads = heads_of(matrix, k).astype(np.int32)
             ids.clear()
             rows.clear()
-            return pa.RecordBatch.from_arrays([pa.array([b], t) for b, t in zip(block, (pa.int32(), pa.int32(), pa.binary(), pa.binary()))], names=_BLOCK.names)
+            block = [len(names), matrix.shape[1], names.tobytes(), matrix.tobytes(), heads.tobytes()]
+            return pa.RecordBatch.from_arrays([pa.array([b], t) for b, t in zip(block, (pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary()))], names=_BLOCK.names)
 
         for batch in batches:
             for i, r in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
@@ -79,6 +113,16 @@ def _pack(size: int):
     return pack
 
 
+def _only_heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Blocks of candidates to blocks of their heads alone."""
+    for batch in batches:
+        for row in batch.to_pylist():
+            ids, c = _unpack(row, "c")
+            at = np.frombuffer(row["c_heads"], np.int32)
+            values = [row["c_block"], len(at), row["c_dims"], ids[at].tobytes(), c[at].tobytes(), b""]
+            yield pa.RecordBatch.from_arrays([pa.array([v], batch.schema.field(n).type) for n, v in zip(batch.schema.names, values)], names=batch.schema.names)
+
+
 def _numbered(blocks: DataFrame, name: str) -> DataFrame:
     """Blocks with gapless numbers, by way of their order of ids; only the ids' heads are sorted."""
     blocks = materialize(blocks.withColumn("key", F.sha2(F.concat("ids", "matrix"), 256)), name)
@@ -88,35 +132,51 @@ def _numbered(blocks: DataFrame, name: str) -> DataFrame:
     return blocks.join(numbers.select("key", "block"), "key").drop("key")
 
 
-def _scores(q: np.ndarray, c: np.ndarray) -> tuple[list[np.ndarray], int]:
-    """The score lists of a cell: one matrix (queries x candidates) for each part of the coordinates."""
-    dims = min(q.shape[1], c.shape[1])
-    edges = [dims * i // LISTS for i in range(LISTS + 1)]
-    largest = max(np.abs(q).max(initial=0), np.abs(c).max(initial=0))
-    exact = float(largest) ** 2 * max(dims, 1) < 2**52
-    kind = np.float64 if exact else np.int64
-    q, c = q.astype(kind), c.astype(kind)
-    return [q[:, a:b] @ c[:, a:b].T for a, b in zip(edges, edges[1:])], dims
-
-
 def _unpack(row: dict, side: str) -> tuple[np.ndarray, np.ndarray]:
-    return np.frombuffer(row[f"{side}_ids"], np.int64), np.frombuffer(row[f"{side}_matrix"], np.int32).reshape(row[f"{side}_n"], row[f"{side}_dims"])
+    return np.frombuffer(row[f"{side}_ids"], np.int64), np.frombuffer(row[f"{side}_matrix"], np.float64).reshape(row[f"{side}_n"], row[f"{side}_dims"])
 
 
-def _thin(ids: np.ndarray, c: np.ndarray, k: int) -> np.ndarray:
-    """Rows of a block without those that k + 1 equal vectors with smaller ids precede."""
-    order = np.lexsort((ids, *c.T[::-1])) if c.shape[1] else np.argsort(ids)
-    same = np.concatenate([[False], (c[order[1:]] == c[order[:-1]]).all(axis=1)])
-    heads = np.maximum.accumulate(np.where(same, 0, np.arange(len(order))))
-    return np.sort(order[np.arange(len(order)) - heads <= k])
+def _largest(m: np.ndarray) -> np.ndarray:
+    return np.abs(m).max(axis=1, initial=0)
 
 
-def _is_self(ids: np.ndarray, other: np.ndarray) -> np.ndarray:
-    return ids[:, None] == other[None, :]
+def scores(q: np.ndarray, c: np.ndarray) -> np.ndarray:
+    """All inner products, exact, as 64-bit integers; beyond those the nearest one."""
+    dims = min(q.shape[1], c.shape[1])
+    q, c = q[:, :dims], c[:, :dims]
+    of_q, of_c = _largest(q), _largest(c)
+    out = np.zeros((len(q), len(c)), np.int64)
+    if float(of_q.max(initial=0)) * float(of_c.max(initial=0)) * max(dims, 1) < 2.0**53:
+        return (q @ c.T).astype(np.int64)
+    # Few vectors are large as a rule: only what meets one of those is taken apart.
+    small = (2.0**53 / max(dims, 1)) ** 0.5 * (1 - 1e-9)
+    for rows in (np.flatnonzero(of_q < small), np.flatnonzero(of_q >= small)):
+        for cols in (np.flatnonzero(of_c < small), np.flatnonzero(of_c >= small)):
+            if not len(rows) or not len(cols):
+                continue
+            a, b = q[rows], c[cols]
+            top = float(of_q[rows].max()) * float(of_c[cols].max()) * max(dims, 1)
+            if top < 2.0**53:
+                part = (a @ b.T).astype(np.int64)
+            elif top < 2.0**62:
+                part = a.astype(np.int64) @ b.astype(np.int64).T
+            else:
+                whole = _integers(a) @ _integers(b).T
+                part = np.maximum(np.minimum(whole, _MOST), _LEAST).astype(np.int64)
+            out[np.ix_(rows, cols)] = part
+    return out
+
+
+def _integers(m: np.ndarray) -> np.ndarray:
+    return np.array([[int(x) for x in r] for r in m.tolist()], object).reshape(m.shape)
 
 
 def _best(ids: np.ndarray, score: np.ndarray, k: int) -> np.ndarray:
-    return np.lexsort((ids, -score))[:k]
+    if len(score) > 4 * k:  # all that tie with the k-th stay
+        least = np.partition(score, len(score) - k)[len(score) - k]
+        at = np.flatnonzero(score >= least)
+        return at[np.lexsort((ids[at], ~score[at]))[:k]]
+    return np.lexsort((ids, ~score))[:k]
 
 
 def _first(k: int):
@@ -124,58 +184,89 @@ def _first(k: int):
         for batch in batches:
             for row in batch.to_pylist():
                 (q_ids, q), (c_ids, c) = _unpack(row, "q"), _unpack(row, "c")
-                keep = _thin(c_ids, c, k)
-                c_ids, c = c_ids[keep], c[keep]
-                lists, _ = _scores(q, c)
-                own = _is_self(q_ids, c_ids)
-                low = np.iinfo(np.int64).min if lists[0].dtype == np.int64 else -np.inf
-                seen = np.zeros(own.shape, bool)
-                for part in lists:
-                    part = np.where(own, low, part)
-                    take = min(k, part.shape[1])
-                    top = np.argpartition(-part if part.dtype == float else ~part, take - 1, axis=1)[:, :take]
-                    np.put_along_axis(seen, top, True, axis=1)
-                total = sum(lists)
                 qs, ss = [], []
-                for i in range(len(q_ids)):
-                    at = np.flatnonzero(seen[i] & ~own[i])
-                    top = np.sort(total[i, at].astype(np.int64))[::-1][:k]
-                    qs += [int(q_ids[i])] * len(top)
+                total = scores(q, c)
+                for i, query in enumerate(q_ids.tolist()):
+                    found = total[i][c_ids != query]
+                    top = np.sort(np.partition(found, len(found) - k)[len(found) - k :] if len(found) > k else found)[::-1]
+                    qs += [query] * len(top)
                     ss += top.tolist()
                 yield pa.RecordBatch.from_arrays([pa.array([row["q_block"]] * len(qs), pa.int64()), pa.array(qs, pa.int64()), pa.array(ss, pa.int64())], names=["q_block", "query_id", "bound"])
 
     return phase
 
 
+def above(q: np.ndarray, c: np.ndarray, cut: np.ndarray) -> tuple[list[np.ndarray], list[np.ndarray], dict[str, int]]:
+    """Of each query the candidates that reach its cutoff, and their scores (phases 2 and 3); counts of what was touched.
+
+    For doubles only: every sum stays below 2**53.
+    """
+    dims = min(q.shape[1], c.shape[1])
+    edges = [dims * i // LISTS for i in range(LISTS + 1)]
+    q_parts, c_parts = ([m[:, a:b] for a, b in zip(edges, edges[1:])] for m in (q, c))
+    q_len, c_len = (np.stack([np.sqrt((p * p).sum(axis=1)) for p in parts], axis=1) * (1 + 1e-9) for parts in (q_parts, c_parts))
+    share = cut / LISTS
+    lists: list[tuple[np.ndarray, np.ndarray]] = []
+    touched = 0
+    for g in range(LISTS):
+        with np.errstate(divide="ignore", invalid="ignore"):
+            least = np.where(share <= 0, 0.0, share / q_len[:, g])
+        order = np.argsort(-c_len[:, g], kind="stable")
+        n = int(np.searchsorted(-c_len[order, g], -float(np.nan_to_num(least, nan=0.0, posinf=np.inf).min(initial=np.inf)), side="right"))
+        lists.append((order[:n], q_parts[g] @ c_parts[g][order[:n]].T))
+        touched += n * len(q)
+    known, bound, enough = np.zeros((len(q), len(c))), np.zeros((len(q), len(c))), np.zeros((len(q), len(c)), bool)
+    for g, (at, part) in enumerate(lists):
+        # What a missing entry can be at most: under the uniform share, and under its list's bound.
+        most = np.minimum(np.ceil(share)[:, None], np.ceil(q_len[:, g][:, None] * c_len[None, :, g]))
+        hit = part >= share[:, None]
+        most[:, at] = np.where(hit, part, np.minimum(most[:, at], np.ceil(share)[:, None]))
+        enough[:, at] |= hit
+        known[:, at] += part
+        bound += most
+    ok = enough & (bound >= cut[:, None])
+    found, values, asked = [], [], 0
+    inside = np.zeros((LISTS, len(c)), bool)
+    for g, (at, _) in enumerate(lists):
+        inside[g, at] = True
+    for i in range(len(q)):
+        at = np.flatnonzero(ok[i])
+        total = known[i, at]
+        for g in range(LISTS):
+            rest = np.flatnonzero(~inside[g, at])
+            if len(rest):
+                total[rest] += c_parts[g][at[rest]] @ q_parts[g][i]
+                asked += len(rest)
+        keep = total >= cut[i]
+        found.append(at[keep])
+        values.append(total[keep].astype(np.int64))
+    return found, values, {"entries": LISTS * len(q) * len(c), "touched": touched, "collected": int(ok.sum()), "looked_up": asked}
+
+
 def _rest(k: int):
     def phase(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
                 (q_ids, q), (c_ids, c) = _unpack(row, "q"), _unpack(row, "c")
-                keep = _thin(c_ids, c, k)
-                c_ids, c = c_ids[keep], c[keep]
                 cutoffs = {x["query_id"]: x["cutoff"] for x in row["cutoffs"] or []}
-                lists, _ = _scores(q, c)
-                own = _is_self(q_ids, c_ids)
+                exact = float(np.abs(q).max(initial=0)) * float(np.abs(c).max(initial=0)) * max(min(q.shape[1], c.shape[1]), 1) < 2.0**52
                 qs, vs, ss = [], [], []
-                for i, query in enumerate(q_ids.tolist()):
-                    cut = cutoffs.get(query)
-                    parts = np.stack([x[i] for x in lists])
-                    if cut is None:  # fewer than k candidates in all: every one is in the answer
-                        at = np.flatnonzero(~own[i])
+                for lo in range(0, len(q_ids), STRIP):
+                    names, part = q_ids[lo : lo + STRIP], q[lo : lo + STRIP]
+                    cut = np.array([cutoffs.get(x, _LEAST) for x in names.tolist()], np.int64)  # fewer than k candidates in all: every one is in the answer
+                    if exact and (cut > _LEAST).all():
+                        found, values, _ = above(part, c, cut.astype(np.float64))
                     else:
-                        high = parts * LISTS >= cut  # phase 2: entries of at least cutoff / LISTS
-                        at = np.flatnonzero(high.any(axis=0) & ~own[i])
-                        partial = np.where(high[:, at], parts[:, at], 0).sum(axis=0)
-                        ceiling = np.minimum(np.ceil(cut / LISTS), parts.max(axis=1, initial=0))
-                        at = at[partial + (~high[:, at] * ceiling[:, None]).sum(axis=0) >= cut]
-                    total = parts[:, at].sum(axis=0).astype(np.int64)  # phase 3
-                    if cut is not None:
-                        at, total = at[total >= cut], total[total >= cut]
-                    best = _best(c_ids[at], total, k)
-                    qs += [query] * len(best)
-                    vs += c_ids[at[best]].tolist()
-                    ss += total[best].tolist()
+                        total = scores(part, c)
+                        found = [np.flatnonzero(t >= x) for t, x in zip(total, cut)]
+                        values = [t[at] for t, at in zip(total, found)]
+                    for query, at, value in zip(names.tolist(), found, values):
+                        other = c_ids[at] != query
+                        at, value = at[other], value[other]
+                        best = _best(c_ids[at], value, k)
+                        qs += [query] * len(best)
+                        vs += c_ids[at[best]].tolist()
+                        ss += value[best].tolist()
                 yield pa.RecordBatch.from_arrays([pa.array(qs, pa.int64()), pa.array(vs, pa.int64()), pa.array(ss, pa.int64())], names=["query_id", "vec_id", "score"])
 
     return phase
@@ -183,24 +274,27 @@ def _rest(k: int):
 
 def top_k(vectors: DataFrame, is_query: F.Column, k: int = 5, vec_id: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """query_id, rank, vec_id, score of each query's k best; ``is_query`` is a condition on vec_id."""
-    rows = materialize(quantized(vectors, vec_id, vector), "topk-vectors")
-    c = _numbered(rows.mapInArrow(_pack(CANDIDATES), _BLOCK), "topk-candidates")
-    q = _numbered(rows.where(is_query).repartition(F.shiftright("vec_id", 14)).mapInArrow(_pack(QUERIES), _BLOCK), "topk-queries")
+    rows = materialize(usable(vectors, vec_id, vector), "topk-vectors")
+    c = _numbered(rows.mapInArrow(_pack(CANDIDATES, k), _BLOCK), "topk-candidates")
+    q = _numbered(rows.where(is_query).repartition(F.shiftright("vec_id", 15)).mapInArrow(_pack(QUERIES, None), _BLOCK), "topk-queries")
     c, q = (d.select(F.col("block").alias(f"{s}_block"), *[F.col(x).alias(f"{s}_{x}") for x in _BLOCK.names]) for d, s in ((c, "c"), (q, "q")))
     # The stated queries against all rows: both sides carry the other's block numbers, and a
     # cell is found by the pair. Numbers come from ranges, not from the blocks themselves.
     n_q, n_c = q.count(), c.count()
     if not n_q or not n_c:
         return rows.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    c = c.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_q - 1).cast("long"))).alias("q_block"))
 
-    def cells(queries: DataFrame) -> DataFrame:
-        return c.join(queries.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_c - 1).cast("long"))).alias("c_block")), ["c_block", "q_block"])
+    def cells(queries: DataFrame, candidates: DataFrame) -> DataFrame:
+        mine = candidates.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_q - 1).cast("long"))).alias("q_block"))
+        return mine.join(queries.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_c - 1).cast("long"))).alias("c_block")), ["c_block", "q_block"])
 
-    bounds = cells(q).mapInArrow(_first(k), "q_block long, query_id long, bound long")
+    bounds = cells(q, c.mapInArrow(_only_heads, c.schema)).mapInArrow(_first(k), "q_block long, query_id long, bound long")
     best = bounds.withColumn("r", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("bound")))).where(F.col("r") <= k)
-    cutoffs = best.where(F.col("r") == k).groupBy("q_block").agg(F.collect_list(F.struct("query_id", F.col("bound").alias("cutoff"))).alias("cutoffs"))
+    reached = best.groupBy("query_id").agg(F.min("bound").alias("cutoff"), F.count("*").alias("n")).where(F.col("n") == k).select("query_id", "cutoff")
+    # The rows of one query id can lie in several blocks; all get the same cutoff.
+    where = bounds.select("q_block", "query_id").distinct()
+    cutoffs = where.join(reached, "query_id").groupBy("q_block").agg(F.collect_list(F.struct("query_id", "cutoff")).alias("cutoffs"))
     q = materialize(q.join(cutoffs, "q_block", "left"), "topk-cutoffs")
-    found = cells(q).mapInArrow(_rest(k), "query_id long, vec_id long, score long")
+    found = cells(q, c).mapInArrow(_rest(k), "query_id long, vec_id long, score long")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
