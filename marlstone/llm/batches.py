@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
+from contextlib import suppress
 from typing import Any
 
 import numpy as np
@@ -12,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 #: Text bytes worked on at once. One longer text is a slice of its own.
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
 #: What separates words: the space and 0x09 to 0x0D.
 WHITE = b" \t\n\x0b\x0c\r"
 
@@ -120,13 +122,21 @@ def replace_columns(df: DataFrame, new: list[T.StructField]) -> T.StructType:
     return T.StructType([f for f in df.schema if f.name.lower() not in taken] + new)
 
 
-def map_texts(df: DataFrame, text: str, new: list[T.StructField], make: Callable[[], Callable[[pa.RecordBatch], dict[str, Any]]], keep: Callable[[dict[str, Any]], Any] | None = None) -> DataFrame:
+def give_back() -> None:
+    """Freed memory goes back to the system, so that idle workers stay small."""
+    pa.default_memory_pool().release_unused()
+    with suppress(OSError, AttributeError):  # only the GNU C library has it
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
+def map_texts(df: DataFrame, text: str, new: list[T.StructField], make: Callable[[], Callable[[pa.RecordBatch], dict[str, Any]]], keep: Callable[[dict[str, Any]], Any] | None = None, without: tuple[str, ...] = ()) -> DataFrame:
     """Append columns computed from whole texts, row by row, in bounded slices.
 
     ``make`` runs once a task and gives a function from a slice to arrays by name; columns
     of ``new`` replace those of the same name. ``keep`` gives a mask of the rows to keep.
+    Columns ``without`` are read but not given back.
     """
-    schema = replace_columns(df, new)
+    schema = T.StructType([f for f in replace_columns(df, new) if f.name not in without])
     names = [f.name for f in schema]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -136,5 +146,6 @@ def map_texts(df: DataFrame, text: str, new: list[T.StructField], make: Callable
                 made = work(part)
                 out = pa.RecordBatch.from_arrays([made[n] if n in made else part.column(part.schema.get_field_index(n)) for n in names], names=names)
                 yield out if keep is None else out.filter(pa.array(keep(made)))
+            give_back()
 
     return df.mapInArrow(run, schema)

@@ -412,8 +412,8 @@ def transducer(path: str) -> Transducer:
     return _OPEN[path]
 
 
-def encode(docs: DataFrame, model: str, text: str = "text") -> DataFrame:
-    """``docs`` with n_ids and ids."""
+def encode(docs: DataFrame, model: str, text: str = "text", without: tuple[str, ...] = ()) -> DataFrame:
+    """``docs``, but not ``without``, with n_ids and ids."""
 
     def work() -> Callable[[pa.RecordBatch], dict[str, Any]]:
         machine = transducer(model)
@@ -427,7 +427,7 @@ def encode(docs: DataFrame, model: str, text: str = "text") -> DataFrame:
 
         return one
 
-    return map_texts(docs, text, RESULT, work)
+    return map_texts(docs, text, RESULT, work, without=without)
 
 
 def decode(rows: DataFrame, model: str, ids: str = "ids", to: str = "decoded") -> DataFrame:
@@ -445,8 +445,8 @@ def decode(rows: DataFrame, model: str, ids: str = "ids", to: str = "decoded") -
     return rows.mapInArrow(run, schema)
 
 
-def verify(docs: DataFrame, model: str, text: str = "text") -> DataFrame:
-    """``docs`` with n_ids, ids_crc32 (of the ids as little-endian 32-bit integers) and round_trip: whether decoding gives the text again.
+def verify(docs: DataFrame, model: str, text: str = "text", without: tuple[str, ...] = ()) -> DataFrame:
+    """``docs``, but not ``without``, with n_ids, ids_crc32 (of the ids as little-endian 32-bit integers) and round_trip: whether decoding gives the text again.
 
     Encoding and decoding happen in one pass, and ids don't leave the worker.
     """
@@ -465,4 +465,4 @@ def verify(docs: DataFrame, model: str, text: str = "text") -> DataFrame:
 
         return one
 
-    return map_texts(docs, text, [T.StructField("n_ids", T.LongType()), T.StructField("ids_crc32", T.LongType()), T.StructField("round_trip", T.BooleanType())], work)
+    return map_texts(docs, text, [T.StructField("n_ids", T.LongType()), T.StructField("ids_crc32", T.LongType()), T.StructField("round_trip", T.BooleanType())], work, without=without)

@@ -288,13 +288,13 @@ def _named(part: pa.RecordBatch, name: str | None) -> list:
     return part.column(part.schema.get_field_index(name)).to_pylist() if name else [None] * part.num_rows
 
 
-def scan(docs: DataFrame, forest: Forest, text: str = "text", path: str | None = "source") -> DataFrame:
-    """``docs`` with ``findings``: every candidate with its span, rule, score and verdict."""
+def scan(docs: DataFrame, forest: Forest, text: str = "text", path: str | None = "source", without: tuple[str, ...] = ()) -> DataFrame:
+    """``docs``, but not ``without``, with ``findings``: every candidate with its span, rule, score and verdict."""
 
     def work():
         return lambda part: {"findings": pa.array(findings_in(_named(part, text), _named(part, path), forest), _ARROW)}
 
-    return map_texts(docs, text, RESULT, work)
+    return map_texts(docs, text, RESULT, work, without=without)
 
 
 def redact(docs: DataFrame, forest: Forest, text: str = "text", path: str | None = "source", size: str | None = "n_chars") -> DataFrame:

@@ -35,8 +35,11 @@ def _shingles(column: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
     return window_hashes(word_hashes(folded, start, end), width)[fits], owner[fits]
 
 
-def with_bands(docs: DataFrame, text: str = "text", shingle: int = SHINGLE) -> DataFrame:
-    """``docs`` with the keys of each text in column ``bands``."""
+BANDS_FIELD = T.StructField("bands", T.ArrayType(T.LongType()))
+
+
+def bands_of(text: str = "text", shingle: int = SHINGLE):
+    """What makes, for a slice, the keys of each text as column ``bands``."""
 
     def work():
         rng = np.random.default_rng(5)
@@ -57,7 +60,7 @@ def with_bands(docs: DataFrame, text: str = "text", shingle: int = SHINGLE) -> D
 
         return one
 
-    return map_texts(docs, text, [T.StructField("bands", T.ArrayType(T.LongType()))], work)
+    return work
 
 
 def _with_sets(docs: DataFrame, shingle: int) -> DataFrame:
@@ -75,7 +78,7 @@ def _with_sets(docs: DataFrame, shingle: int) -> DataFrame:
 
         return one
 
-    return map_texts(docs, "text", [T.StructField("shingles", T.ArrayType(T.LongType()))], work).drop("text")
+    return map_texts(docs, "text", [T.StructField("shingles", T.ArrayType(T.LongType()))], work, without=("text",))
 
 
 def links(banded: DataFrame, texts: DataFrame, similarity: float, shingle: int = SHINGLE) -> DataFrame:

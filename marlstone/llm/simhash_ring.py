@@ -12,9 +12,13 @@ Fingerprints that occur often count once. A bucket gives the links of a spanning
 by growing each component from a seed, never all its pairs. Buckets above ``BUCKET`` are cut
 into parts, and each pair of parts is worked on by itself.
 
+Rows find their fingerprint's component by a join in which fingerprints with many rows are
+broadcast, so that no task gathers a group of copies.
+
 Cases: a null or wordless text has fingerprint zero and links like any other. A component's id
-is its smallest non-null doc_id. Rows with equal ids or texts all stay. An empty table gives no
-rows. Other columns are not read.
+is its smallest non-null doc_id. Rows with equal ids or texts all stay. Texts of any length are
+read whole. An empty table gives no rows. Other columns are not read, or, where rows are kept or
+left out, kept as they are whatever their names.
 """
 
 from __future__ import annotations
@@ -31,6 +35,7 @@ from pyspark.sql.window import Window
 
 from marlstone.llm import shingle_bands
 from marlstone.llm.batches import map_texts, raw
+from marlstone.llm.spread import join_spread
 from marlstone.operators.components import connected_components
 from marlstone.storage import materialize
 
@@ -64,19 +69,22 @@ def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
     return int.from_bytes(np.packbits(2 * ones > n).tobytes(), "big")
 
 
-def with_fingerprints(docs: DataFrame, text: str = "text", name: str = "fp") -> DataFrame:
-    """``docs`` with the fingerprint as a signed long in column ``name``."""
+def with_fingerprints(docs: DataFrame, text: str = "text", name: str = "fp", bands: int | None = None, without: tuple[str, ...] = ()) -> DataFrame:
+    """``docs``, but not ``without``, with the fingerprint as a signed long in column ``name``; with ``bands`` also the keys of its shingles of so many words."""
+    fields = [T.StructField(name, T.LongType())] + ([shingle_bands.BANDS_FIELD] if bands else [])
 
     def work():
+        more = shingle_bands.bands_of(text, bands)() if bands else lambda part: {}
+
         def one(part: pa.RecordBatch) -> dict:
             data, offsets = raw(part.column(part.schema.get_field_index(text)))
             whole = data.tobytes()
             found = [fingerprint(whole[a:b]) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
-            return {name: pa.array(np.array(found, np.uint64).view(np.int64))}
+            return {name: pa.array(np.array(found, np.uint64).view(np.int64))} | more(part)
 
         return one
 
-    return map_texts(docs, text, [T.StructField(name, T.LongType())], work)
+    return map_texts(docs, text, fields, work, without=without)
 
 
 def keys(fps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -106,11 +114,11 @@ def chains_hold(x: np.ndarray, start: int) -> np.ndarray:
     return ok
 
 
-def forest(fps: np.ndarray, start: int, side: np.ndarray | None = None) -> list[tuple[int, int]]:
+def forest(fps: np.ndarray, start: int) -> list[tuple[int, int]]:
     """Spanning links of the components of one bucket, by the chains from segment ``start``.
 
     A component grows from a seed; every reached member is compared with the unreached ones
-    once. ``side``: the part each member is of; only then are all kept in play.
+    once.
     """
     rest, links = fps.copy(), []
     while len(rest) > 1:
@@ -227,25 +235,25 @@ def links(fps: DataFrame) -> DataFrame:
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, fingerprint (16 hex digits), component_id of every row."""
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    rows = materialize(with_fingerprints(rows).select("doc_id", "fp"), "simhash-rows")
-    of = _labels(rows)
-    lowest = of.groupBy("component").agg(F.min("first_id").alias("component_id"))
-    ids = of.join(lowest, "component").select(F.col("fp").alias("of_fp"), "component_id")
-    return rows.join(ids, F.col("fp") == F.col("of_fp")).select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    rows = materialize(with_fingerprints(rows, without=("text",)), "simhash-rows")
+    of = materialize(_labels(rows), "simhash-labels")
+    lowest = of.groupBy("component").agg(F.min("first_id").alias("component_id"), F.count("*").alias("size"))
+    ids = materialize(join_spread(of, lowest, ["component"], "size").select("fp", "component_id", "n"), "simhash-ids")
+    return join_spread(rows, ids, ["fp"], "n").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
 def _labels(rows: DataFrame) -> DataFrame:
-    """fp, first_id (its smallest doc_id) and component of every fingerprint in ``rows``."""
-    first = materialize(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "simhash-distinct")
+    """fp, first_id (its smallest doc_id), n (its rows) and component of every fingerprint in ``rows``."""
+    first = materialize(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("n")), "simhash-distinct")
     found = connected_components(links(first), "simhash-links")
-    return first.join(found.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "first_id", F.coalesce("component", "fp").alias("component"))
+    return first.join(found.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "first_id", "n", F.coalesce("component", "fp").alias("component"))
 
 
 def _labels_alike(rows: DataFrame, texts: DataFrame, similarity: float, shingle: int) -> DataFrame:
     """Like _labels, and components that hold texts of the similarity are one; ``rows`` have digest and bands too."""
     of = materialize(_labels(rows), "simhash-labels")
     once = rows.groupBy("digest").agg(F.first("fp").alias("fp"), F.first("bands").alias("bands"))
-    banded = materialize(once.join(of.select("fp", F.col("component").alias("group")), "fp").select(F.xxhash64("digest").alias("id"), "group", "bands"), "bands")
+    banded = materialize(join_spread(once, of.select("fp", F.col("component").alias("group"), "n"), ["fp"], "n").select(F.xxhash64("digest").alias("id"), "group", "bands"), "bands")
     texts = texts.select(F.xxhash64("digest").alias("id"), "text")
     found = connected_components(shingle_bands.links(banded, texts, similarity, shingle), "shingle-links").withColumnRenamed("component", "whole")
     return of.join(found, F.col("component") == F.col("node"), "left").select("fp", "first_id", F.coalesce("whole", "component").alias("component"))
@@ -259,18 +267,18 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", simila
     Rows without an id stay only in components that hold no id. Of rows with the same id and
     text one stays.
     """
-    digest = F.md5(F.coalesce(F.col(text).cast("string"), F.lit("")))
+    safe = {c: f"in{i}" for i, c in enumerate(docs.columns)}  # names that nothing here has
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     rows = texts = rows.withColumn("digest", F.md5(F.coalesce("text", F.lit(""))))
-    if similarity is not None:
-        rows = shingle_bands.with_bands(rows, shingle=shingle)
-    rows = materialize(with_fingerprints(rows).drop("text"), "simhash-rows")
+    rows = materialize(with_fingerprints(rows, bands=None if similarity is None else shingle, without=("text",)), "simhash-rows")
     of = _labels(rows) if similarity is None else _labels_alike(rows, texts, similarity, shingle)
     of = of.select(F.col("fp").alias("of_fp"), "component")
     # A fingerprint's own best row first, so that copies are gone before the components meet.
     own = rows.groupBy("fp").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "digest")).alias("best"))
     best = own.join(of, F.col("fp") == F.col("of_fp")).groupBy("component").agg(F.min("best").alias("best"))
     marks = best.select(F.col("best.doc_id").alias("_id"), F.col("best.digest").alias("_digest_of"))
-    found = docs.withColumn("_digest", digest).join(marks, F.col(doc_id).cast("long").eqNullSafe(F.col("_id")) & (F.col("_digest") == F.col("_digest_of")))
+    whole = docs.toDF(*safe.values())
+    whole = whole.withColumn("_digest", F.md5(F.coalesce(F.col(safe[text]).cast("string"), F.lit(""))))
+    found = whole.join(marks, F.col(safe[doc_id]).cast("long").eqNullSafe(F.col("_id")) & (F.col("_digest") == F.col("_digest_of")))
     one = Window.partitionBy("_id", "_digest_of").orderBy(F.lit(1))
-    return found.withColumn("_row", F.row_number().over(one)).where(F.col("_row") == 1).select(*docs.columns)
+    return found.withColumn("_row", F.row_number().over(one)).where(F.col("_row") == 1).select(*safe.values()).toDF(*docs.columns)

@@ -104,7 +104,7 @@ def _keys(docs: DataFrame) -> DataFrame:
         return one
 
     fields = [T.StructField("n_words", T.LongType()), T.StructField("keys", T.ArrayType(T.LongType())), T.StructField("at", T.ArrayType(T.ArrayType(T.IntegerType())))]
-    return map_texts(docs, "text", fields, work).drop("text")
+    return map_texts(docs, "text", fields, work, without=("text",))
 
 
 _SUFFIX = "key long, right binary, left binary, digest string, at int, n_words int"

@@ -29,11 +29,11 @@ TEXTS = [
     (11, "日本語 \U0001f642   ▁ \x00 <|endoftext|> " + prose(60, 6)),
     (12, prose(80, 1) + " one more"),
 ]
-CLASHING = "n_words long, KEPT string, findings string, ids string, rate double, fp string, _row long, rank long, h string, key string"
+CLASHING = "n_words long, KEPT string, findings string, ids string, rate double, fp string, _row long, rank long, h string, key string, _digest string, _id long, _copy int, copy int, n_tokens long, p_clean double, in0 string, component string"
 
 
 def documents(spark, rows=TEXTS):
-    return spark.createDataFrame([(i, t, "en", "src0", len(t) if t is not None else None, 1, "k", "f", "i", 0.5, "p", 2, 3, "h", "k") for i, t in rows], f"doc_id long, text string, lang string, source string, n_chars long, {CLASHING}")
+    return spark.createDataFrame([(i, t, "en", "src0", len(t) if t is not None else None, 1, "k", "f", "i", 0.5, "p", 42, 3, "h", "k", "d", 43, 44, 45, 46, 0.25, "in", "c") for i, t in rows], f"doc_id long, text string, lang string, source string, n_chars long, {CLASHING}")
 
 
 def labels(spark, rows=()):

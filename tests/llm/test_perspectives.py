@@ -25,7 +25,7 @@ def test_native_plan(spark, sf):
 
 
 def test_rotation(spark):
-    turns = [(1, 0, "system", "Be kind."), (1, 1, "ann", "Hi"), (1, 2, "bob", "Yo"), (1, 3, "eve", ""), (1, 2500, "ann", None), (1, None, "bob", "first"), (2, 0, "system", "alone"), (None, 0, None, "who"), (3, 1, "ann", "same"), (3, 1, "ann", "same")]
+    turns = [(1, 0, "system", "Be kind."), (1, 1, "ann", "Hi"), (1, 2, "bob", "Yo"), (1, 3, "eve", ""), (1, 2500, "ann", None), (1, None, "bob", "first"), (1, -3000, "bob", "before"), (2, 0, "system", "alone"), (None, 0, None, "who"), (3, 1, "ann", "same"), (3, 1, "ann", "same")]
     df = spark.createDataFrame([(*t, "x", 7) for t in turns], "conv_id long, turn long, role string, text string, name string, start int")
     got = perspectives.rotate(df).collect()
     by = {}
@@ -42,6 +42,6 @@ def test_rotation(spark):
             assert "name=" not in r.rendered or r.role == "user"
     ann = sorted(by[1, "ann"], key=lambda r: r.seq)
     whole = "".join(r.rendered for r in ann)
-    assert [whole[r.content_start : r.content_end] for r in ann] == ["first", "Be kind.", "Hi", "Yo", "", ""]
-    assert whole.startswith("<|im_start|>user name=bob\nfirst<|im_end|>\n<|im_start|>system\nBe kind.")
+    assert [whole[r.content_start : r.content_end] for r in ann] == ["first", "before", "Be kind.", "Hi", "Yo", "", ""]
+    assert whole.startswith("<|im_start|>user name=bob\nfirst<|im_end|>\n<|im_start|>user name=bob\nbefore<|im_end|>\n<|im_start|>system\nBe kind.")
     assert perspectives.rotate(df.limit(0)).count() == 0

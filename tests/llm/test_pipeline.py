@@ -1,3 +1,4 @@
+import re
 from collections import Counter
 
 import numpy as np
@@ -12,6 +13,11 @@ from marlstone.storage import materialize
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
+def shingles(text):
+    words = re.sub("[A-Z]", lambda m: m[0].lower(), text).split()
+    return {tuple(words[i : i + 5]) for i in range(len(words) - 4)}
+
+
 def test_stages_in_turn(spark, sf):
     base = sf.replace("sf0.001", "sf0.01")
     docs, seen = spark.read.parquet(f"{base}/documents.parquet"), {}
@@ -32,7 +38,13 @@ def test_stages_in_turn(spark, sf):
     from marlstone.llm import simhash_ring
 
     groups = {r.doc_id: r.component_id for r in simhash_ring.near_duplicates(seen["quality"]).collect()}
-    assert set(ids["near_duplicates"]) == {i for i, c in groups.items() if i == c}
+    smallest = {i for i, c in groups.items() if i == c}
+    assert set(ids["near_duplicates"]) <= smallest
+    sets = {r.doc_id: shingles(r.text) for r in seen["quality"].collect()}
+    for i in smallest - set(ids["near_duplicates"]):  # these have a like text, though their fingerprints are apart
+        assert max(len(sets[i] & s) / len(sets[i] | s) for j, s in sets.items() if j != i and sets[i] | s) >= 0.8
+    kept = sorted(ids["near_duplicates"])
+    assert all(len(sets[i] & sets[j]) < 0.8 * max(len(sets[i] | sets[j]), 1) for a, i in enumerate(kept) for j in kept[:a])
 
     # Secrets: nothing goes, and no token stays.
     assert ids["secrets"] == ids["near_duplicates"]
@@ -52,13 +64,16 @@ def test_stages_in_turn(spark, sf):
 
 
 def test_edges(spark, sf):
-    docs = documents(spark).select(*COLUMNS)
-    for rows in (docs, docs.limit(0), documents(spark, [(i, prose(90, i % 3)) for i in range(30)]).select(*COLUMNS)):
+    """Columns that stages use for themselves come through with their values."""
+    docs = documents(spark)
+    extra = [c for c in docs.columns if c not in COLUMNS]
+    for rows in (docs, docs.limit(0), documents(spark, [(i, prose(90, i % 3)) for i in range(30)])):
         for _, stage in corpus_pipeline.STAGES[:-1]:
             rows = materialize(stage(spark, rows, sf), "test-edges")
-            assert rows.columns == COLUMNS
+            assert rows.columns == docs.columns
+            assert {tuple(r) for r in rows.select(*extra).distinct().collect()} <= {tuple(r) for r in docs.select(*extra).collect()}
         assert corpus_pipeline.STAGES[-1][1](spark, rows, sf).count() == rows.count()
-    assert "kept" in CLASHING.lower()
+    assert "kept" in CLASHING.lower() and "_copy" in CLASHING
 
 
 def test_mixing_meets_its_targets(spark, sf):
@@ -76,8 +91,10 @@ def test_mixing_meets_its_targets(spark, sf):
     have = tokens[p.argmax(axis=1) != names.index("toxic")].sum(axis=0)
     times = Counter(r.doc_id for r in corpus_pipeline.mixing(spark, docs, base).select("doc_id").collect())
     total = (np.array([times[i] for i in found.index])[:, None] * tokens).sum(axis=0)
-    clean = names.index("clean")
-    assert corpus_pipeline.SHARES["clean"] != corpus_pipeline.SHARES["toxic"]
-    assert total[clean] == pytest.approx(corpus_pipeline.SHARES["clean"] * have[clean], rel=0.03)
-    assert total.sum() == pytest.approx(sum(corpus_pipeline.SHARES[n] * h for n, h in zip(names, have)), rel=0.05)
-    print("totals / targets", {n: float(t / (corpus_pipeline.SHARES[n] * h)) for n, t, h in zip(names, total, have)})
+    assert len(set(corpus_pipeline.SHARES.values())) > 1
+    goal = np.array([corpus_pipeline.SHARES[n] for n in names]) * have
+    print("totals / targets", dict(zip(names, (total / goal).tolist())))
+    # Expected totals are the targets; whole copies of about 1,000 junk documents stray by some percent.
+    assert total.sum() == pytest.approx(goal.sum(), rel=0.01)
+    assert (total / goal).tolist() == pytest.approx([1.0] * len(names), abs=0.03)
+    assert min(times.get(i, 0) for i, row in zip(found.index, p) if row.argmax() != names.index("toxic")) >= 1

@@ -8,38 +8,57 @@ from marlstone.llm import queries, soft_mixing
 NAMES = soft_mixing.DOMAINS
 
 
-def brute(n, p, goal, rounds):
-    r, whole = np.ones(len(n)), (n[:, None] * p).sum(0)
-    for _ in range(rounds):
-        total = (r[:, None] * n[:, None] * p).sum(0)
-        error = np.where(whole > 0, (total - goal) / np.maximum(whole, 1e-9), 0)
-        if np.abs(error).max() <= soft_mixing.TOLERANCE:
-            break
-        r = np.maximum(0, r - p @ error - soft_mixing.PULL * (r - 1))
-    return r
+def optimal(n, p, goal, r):
+    """Whether rates are the least squares: no document's rate can move along its gradient."""
+    whole = (n[:, None] * p).sum(0)
+    error = ((r * n) @ p - goal) / whole
+    slope = p @ error + soft_mixing.PULL * (r - 1)
+    return np.abs(slope[r > 0]).max(initial=0) < 1e-7 and slope[r == 0].min(initial=0) > -1e-7
+
+
+def fitted(spark, n, p, goal):
+    rows = spark.createDataFrame([(i, int(a), *map(float, b)) for i, (a, b) in enumerate(zip(n, p))], "i long, n_tokens long, p_clean double, p_junk double, p_toxic double")
+    fit = soft_mixing.fit_rates(rows, dict(zip(NAMES, goal)), NAMES)
+    return np.array([r.rate for r in rows.withColumn("rate", soft_mixing.rate_of(NAMES, fit.multipliers)).orderBy("i").collect()]), fit
 
 
 def test_rates_are_those_of_projected_gradient(spark):
     rng = np.random.default_rng(0)
     n, p = rng.integers(1, 500, 300).astype(float), rng.dirichlet([0.3, 0.3, 0.3], 300)
-    goal = np.array([1.5, 0.6, 0.05]) * (n[:, None] * p).sum(0)
-    rows = spark.createDataFrame([(i, int(a), *map(float, b)) for i, (a, b) in enumerate(zip(n, p))], "i long, n_tokens long, p_clean double, p_junk double, p_toxic double")
-    steps = soft_mixing.fit_rates(rows, dict(zip(NAMES, goal)), NAMES)
-    got = np.array([r.rate for r in rows.withColumn("rate", soft_mixing.rate_of(NAMES, steps)).orderBy("i").collect()])
-    assert np.allclose(got, brute(n, p, goal, soft_mixing.ROUNDS), atol=1e-6) and (got >= 0).all()
-    total = (got[:, None] * n[:, None] * p).sum(0)
-    assert np.abs(total - goal).max() < 0.05 * goal.sum()
+    whole = (n[:, None] * p).sum(0)
+    for shares in ([1.5, 0.6, 0.3], [1.5, 0.6, 0.05], [1.0, 1.0, 1.0]):
+        goal = np.array(shares) * whole
+        got, fit = fitted(spark, n, p, goal)
+        assert (got >= 0).all() and optimal(n, p, goal, got)
+        assert np.abs(((got * n) @ p - goal) / whole).max() < 1e-3 and fit.passes <= 20
+        # Plain projected gradient, step by step, ends at the same objective.
+        r = np.ones(len(n))
+        for _ in range(5000):
+            r = np.maximum(0, r - p @ (((r * n) @ p - goal) / whole) - soft_mixing.PULL * (r - 1))
+
+        def objective(r):
+            return ((((r * n) @ p - goal) ** 2) / whole).sum() + soft_mixing.PULL * (n * (r - 1) ** 2).sum()
+
+        assert objective(got) <= objective(r) + 1e-6
+
+
+def test_targets_that_no_rates_meet(spark):
+    n, p = np.full(50, 100.0), np.tile([0.6, 0.3, 0.1], (50, 1))
+    got, fit = fitted(spark, n, p, np.array([1.0, 1.0, 0.0]) * 100 * 50 * p[0])
+    assert optimal(n, p, np.array([1.0, 1.0, 0.0]) * 100 * 50 * p[0], got) and fit.errors["toxic"] > 0.1
+    assert soft_mixing.fit_rates(spark.createDataFrame([], "n_tokens long, p_clean double, p_junk double, p_toxic double"), {"clean": 1.0}, NAMES).errors == dict.fromkeys(NAMES, 0.0)
 
 
-def test_query(spark, sf):
-    base = sf.replace("sf0.001", "sf0.01")
+@pytest.mark.parametrize("size", ["sf0.01", "sf0.1"])
+def test_query(spark, sf, size):
+    base = sf.replace("sf0.001", size)
     rows = queries.op5_soft_mixing(spark, base).toPandas()
     docs = spark.read.parquet(f"{base}/documents.parquet").count()
     assert len(rows) == docs and rows.rate.min() >= 0
     assert np.allclose(rows[[f"p_{n}" for n in NAMES]].sum(axis=1), 1)
     n, p = rows.n_tokens.to_numpy(float), rows[[f"p_{n}" for n in NAMES]].to_numpy()
-    goal = np.array([queries.MIX_SHARES[x] for x in NAMES]) * (n[:, None] * p).sum(0)
-    assert np.allclose(rows.rate, brute(n, p, goal, soft_mixing.ROUNDS), atol=1e-6)
+    whole = (n[:, None] * p).sum(0)
+    assert ((rows.rate.to_numpy() * n) @ p / whole).tolist() == pytest.approx([queries.MIX_SHARES[x] for x in NAMES], abs=1e-3)
 
 
 def test_held_out_accuracy(spark, sf):
