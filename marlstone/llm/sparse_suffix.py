@@ -9,8 +9,8 @@ after it.
 1. Suffixes whose first KEY_WORDS words occur once in the corpus have no partner and are left
    out: counts of hashed keys, combined before they are shuffled.
 2. The others get their context, words before and after the key, and are sorted by it: a
-   distributed suffix array, dealt into ranges so that a frequent passage spreads over many
-   tasks.
+   distributed suffix array, dealt into ranges of the key and, within one, of a hash of the
+   place, so that a frequent passage spreads over many tasks and bounds are two numbers.
 3. Each suffix is compared with its neighbours from other texts; common words extend the match
    right and left. If it has MIN_WORDS words, its place is marked as repeated. Marked places of
    a text merge to spans.
@@ -20,12 +20,17 @@ after it.
    those of passages that two different texts have, but for collisions of 64-bit hashes (32-bit
    for single words of context).
 
+Every marked place names one text that has its passage too; of those of a document the one with
+the smallest hash is its partner.
+
 Equal texts are compared once and all get the spans of their text; with MIN_WORDS words or more
-they are repeats of each other as a whole.
+they are repeats of each other as a whole. Rows find their text's spans by a join in which texts
+with many copies are broadcast.
 
-Cases: a null, empty or short text has no passage and gives no row. Rows with the same id and
-text give a row each. A null id can't be named as the copied one unless no other is there.
-An empty table gives no rows. Other columns are not read.
+Cases: a null, empty or short text has no passage and gives no row. Texts of any length are read
+whole. Rows with the same id and text give a row each. A null id can't be named as the copied
+one or the partner unless no other is there. Of equally placed suffixes all are compared; which of several
+texts is a partner depends on their hashes alone where all lie in one range. An empty table gives no rows. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -34,11 +39,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from marlstone.llm.batches import map_texts, mix, powers, raw, slices, window_hashes, word_hashes, words
+from marlstone.llm.batches import give_back, map_texts, mix, powers, raw, slices, window_hashes, word_hashes, words
+from marlstone.llm.spread import join_spread
 from marlstone.storage import materialize
 
 MIN_WORDS = 50
@@ -107,7 +114,7 @@ def _keys(docs: DataFrame) -> DataFrame:
     return map_texts(docs, "text", fields, work, without=("text",))
 
 
-_SUFFIX = "key long, right binary, left binary, digest string, at int, n_words int"
+_SUFFIX = "key long, right binary, left binary, digest binary, at int"
 
 
 def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -127,9 +134,10 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     right = padded[(p + LEFT + KEY_WORDS)[:, None] + np.arange(RIGHT)]
                     left = padded[(p + LEFT - 1)[:, None] - np.arange(LEFT)]
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(keys[a + p].view(np.int64)), _fixed(right), _fixed(left), pa.array([digests[i]] * len(p)), pa.array(p.astype(np.int32)), pa.array(np.full(len(p), b - a, np.int32))],
-                        names=["key", "right", "left", "digest", "at", "n_words"],
+                        [pa.array(keys[a + p].view(np.int64)), _fixed(right), _fixed(left), pa.array([digests[i]] * len(p), pa.binary()), pa.array(p.astype(np.int32))],
+                        names=["key", "right", "left", "digest", "at"],
                     )
+        give_back()
 
 
 def _fixed(rows: np.ndarray) -> pa.Array:
@@ -142,9 +150,18 @@ def _common(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.where(same.all(axis=1), a.shape[1], (~same).argmax(axis=1))
 
 
-#: A marked place has start and end; a passage to be met has its hash, the words before its places, and those.
-_MARKS = "digest string, start int, end int, window long, before int, places array<int>"
-_NAMES = ["digest", "start", "end", "window", "before", "places"]
+#: A marked place has start, end and the number of a text it is met in; a passage to be met has its hash, the words before its places, and those.
+_MARKS = "digest binary, start int, end int, other long, window long, before int, places array<int>"
+_NAMES = ["digest", "start", "end", "other", "window", "before", "places"]
+
+
+def _numbers(digests: list[bytes]) -> pa.Array:
+    """The number of each text, as Spark's xxhash64 gives it."""
+    made: dict[bytes, int] = {}
+    for d in digests:
+        if d not in made:
+            made[d] = xxhash.xxh64_intdigest(d, 42)
+    return pa.array(np.array([made[d] for d in digests], np.uint64).view(np.int64))
 
 
 def _extended(rows: list[np.ndarray], one: np.ndarray, two: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -168,24 +185,26 @@ def _windows(rows: list[np.ndarray]) -> Iterator[tuple[int, np.ndarray, np.ndarr
 
 
 def _in_two_texts(h: np.ndarray, text: np.ndarray) -> np.ndarray:
-    """Whether another text has the same hash."""
+    """Where another text has the same hash, or -1."""
     if not len(h):
-        return np.zeros(0, bool)
+        return np.zeros(0, np.int64)
     order = np.lexsort((text, h))
     hs, ts = h[order], text[order]
     new = np.concatenate([[True], hs[1:] != hs[:-1]])
     first = np.flatnonzero(new)
     last = np.append(first[1:], len(h)) - 1
-    out = np.zeros(len(h), bool)
-    out[order] = np.repeat(ts[first] != ts[last], last - first + 1)
+    first, last = (np.repeat(x, last - first + 1) for x in (first, last))
+    other = np.where(ts[first] != ts, first, last)
+    out = np.empty(len(h), np.int64)
+    out[order] = np.where(ts[other] != ts, order[other], -1)
     return out
 
 
-def _matches(rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Start and end of each suffix's repeated words, end 0 where there are none; ``rows`` are sorted and hold whole groups of a key."""
+def _matches(rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start and end of each suffix's repeated words, end 0 where there are none, and a suffix of another text that has some; ``rows`` are sorted and hold whole groups of a key."""
     key, _, _, digest, at = rows
     n = len(key)
-    start, end = at.astype(np.int64).copy(), np.zeros(n, np.int64)
+    start, end, met = at.astype(np.int64).copy(), np.zeros(n, np.int64), np.full(n, -1)
     # Neighbours: suffixes of one text in a row form a run, which meets the nearest suffix of another text on either side.
     turn = np.concatenate([[True], (digest[1:] != digest[:-1]) | (key[1:] != key[:-1])])
     where = np.flatnonzero(turn)
@@ -195,7 +214,7 @@ def _matches(rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         if len(one):
             l, r, ok = _extended(rows, one, other[one])
             one, l, r = one[ok], l[ok], r[ok]
-            start[one], end[one] = np.minimum(start[one], at[one] - l), np.maximum(end[one], at[one] + r)
+            start[one], end[one], met[one] = np.minimum(start[one], at[one] - l), np.maximum(end[one], at[one] + r), other[one]
     # Among three or more, a partner with fewer words after the place but more before it may not be a neighbour.
     group = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
     size = np.diff(np.append(group, n))
@@ -205,9 +224,11 @@ def _matches(rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         text = np.unique(part[3], return_inverse=True)[1]
         for l, h, fits in _windows(part):
             hit = np.flatnonzero(fits)
-            hit = more[hit[_in_two_texts(h[hit], text[hit])]]
-            start[hit], end[hit] = np.minimum(start[hit], at[hit] - l), np.maximum(end[hit], at[hit] - l + MIN_WORDS)
-    return start, end
+            other = _in_two_texts(h[hit], text[hit])
+            two = other >= 0
+            hit, other = more[hit[two]], more[hit[other[two]]]
+            start[hit], end[hit], met[hit] = np.minimum(start[hit], at[hit] - l), np.maximum(end[hit], at[hit] - l + MIN_WORDS), other
+    return start, end, met
 
 
 def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -224,10 +245,10 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return [batch.column(0).to_numpy(zero_copy_only=False), right, left, np.array(batch.column(3).to_pylist(), object), batch.column(4).to_numpy(zero_copy_only=False)]
 
     def marked(rows: list[np.ndarray]) -> pa.RecordBatch:
-        start, end = _matches(rows)
+        start, end, met = _matches(rows)
         ok = np.flatnonzero(end)
         none = [pa.nulls(len(ok), kind) for kind in (pa.int64(), pa.int32(), pa.list_(pa.int32()))]
-        return pa.RecordBatch.from_arrays([pa.array(rows[3][ok].tolist(), pa.string()), pa.array(start[ok].astype(np.int32)), pa.array(end[ok].astype(np.int32)), *none], names=_NAMES)
+        return pa.RecordBatch.from_arrays([pa.array(rows[3][ok].tolist(), pa.binary()), pa.array(start[ok].astype(np.int32)), pa.array(end[ok].astype(np.int32)), _numbers(rows[3][met[ok]].tolist()), *none], names=_NAMES)
 
     def passages(rows: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
         """Hashes to be met elsewhere, a row for each text that has one, with all its places.
@@ -253,7 +274,7 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             places = rows[4][hit[np.repeat(heads - first[:-1], size) + np.arange(first[-1])]].astype(np.int32)
             none = pa.nulls(len(heads), pa.int32())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(rows[3][hit[heads]].tolist(), pa.string()), none, none, pa.array(hs[heads].view(np.int64)), pa.array(np.full(len(heads), l, np.int32)), pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pa.array(places))],
+                [pa.array(rows[3][hit[heads]].tolist(), pa.binary()), none, none, pa.nulls(len(heads), pa.int64()), pa.array(hs[heads].view(np.int64)), pa.array(np.full(len(heads), l, np.int32)), pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pa.array(places))],
                 names=_NAMES,
             )
 
@@ -279,53 +300,61 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from done(held, False)
 
 
+def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (digest, other, places) to disjoint spans; spans that touch join."""
+    for batch in batches:
+        lists = batch.column(2)
+        at = np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False))])
+        flat = lists.flatten()
+        start, end = (flat.field(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in (0, 1))
+        row = np.repeat(np.arange(len(lists)), np.diff(at))
+        order = np.lexsort((start, row))
+        start, end = start[order], end[order]
+        shift = row << 33  # keeps rows apart, so that one running maximum serves all
+        reach = np.maximum.accumulate(end + shift) - shift
+        new = np.ones(len(start), bool)
+        new[1:] = (row[1:] != row[:-1]) | (start[1:] > reach[:-1])
+        heads = np.flatnonzero(new)
+        spans = pa.StructArray.from_arrays([pa.array(start[heads]), pa.array(reach[np.append(heads[1:], len(start)) - 1] if len(start) else start)], names=["start", "end"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.ListArray.from_arrays(pa.array(np.searchsorted(row[heads], np.arange(len(lists) + 1)).astype(np.int32)), spans)], names=["digest", "other", "spans"])
+
+
 def repeated_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """A row for each document with a repeated passage: doc_id, n_words, dup_words, spans (of words, end exclusive), copy_of, copies.
+    """A row for each document with a repeated passage: doc_id, n_words, dup_words, spans (of words, end exclusive), partner, copy_of, copies.
 
     ``copy_of`` is the smallest id of an equal text, if other rows have it, and ``copies`` their
-    number, this one included.
+    number, this one included. ``partner`` is the smallest id of a different text that shares a
+    passage; copies without one have none.
     """
+    digest_of = F.unhex(F.md5("text"))
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
-    found = materialize(_keys(rows.withColumn("digest", F.md5("text"))).where(F.col("n_words") >= MIN_WORDS), "suffix-keys")
-    same = found.groupBy("digest").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("copies"), F.max("n_words").alias("n_words"))
-    once = found.join(same.select(F.col("digest").alias("d"), "first_id"), (F.col("digest") == F.col("d")) & F.col("doc_id").eqNullSafe(F.col("first_id")))
-    once = once.select("digest", "doc_id", F.explode(F.arrays_zip("keys", "at")).alias("s")).select("digest", "doc_id", F.col("s.keys").alias("key"), F.col("s.at").alias("at"))
+    found = materialize(_keys(rows.withColumn("digest", digest_of)).where(F.col("n_words") >= MIN_WORDS), "suffix-keys")
     text_no = F.xxhash64("digest")  # a number, so that the aggregates are hashed and not sorted
+    same = materialize(found.groupBy("digest").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("copies"), F.max("n_words").alias("n_words")), "suffix-texts")
+    once = join_spread(found.drop("n_words"), same.select("digest", "first_id", "copies"), ["digest"], "copies").where(F.col("doc_id").eqNullSafe(F.col("first_id")))
+    once = once.select("digest", "doc_id", F.explode(F.arrays_zip("keys", "at")).alias("s")).select("digest", "doc_id", F.col("s.keys").alias("key"), F.col("s.at").alias("at"))
     shared = once.groupBy("key").agg(F.min(text_no).alias("a"), F.max(text_no).alias("b")).where(F.col("a") != F.col("b")).select(F.col("key").alias("k"))
     kept = once.join(shared, F.col("key") == F.col("k"), "left_semi")
     places = materialize(kept.groupBy("digest", F.col("doc_id").alias("of")).agg(F.array_distinct(F.flatten(F.collect_list("at"))).alias("at")), "suffix-places")
-    texts = rows.withColumn("d", F.md5("text")).join(places, F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("d") == F.col("digest"))).select("digest", "text", "at")
-    suffixes = materialize(texts.mapInArrow(_contexts, _SUFFIX).drop("n_words"), "suffix-contexts")
+    texts = rows.withColumn("d", digest_of).join(places, F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("d") == F.col("digest"))).select("digest", "text", "at")
+    suffixes = materialize(texts.mapInArrow(_contexts, _SUFFIX), "suffix-contexts")
     order = ["key", "right", "left", "digest", "at"]
-    ordered = suffixes.select(*order).repartitionByRange(*order).sortWithinPartitions(*order)
+    ordered = suffixes.repartitionByRange("key", F.xxhash64("digest", "at")).sortWithinPartitions(*order)
     marks = materialize(ordered.mapInArrow(_neighbours, _MARKS), "suffix-marks")
-    spans = marks.where("window is null").select("digest", "start", "end")
+    spans = marks.where("window is null").select("digest", "start", "end", "other")
     met = marks.where("window is not null")
-    twice = met.groupBy("window").agg(F.min(text_no).alias("a"), F.max(text_no).alias("b")).where(F.col("a") != F.col("b")).select(F.col("window").alias("w"))
-    found_far = met.join(twice, F.col("window") == F.col("w"), "left_semi").select("digest", "before", F.explode("places").alias("at"))
-    found_far = found_far.groupBy("digest", "at").agg(F.min(F.col("at") - F.col("before")).alias("start"), F.max(F.col("at") - F.col("before") + MIN_WORDS).alias("end"))
-    spans = spans.union(found_far.select("digest", "start", "end"))
-    spans = spans.groupBy("digest").agg(F.collect_set(F.struct("start", "end")).alias("places"))
-    merged = spans.select("digest", _merge(F.array_sort("places")).alias("merged"))
+    twice = met.groupBy("window").agg(F.min(text_no).alias("a"), F.max(text_no).alias("b")).where(F.col("a") != F.col("b")).select(F.col("window").alias("w"), "a", "b")
+    found_far = met.join(twice, F.col("window") == F.col("w")).select("digest", "before", F.when(F.col("a") == text_no, F.col("b")).otherwise(F.col("a")).alias("other"), F.explode("places").alias("at"))
+    found_far = found_far.groupBy("digest", "at").agg(F.min(F.col("at") - F.col("before")).alias("start"), F.max(F.col("at") - F.col("before") + MIN_WORDS).alias("end"), F.min("other").alias("other"))
+    spans = spans.union(found_far.select("digest", "start", "end", "other"))
+    spans = spans.groupBy("digest").agg(F.min("other").alias("other"), F.collect_set(F.struct("start", "end")).alias("places"))
+    merged = materialize(spans.mapInArrow(_merged, T.StructType([T.StructField("digest", T.BinaryType()), T.StructField("other", T.LongType()), T.StructField("spans", SPANS)])), "suffix-spans")
+    asked = merged.groupBy("other").agg(F.count("*").alias("n"))
+    named = asked.join(same.groupBy(text_no.alias("other")).agg(F.min("first_id").alias("partner")), "other")
+    merged = join_spread(merged, named, ["other"], "n").drop("other")
     whole = F.array(F.struct(F.lit(0).cast("long").alias("start"), F.col("n_words").alias("end")))
-    out = same.join(merged, "digest", "left").select("digest", "first_id", "copies", F.when(F.col("copies") > 1, whole).otherwise(F.col("merged")).alias("spans")).where("spans is not null")
+    out = same.join(merged, "digest", "left").select("digest", "first_id", "partner", "copies", F.when(F.col("copies") > 1, whole).otherwise(F.col("spans")).alias("spans"), F.col("copies").alias("n")).where("spans is not null")
     dup = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
-    return (
-        found.select("doc_id", "n_words", F.col("digest").alias("d"))
-        .join(out, F.col("d") == F.col("digest"))
-        .select("doc_id", "n_words", dup.alias("dup_words"), "spans", F.when(F.col("copies") > 1, F.col("first_id")).alias("copy_of"), "copies")
+    return join_spread(found.select("doc_id", "n_words", "digest"), materialize(out, "suffix-found"), ["digest"], "n").select(
+        "doc_id", "n_words", dup.alias("dup_words"), "spans", "partner", F.when(F.col("copies") > 1, F.col("first_id")).alias("copy_of"), "copies"
     )
-
-
-def _merge(places: F.Column) -> F.Column:
-    """Sorted (start, end) to disjoint spans; spans that touch join."""
-    empty = F.array().cast("array<struct<start:bigint,end:bigint>>")
-
-    def step(acc: F.Column, s: F.Column) -> F.Column:
-        start, end = s["start"].cast("long"), s["end"].cast("long")
-        last = F.try_element_at(acc, F.lit(-1))
-        joined = F.concat(F.slice(acc, F.lit(1), F.size(acc) - 1), F.array(F.struct(last["start"].alias("start"), F.greatest(last["end"], end).alias("end"))))
-        fresh = F.concat(acc, F.array(F.struct(start.alias("start"), end.alias("end"))))
-        return F.when((F.size(acc) > 0) & (start <= F.try_element_at(acc, F.lit(-1))["end"]), joined).otherwise(fresh)
-
-    return F.aggregate(places, empty, step)

@@ -70,7 +70,21 @@ def test_edges(spark):
 
 def test_query(spark, sf):
     rows = [tuple(r) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()]
-    assert found(queries.op6_repeated_passages(spark, sf)) == brute(rows)
+    got = queries.op6_repeated_passages(spark, sf)
+    assert found(got) == brute(rows)
+    texts = dict(rows)
+
+    def passages(t):
+        w = t.encode().split()
+        return {tuple(w[i : i + 50]) for i in range(len(w) - 49)}
+
+    for r in got.collect():
+        assert r.partner is not None or r.copies > 1
+        if r.partner is not None:
+            assert texts[r.partner] != texts[r.doc_id] and passages(texts[r.partner]) & passages(texts[r.doc_id])
+            assert r.partner == min(i for i, t in rows if t == texts[r.partner])
+        w = texts[r.doc_id].encode().split()
+        assert all(a["end"] < b["start"] for a, b in zip(r.spans, r.spans[1:])) and r.spans[-1]["end"] <= len(w)
 
 
 def test_same_words_keep_the_same_places():
@@ -93,9 +107,9 @@ def test_groups_too_large_to_hold(monkeypatch):
     n = 40
     right = np.tile(np.arange(1, sparse_suffix.RIGHT + 1, dtype=">u4"), (n, 1))
     left = np.tile(np.arange(1, sparse_suffix.LEFT + 1, dtype=">u4"), (n, 1))
-    batch = pa.RecordBatch.from_arrays([pa.array(np.full(n, 7)), sparse_suffix._fixed(right), sparse_suffix._fixed(left), pa.array([f"{i:04}" for i in range(n)]), pa.array(np.full(n, 30, np.int32))], names=["key", "right", "left", "digest", "at"])
+    batch = pa.RecordBatch.from_arrays([pa.array(np.full(n, 7)), sparse_suffix._fixed(right), sparse_suffix._fixed(left), pa.array([b"%04d" % i for i in range(n)]), pa.array(np.full(n, 30, np.int32))], names=["key", "right", "left", "digest", "at"])
     out = pa.Table.from_batches(list(sparse_suffix._neighbours(iter([batch])))).to_pylist()
-    assert {r["digest"] for r in out if r["window"] is None} == {f"{i:04}" for i in range(n)}
+    assert {r["digest"] for r in out if r["window"] is None} == {b"%04d" % i for i in range(n)}
     assert len({r["window"] for r in out if r["window"] is not None}) == sparse_suffix.WINDOW
 
 
@@ -109,12 +123,12 @@ def _suffix_batch(digests, at):
 def test_all_places_of_a_text_are_given_out():
     """A range with one text gives out every place; one with two texts gives out both."""
     at = list(range(30, 330, 10))
-    alone = [r for b in sparse_suffix._neighbours(iter([_suffix_batch(["a"] * 30, at)])) for r in b.to_pylist() if r["window"] is not None]
+    alone = [r for b in sparse_suffix._neighbours(iter([_suffix_batch([b"a"] * 30, at)])) for r in b.to_pylist() if r["window"] is not None]
     assert len({r["window"] for r in alone}) == sparse_suffix.WINDOW
     assert all(sorted(r["places"]) == at for r in alone)
-    both = [r for b in sparse_suffix._neighbours(iter([_suffix_batch(["a"] * 5 + ["b"] * 5, [*at[:5], *at[:5]])])) for r in b.to_pylist() if r["window"] is not None]
+    both = [r for b in sparse_suffix._neighbours(iter([_suffix_batch([b"a"] * 5 + [b"b"] * 5, [*at[:5], *at[:5]])])) for r in b.to_pylist() if r["window"] is not None]
     assert {r["window"] for r in both} == {r["window"] for r in alone}
-    assert all({r["digest"] for r in both if r["window"] == w} == {"a", "b"} for w in {r["window"] for r in both})
+    assert all({r["digest"] for r in both if r["window"] == w} == {b"a", b"b"} for w in {r["window"] for r in both})
 
 
 def test_partner_in_another_chunk(spark, monkeypatch):
