@@ -1,17 +1,21 @@
 """Secret scanning: a random forest tells secrets from look-alikes.
 
 A wide net takes candidates from whole texts: runs of at least ``MIN_RUN`` characters of
-``[A-Za-z0-9_+/=.~-]`` with a letter and a digit, and values of eight or more after a word such
-as ``password`` and ``=`` or ``:``. A forest trained on labelled findings then decides, by the
+``[A-Za-z0-9_+/=.~-]`` with a letter and a digit; values of eight or more after a name such as
+``password``, ``"api_key"`` or ``secret_token`` and ``=`` or ``:``; passwords in addresses
+(``scheme://user:password@host``); and what begins as issued keys do, of letters alone too. A
+forest trained on labelled findings then decides, by the
 candidate's length and character classes, its character transitions, the share of it that
-dictionary words cover, its path and the words beside it.
+dictionary words cover, its path and the words beside it. Which transitions and which
+neighbouring words speak for a secret is learned from the same findings, as log odds.
 
 The labelled findings come as a table (``path``, ``before``, ``candidate``, ``after``, ``secret``);
+the first TRAIN_FINDINGS rows in hash order are used.
 ``labelled_findings`` makes the one that ships: seeded random keys, passwords and tokens against
 identifiers, versions, file names, checksums, addresses and slugs in their usual contexts.
 
 Cases: a null or empty text has no finding. Repeated rows give their findings each. A null path
-counts as an empty one. Texts are scanned whole; a run of any length is one candidate. An empty
+counts as an empty one. Texts are scanned whole, in time linear in their length; a run of any length is one candidate. An empty
 table gives no rows. Columns named like a result column are replaced.
 """
 
@@ -26,25 +30,30 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marlstone.llm.batches import map_texts, slices
 
 MIN_RUN, MIN_VALUE = 16, 8
 CONTEXT = 48  # characters read on either side of a candidate
-#: Findings that the forest is trained on at most, in the table's order.
+#: Findings that the forest is trained on at most, in hash order.
 TRAIN_FINDINGS = 20_000
 TREES, DEPTH, MIN_LEAF = 40, 10, 3
 CUTOFF = 0.5
 MASK = "<secret>"
 
 _RUN = re.compile(r"[A-Za-z0-9_+/=.~-]{%d,}" % MIN_RUN)
-_VALUE = re.compile(r"(?i)(?:passw(?:or)?d|passphrase|secret|token|api[_-]?key)\s*[:=]\s*[\"']?([^\s\"',;]{%d,})" % MIN_VALUE)
-_DIGIT, _LETTER = re.compile(r"[0-9]"), re.compile(r"[A-Za-z]")
-
-# Words that stand beside secrets or beside look-alikes, and common name parts.
-_SECRET_WORDS = frozenset("token secret password passwd passphrase apikey api_key key auth authorization bearer credential credentials private access login signature".split())
-_PLAIN_WORDS = frozenset("commit sha sha1 sha256 md5 checksum digest hash uuid guid id version release build etag integrity page file path ref href url isbn doi phone tel ip serial order invoice figure table chapter".split())
+_NAME = re.compile(r"(?i)passw(?:or)?d|passphrase|secret|token|(?:api|access|private)[_-]?key|credential")
+_VALUE = re.compile(r"[A-Za-z0-9_-]{0,24}[\"']?\s*(?::=|=>|[:=])\s*[\"']?([^\s\"',;]{%d,})" % MIN_VALUE)
+_URL = re.compile(r"://[^\s/:@\"']{1,64}:([^\s/@\"']{%d,})@" % MIN_VALUE)
+_DIGIT, _LETTER, _WORD = re.compile(r"[0-9]"), re.compile(r"[A-Za-z]"), re.compile(r"[a-z_0-9]+")
+OFTEN = 8  # findings that a word must stand beside to count
+
+# How keys that well-known services issue begin.
+_ISSUED = ("AKIA", "ASIA", "AIza", "ghp_", "gho_", "ghu_", "ghs_", "ghr_", "glpat-", "sk-", "sk_live_", "xoxb-", "xoxa-", "xoxp-")
+_BEGINS = re.compile(r"(?<![A-Za-z0-9_])(?:%s)[A-Za-z0-9_-]{5,}" % "|".join(_ISSUED))
+# Common name parts.
 _DICTIONARY = sorted(
     set(
         "access account action admin agent alpha and api app archive array auth author backup base batch beta block board book branch build cache call case chain change channel chapter class client cloud code color column com commit config content context control copy core count course create data database date default delta demo design dev device digest disk doc document domain draft edit email engine entry error event example export factory feature field figure file filter final first flag folder font form format frame from full game gamma global graph group guide handler hash header help home host html http https image img import index info input install item java job json key label lang large last layout lib library license line link linux list local lock log login main manager map master media member menu message meta method mobile mode model module music name net network news node note number object online open option order org output package page panel parser part patch path photo picture plugin point policy port post process product profile project public query queue read record release remote report request reset result review role root route row sample schema script search section security sensor server service session set setting shared shop simple site size small snapshot source spark stable stage start state static status step storage store stream string style summary support system table tag task team temp template test text the theme thread time title token tool topic total tree type unit update upload url user util value vector version video view web widget window with word work worker year zone".split()
@@ -71,18 +80,38 @@ FINDING = T.StructType([T.StructField(n, T.StringType()) for n in ("path", "befo
 
 
 def candidates(text: str) -> list[tuple[int, int, str]]:
-    """(start, end, rule) in code points, in order; a value inside a run is one candidate with it."""
-    if not text or not (_DIGIT.search(text) or _VALUE.search(text)):
+    """(start, end, rule) in code points, in order, disjoint.
+
+    A value, password or issued key inside a run is one candidate with what follows it there;
+    what stands before it in the run, as a name and an equals sign do, is not part of it.
+    """
+    if not text:
         return []
-    found = [(m.start(), m.end(), "run") for m in _RUN.finditer(text) if _DIGIT.search(m[0]) and _LETTER.search(m[0])]
-    for m in _VALUE.finditer(text):
-        a, b = m.span(1)
-        hit = [i for i, (s, e, _) in enumerate(found) if s < b and a < e]
-        for i in reversed(hit):
-            s, e, _ = found.pop(i)
-            a, b = max(a, min(a, s)) if s >= a else a, max(b, e)
-        found.append((a, b, "value"))
-    return sorted(found)
+    sure = [(m.start(1), m.end(1), "value") for n in _NAME.finditer(text) if (m := _VALUE.match(text, n.end()))]
+    if "://" in text:
+        sure += [(*m.span(1), "url") for m in _URL.finditer(text)]
+    if any(x in text for x in _ISSUED):
+        sure += [(*m.span(), "issued") for m in _BEGINS.finditer(text)]
+    runs = [m.span() for m in _RUN.finditer(text) if _DIGIT.search(m[0]) and _LETTER.search(m[0])] if _DIGIT.search(text) else []
+    found: list[tuple[int, int, str]] = []
+    for a, b, rule in sorted(sure):
+        if found and a < found[-1][1]:
+            found[-1] = (found[-1][0], max(b, found[-1][1]), found[-1][2])
+        else:
+            found.append((a, b, rule))
+    out, i = [], 0
+    for a, b, rule in found:
+        while i < len(runs) and runs[i][1] <= a:
+            out.append((*runs[i], "run"))
+            i += 1
+        while i < len(runs) and runs[i][0] < b:
+            b = max(b, runs[i][1])
+            i += 1
+        if out and out[-1][1] > a:  # a run that reached over the one before
+            out[-1] = (out[-1][0], max(b, out[-1][1]), out[-1][2])
+        else:
+            out.append((a, b, rule))
+    return out + [(*r, "run") for r in runs[i:]]
 
 
 @lru_cache(maxsize=1)
@@ -94,8 +123,14 @@ def _kind(c: str) -> int:
     return 0 if c.islower() else 1 if c.isupper() else 2 if c.isdigit() else 3
 
 
-def features(path: str, before: str, candidate: str, after: str, pairs: np.ndarray | None = None) -> list[float]:
-    """What the forest sees of a finding. ``pairs``: log odds of character pairs, from training."""
+def _beside(before: str, after: str) -> tuple[list[str], list[str]]:
+    """The four words before and the two after, and each part of a joined name."""
+    left, right = _WORD.findall(before.lower())[-4:], _WORD.findall(after.lower())[:2]
+    return [p for w in left for p in {w, *w.split("_")}], right
+
+
+def features(path: str, before: str, candidate: str, after: str, pairs: np.ndarray | None = None, words: dict[str, float] | None = None) -> list[float]:
+    """What the forest sees of a finding. ``pairs`` and ``words``: log odds of character pairs and of words beside, from training."""
     n = len(candidate)
     kinds = [_kind(c) for c in candidate]
     share = [kinds.count(k) / n for k in range(4)]
@@ -107,9 +142,8 @@ def features(path: str, before: str, candidate: str, after: str, pairs: np.ndarr
     odds = float(np.mean([pairs[ord(a) & 127, ord(b) & 127] for a, b in zip(candidate, candidate[1:])])) if pairs is not None and n > 1 else 0.0
     hexa = sum(c in "0123456789abcdefABCDEF" for c in candidate) / n
     parts = [p for p in re.split(r"[-_./+=~]", candidate) if p]
-    left = re.findall(r"[A-Za-z_0-9]+", before.lower())[-4:]
-    right = re.findall(r"[A-Za-z_0-9]+", after.lower())[:2]
-    near = left + right
+    words = words or {}
+    left, right = ([words.get(w, 0.0) for w in side] for side in _beside(before, after))
     assigned = bool(re.search(r"[:=]\s*[\"']?$", before))
     quoted = before[-1:] in ("'", '"') and before[-1:] == after[:1]
     where = path.lower()
@@ -126,8 +160,9 @@ def features(path: str, before: str, candidate: str, after: str, pairs: np.ndarr
         float(candidate.count("/")) / n,
         float(candidate.count("-")) / n,
         float(candidate.count(".")) / n,
-        float(any(w in _SECRET_WORDS for w in near)),
-        float(any(w in _PLAIN_WORDS for w in near)),
+        max(left, default=0.0),
+        min(left, default=0.0),
+        sum(right),
         float(assigned),
         float(quoted),
         float(before.endswith(("/", ":", "@")) or "://" in before[-24:]),
@@ -145,11 +180,21 @@ def _log_odds(rows: list[tuple]) -> np.ndarray:
     return np.log(share[1] / share[0])
 
 
+def _word_odds(rows: list[tuple]) -> dict[str, float]:
+    """Log odds of a secret for each word that stands beside OFTEN findings or more."""
+    counts: dict[str, list[int]] = {}
+    for _, before, _, after, secret in rows:
+        for w in {w for side in _beside(before, after) for w in side}:
+            counts.setdefault(w, [0, 0])[int(secret)] += 1
+    total = [sum(r[4] == k for r in rows) for k in (False, True)]
+    return {w: math.log((yes + 1) / (total[1] + 2)) - math.log((no + 1) / (total[0] + 2)) for w, (no, yes) in counts.items() if no + yes >= OFTEN}
+
+
 class Forest:
     """Bagged trees on Gini impurity; a node looks at the square root of the features."""
 
-    def __init__(self, trees: list[np.ndarray], pairs: np.ndarray | None = None) -> None:
-        self.trees, self.pairs = trees, pairs
+    def __init__(self, trees: list[np.ndarray], pairs: np.ndarray | None = None, words: dict[str, float] | None = None) -> None:
+        self.trees, self.pairs, self.words = trees, pairs, words
 
     @staticmethod
     def train(x: np.ndarray, y: np.ndarray, trees: int = TREES, depth: int = DEPTH, seed: int = 7) -> Forest:
@@ -217,17 +262,17 @@ def findings_made(seed: int = 11, n: int = 4000) -> list[tuple]:
         return sep.join(rng.choice(_DICTIONARY) for _ in range(k))
 
     def secret() -> tuple:
-        value = rng.choice([some(hexa, rng.choice([32, 40, 48, 64])), some(base, rng.choice([24, 32, 40, 44])), some(url, rng.randint(20, 60)), "AK" + some("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", 18), "sk-" + some(base[:62], 40), "gh" + rng.choice("pos") + "_" + some(base[:62], 36), rng.choice(_DICTIONARY).title() + some("0123456789", rng.randint(2, 5)) + some("!@#$%_-", 1) + some(base[:62], rng.randint(3, 8))])
+        value = rng.choice([some(hexa, rng.choice([32, 40, 48, 64])), some(base, rng.choice([24, 32, 40, 44])), some(url, rng.randint(20, 60)), some(base[:62], rng.randint(8, 15)), "AKIA" + some(base[:26], 16), "AK" + some("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", 18), "sk-" + some(base[:62], 40), "gh" + rng.choice("pos") + "_" + some(base[:62], 36), rng.choice(_DICTIONARY).title() + some("0123456789", rng.randint(2, 5)) + some("!@#$%_-", 1) + some(base[:62], rng.randint(3, 8))])
         name = rng.choice(["token", "secret", "password", "api_key", "apikey", "auth_token", "access_token", "private_key", "client_secret"])
         quote = rng.choice(['"', "'", ""])
-        before = rng.choice([f"{name} = {quote}", f"{name}: {quote}", f"{name}={quote}", f"set {name} {quote}", f"Authorization: Bearer {quote}"])
+        before = rng.choice([f"{name} = {quote}", f"{name}: {quote}", f"{name}={quote}", f"set {name} {quote}", f"Authorization: Bearer {quote}", f'"{name}": {quote}', f"{name}_{rng.choice(_DICTIONARY)} = {quote}", f"{rng.choice(['https', 'postgres', 'redis'])}://{rng.choice(_DICTIONARY)}:"])
         if not before.startswith("Auth") and rng.random() < 0.5:
             before = f"{words(rng.randint(1, 4), ' ')} {before}"
-        after = quote + rng.choice([" ", "\n", f" {words(2, ' ')}"])
+        after = ("@" + words(2, ".") if "://" in before else quote) + rng.choice([" ", "\n", f" {words(2, ' ')}"])
         return (rng.choice(["src3", "", ".env", "config/app.yml", "src/main.py"]), before, value, after, True)
 
     def plain() -> tuple:
-        kind = rng.randrange(9)
+        kind = rng.randrange(10)
         quote = rng.choice(['"', "", ""])
         if kind == 0:
             return ("go.sum", rng.choice(["commit ", "sha1 ", "checksum: ", "md5 = ", "integrity="]) + quote, some(hexa, rng.choice([32, 40, 64])), quote + " ", False)
@@ -245,6 +290,8 @@ def findings_made(seed: int = 11, n: int = 4000) -> list[tuple]:
             return ("test/example.py", rng.choice(["password = ", "token: ", "secret="]) + quote, rng.choice(["example", "changeme", "placeholder", "your-token-here", "xxxxxxxx"]) + rng.choice(["123", "1", "12345", "-000000000"]), quote + "\n", False)
         if kind == 7:
             return ("src1", words(2, " ") + rng.choice([" ", "@"]), f"mail{rng.randint(1, 20)}.{words(2, '.')}.{rng.choice(['com', 'org', 'net'])}", " ", False)
+        if kind == 8:  # a sentence about secrets
+            return ("src4", words(rng.randint(0, 3), " ") + rng.choice([" password: ", " token: ", " secret = ", " api key: ", ' "token": "']), rng.choice([words(2, ""), words(2, "-"), words(3, "_"), words(1, "") + "ation"])[:30].ljust(8, "s"), " ", False)
         return ("src5", words(2, " ") + " ", f"{words(1, '')}{rng.randint(10, 999)}{words(2, '')}{rng.randint(1, 9)}", rng.choice([" ", ", "]), False)
 
     def anywhere(finding: tuple) -> tuple:
@@ -260,12 +307,14 @@ def labelled_findings(spark: SparkSession, seed: int = 11, n: int = 4000) -> Dat
 
 def train(findings: DataFrame) -> Forest:
     """A forest from a table of labelled findings; rows without a candidate or label are left out."""
-    rows = [(r.path or "", r.before or "", r.candidate, r.after or "", r.secret) for r in findings.select(*FINDING.names).limit(TRAIN_FINDINGS).collect() if r.candidate and r.secret is not None]
+    known = findings.select(*FINDING.names).where("candidate <> '' and secret is not null")
+    known = known.orderBy(F.xxhash64(*FINDING.names), *FINDING.names).limit(TRAIN_FINDINGS)
+    rows = [(r.path or "", r.before or "", r.candidate, r.after or "", r.secret) for r in known.collect()]
     if len({r[4] for r in rows}) < 2:
         raise ValueError("findings of both kinds are needed")
-    pairs = _log_odds(rows)
-    forest = Forest.train(np.array([features(*r[:4], pairs) for r in rows]), np.array([float(r[4]) for r in rows]))
-    forest.pairs = pairs
+    pairs, words = _log_odds(rows), _word_odds(rows)
+    forest = Forest.train(np.array([features(*r[:4], pairs, words) for r in rows]), np.array([float(r[4]) for r in rows]))
+    forest.pairs, forest.words = pairs, words
     return forest
 
 
@@ -275,7 +324,7 @@ def findings_in(texts: list[str | None], paths: list[str | None], forest: Forest
     out: list[list[dict]] = [[] for _ in texts]
     for at in range(0, len(spots), 4096):
         part = spots[at : at + 4096]
-        x = np.array([features(paths[i] or "", texts[i][max(0, a - CONTEXT) : a], texts[i][a:b], texts[i][b : b + CONTEXT], forest.pairs) for i, a, b, _ in part])
+        x = np.array([features(paths[i] or "", texts[i][max(0, a - CONTEXT) : a], texts[i][a:b], texts[i][b : b + CONTEXT], forest.pairs, forest.words) for i, a, b, _ in part])
         for (i, a, b, rule), s in zip(part, forest.score(x).tolist()):
             out[i].append({"start": a, "length": b - a, "rule": rule, "score": round(s, 6), "secret": s >= CUTOFF})
     return out
