@@ -2,9 +2,11 @@
 
 A model file is compiled to one transducer, the composition of
 
-* N, the normaliser: spaces become U+2581, one more stands in front of the text;
+* N, the normaliser: the model's character map (the longest sequence at each place is
+  rewritten), spaces squeezed if the model asks for it, then U+2581 for spaces, and one more in
+  front of the text;
 * L, the lexicon: an arc for every piece, from its characters to its id, and for a character
-  without a piece an arc to each of its UTF-8 bytes' ids (byte fallback);
+  without a piece an arc to its UTF-8 bytes' ids (byte fallback), or to the unknown piece;
 * B, an acceptor over pairs of successive ids.
 
 Composed with an input, this is a lattice over the input's positions, and the encoding is its
@@ -15,16 +17,19 @@ merges. Exactly one path of finite weight is left then, and it is what merging g
 equal those of the sentencepiece library. As every prefix has one such path too, a state needs
 only its position and the last id.
 
-The lattice is solved for many words at once: position by position, all pieces that end there
-are looked up by hash and relaxed as arrays. Texts are cut where no piece can reach across, and
-a worker remembers the ids of words.
+The lattice is solved for many words at once: position by position, all arcs that end there
+are looked up by hash and relaxed as arrays. The characters along a path are then compared with the
+input; a word that a hash led astray is solved again by the pieces' texts. Texts are cut where no
+piece can reach across, and a worker remembers the ids of words.
 
 Runs of spaces: pieces of several U+2581 share one score, so ties are broken from the left, as
-merging does; a run is encoded by itself, once for each length.
+merging does; weights on pairs can't say that. A run is an arc of its own, whose ids are found
+once for each length.
 
 Cases: a null text has null ids and null decoding; an empty text has no ids. Repeated rows each
 get their ids. Texts and words of any length are encoded whole. Control pieces never arise from
-text. Columns named like a result column are replaced.
+text. Of equally good paths the one whose last piece is shortest wins. Decoding gives the normalised text.
+An empty table gives no rows. Columns named like a result column are replaced.
 """
 
 from __future__ import annotations
@@ -32,6 +37,7 @@ from __future__ import annotations
 import heapq
 import zlib
 from collections.abc import Callable
+from itertools import groupby
 from typing import Any
 
 import numpy as np
@@ -41,6 +47,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from marlstone.llm.batches import as_utf8, map_texts, powers, raw
+from marlstone.llm.charsmap import Normaliser
 from marlstone.llm.chunks import Memo, Ragged, distinct
 
 #: Words whose ids a worker remembers, words solved at once, and their characters with padding.
@@ -105,8 +112,9 @@ class Transducer:
     def __init__(self, path: str) -> None:
         proto = _proto(path)
         spec = proto.normalizer_spec
-        if spec.precompiled_charsmap or spec.remove_extra_whitespaces or not spec.escape_whitespaces:
-            raise ValueError("only the identity normaliser with escaped white space is compiled")
+        if proto.trainer_spec.treat_whitespace_as_suffix or proto.trainer_spec.model_type not in (1, 2):
+            raise ValueError("only unigram and BPE models with white space in front of words are compiled")
+        self.normal = Normaliser(spec)
         self.bpe = proto.trainer_spec.model_type == 2
         self.prefix = spec.add_dummy_prefix
         self.names = [p.piece for p in proto.pieces]
@@ -116,6 +124,8 @@ class Transducer:
         self.bytes = {int(p[3:5], 16): i for i, (p, k) in enumerate(zip(self.names, kinds)) if k == 6}
         self.spelled = [bytes([int(p[3:5], 16)]) if k == 6 else p.replace(_SPACE, " ").encode() if k in (1, 4) else b"" for p, k in zip(self.names, kinds)]
         self.lexicon = {p: i for i, (p, k) in enumerate(zip(self.names, kinds)) if k in (1, 4)}
+        spelled = [p if k in (1, 4) else "" for p, k in zip(self.names, kinds)]
+        self.texts = Ragged(np.frombuffer("".join(spelled).encode("utf-32-le"), np.uint32), np.concatenate([[0], np.cumsum([len(p) for p in spelled])]))
         self.longest = max(map(len, self.lexicon), default=1)
         inner = {c for p in self.lexicon for c in p}
         if self.bpe and not inner <= self.lexicon.keys():
@@ -246,33 +256,79 @@ class Transducer:
                     better = cost < best[end, open_]
                     open_, piece, cost = open_[better], piece[better], cost[better]
                 best[end, open_], last[end, open_], span[end, open_] = cost, piece, length
-            # A character without a piece: bytes, and nothing merges with it.
+            # A character without a piece: an arc to its bytes, and nothing merges with it.
             missing = np.flatnonzero(np.isinf(best[end, :live])) if self.bpe else np.flatnonzero(self.pieces.get(points[:live, end - 1] + np.uint64(1)) == _NONE)
             if len(missing):
                 bare = missing[self.pieces.get(points[missing, end - 1] + np.uint64(1)) == _NONE]
                 step = best[end - 1, bare] + (0 if self.bpe else 10 - float(self.scores.min()))
                 bare, step = bare[step < best[end, bare]], step[step < best[end, bare]]
-                best[end, bare], last[end, bare], span[end, bare] = step, len(self.names), 1
+                best[end, bare], last[end, bare], span[end, bare] = step, len(self.names) + 1 + points[bare, end - 1].astype(np.int32), 1
         at, rows = size.copy(), np.arange(len(order))
         paths: list[np.ndarray] = []
         while (at > 0).any():
-            ids = np.where(at > 0, last[at, rows], _BEYOND)
-            paths.append(np.where(ids == len(self.names), -at, ids))  # -p: the character that ends at p has no piece
+            paths.append(np.where(at > 0, last[at, rows], _BEYOND))
             at = np.where(at > 0, at - span[at, rows], 0)
         found = np.stack(paths[::-1], axis=1)
         back = np.empty(len(order), np.int64)
         back[order] = rows
         found = found[back]
         inside = found != _BEYOND
-        out = Ragged(found[inside].astype("<i4"), np.concatenate([[0], np.cumsum(inside.sum(axis=1))]))
-        bare = np.flatnonzero(((found < 0) & inside).any(axis=1))
-        if not len(bare):
+        arcs = Ragged(found[inside].astype(np.int64), np.concatenate([[0], np.cumsum(inside.sum(axis=1))]))
+        astray = self._astray(arcs, inputs)
+        out = self._outputs(arcs)
+        if not len(astray):
             return out
         parts = [out.flat[a:b] for a, b in zip(out.at[:-1], out.at[1:])]
-        for i in bare:
-            parts[i] = np.array([x for v in parts[i].tolist() for x in ([v] if v >= 0 else self._fallback(inputs[i][-v - 1]))], "<i4")
+        for i in astray:
+            parts[i] = np.array(self.solve_plainly(inputs[i]), "<i4")
         return Ragged(np.concatenate(parts), np.concatenate([[0], np.cumsum([len(x) for x in parts])]))
 
+    def _bare(self, arcs: Ragged) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Places of the arcs of characters without a piece, those characters, and which is at each place."""
+        at = np.flatnonzero(arcs.flat > len(self.names))
+        return at, *np.unique(arcs.flat[at] - len(self.names) - 1, return_inverse=True)
+
+    def _spread(self, arcs: Ragged, table: Ragged, more: list[list[int]], at: np.ndarray, which: np.ndarray) -> Ragged:
+        """Each arc's row of ``table``, or of ``more`` for the arcs ``at``, for each input in a row."""
+        row = arcs.flat.copy()
+        row[at] = len(table) + which
+        flat = np.concatenate([table.flat, np.array([x for m in more for x in m], table.flat.dtype)])
+        made = Ragged(flat, np.concatenate([table.at, table.at[-1] + np.cumsum([len(m) for m in more], dtype=np.int64)])).take(row)
+        return Ragged(made.flat, made.at[arcs.at])
+
+    def _outputs(self, arcs: Ragged) -> Ragged:
+        """The ids that arcs write: a piece's own, or a character's bytes."""
+        at, chars, which = self._bare(arcs)
+        if not len(at):
+            return Ragged(arcs.flat.astype("<i4"), arcs.at)
+        own = Ragged(np.arange(len(self.names), dtype="<i4"), np.arange(len(self.names) + 1))
+        out = self._spread(arcs, own, [self._fallback(chr(c)) for c in chars.tolist()], at, which)
+        return Ragged(out.flat.astype("<i4"), out.at)
+
+    def _astray(self, arcs: Ragged, inputs: list[str]) -> np.ndarray:
+        """Inputs that the characters along their paths don't spell: hashes are no proof."""
+        at, chars, which = self._bare(arcs)
+        read = self._spread(arcs, self.texts, [[c] for c in chars.tolist()], at, which)
+        size = np.array([len(i) for i in inputs], np.int64)
+        wanted = Ragged(np.frombuffer("".join(inputs).encode("utf-32-le"), np.uint32), np.concatenate([[0], np.cumsum(size)]))
+        return np.flatnonzero(~read.equal(np.arange(len(inputs)), wanted, np.arange(len(inputs))))
+
+    def solve_plainly(self, line: str) -> list[int]:
+        """The ids of one normalised input by the pieces' texts, without hashes."""
+        if self.bpe:
+            out: list[int] = []
+            for known, part in groupby(line, key=lambda c: c in self.lexicon):
+                out += merge([self.lexicon[c] for c in part], self.pair_list, self.scores) if known else [x for c in part for x in self._fallback(c)]
+            return out
+        best: list[tuple[float, list[int]]] = [(0.0, [])]
+        worst = 10 - float(self.scores.min())
+        for end in range(1, len(line) + 1):
+            ways = [(best[a][0] - float(self.scores[self.lexicon[line[a:end]]]), best[a][1] + [self.lexicon[line[a:end]]]) for a in range(max(0, end - self.longest), end) if line[a:end] in self.lexicon]
+            if line[end - 1] not in self.lexicon:
+                ways.append((best[end - 1][0] + worst, best[end - 1][1] + self._fallback(line[end - 1])))
+            best.append(min(ways, key=lambda w: w[0]))
+        return best[-1][1]
+
     def _fallback(self, c: str) -> list[int]:
         return [self.bytes[b] for b in c.encode("utf-8")] if self.bytes else [self.unknown]
 
@@ -304,9 +360,11 @@ class Transducer:
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts in a row, and where each text's begin (n + 1); null counts as empty."""
+        if not self.normal.identity:
+            texts = pa.array([self.normal(t or "") for t in texts.to_pylist()], pa.large_string())
         data, offsets = raw(texts)
         if _MARK in data.tobytes():
-            return self.encode(pc.replace_substring(as_utf8(texts), _SPACE, " "))
+            data, offsets = raw(pc.replace_substring(as_utf8(texts), _SPACE, " "))
         if self.prefix:
             full = np.diff(offsets) > 0
             data = np.insert(data, offsets[:-1][full], 32)
@@ -327,7 +385,15 @@ class Transducer:
         made = self._chunks(chunks)
         out = self.memo.with_rows(made, known, new).take(known[which])
         self.memo.add(hashes[new], chunks, made)
-        return out.flat, out.at[np.searchsorted(start, offsets)]
+        at = out.at[np.searchsorted(start, offsets)]
+        return (out.flat, at) if self.bytes else self._one_unknown(out.flat, at)
+
+    def _one_unknown(self, flat: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Without byte pieces, unknown characters in a row are one unknown piece."""
+        again = np.zeros(len(flat), bool)
+        again[1:] = (flat[1:] == self.unknown) & (flat[:-1] == self.unknown)
+        again[at[:-1][at[:-1] < len(flat)]] = False
+        return flat[~again], at - np.concatenate([[0], np.cumsum(again)])[at]
 
     def _chunks(self, chunks: Ragged) -> Ragged:
         """Ids of distinct chunks, solved in groups of like length."""

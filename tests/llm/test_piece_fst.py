@@ -60,6 +60,38 @@ def test_pairs_side_by_side():
         assert ok == (piece_fst.merge(word, MACHINE.pair_list, MACHINE.scores) == [a, b])
 
 
+def test_character_map(tmp_path):
+    """A model with a stock normaliser gives the library's ids: the map, squeezed spaces, no prefix or one."""
+    from sentencepiece import sentencepiece_model_pb2 as model
+
+    rng = random.Random(8)
+    letters = "abe ﬁ①Ａ　ｶﾞ\u0301\u0308é\u1100\u1161\u11a8ﷺ½\u200b\t▁ 日\u00ad²"
+    texts = ["".join(rng.choice(letters) for _ in range(rng.randint(0, 30))) for _ in range(1500)] + ["", "  ", "▁▁a▁", " a  b ", "ﬁ  ﬁ "]
+    for rule, prefix, squeeze in (("nfkc", True, True), ("nmt_nfkc_cf", True, False), ("nmt_nfkc", False, True)):
+        proto = piece_fst._proto(PATH)
+        spec = model.ModelProto()
+        spec.ParseFromString(sentencepiece.SentencePieceNormalizer(rule_name=rule).serialized_model_proto())
+        proto.normalizer_spec.CopyFrom(spec.normalizer_spec)
+        proto.normalizer_spec.add_dummy_prefix, proto.normalizer_spec.remove_extra_whitespaces, proto.normalizer_spec.escape_whitespaces = prefix, squeeze, True
+        path = tmp_path / f"{rule}.model"
+        path.write_bytes(proto.SerializeToString())
+        machine, library = piece_fst.Transducer(str(path)), sentencepiece.SentencePieceProcessor(model_file=str(path))
+        flat, at = machine.encode(pa.array(texts))
+        want = library.encode(texts)
+        assert [(t, flat[a:b].tolist()) for t, a, b in zip(texts, at, at[1:])] == list(zip(texts, want))
+
+
+def test_words_that_hashes_lead_astray(monkeypatch):
+    """Pieces found by a wrong hash are noticed, and the word is solved by texts."""
+    other = piece_fst.Transducer(PATH)
+    wrong = {piece_fst._text_hashes([a])[0]: other.lexicon[b] for a, b in (("\u2581the", "\u2581and"), ("ing", "ion"), ("a", "b"))}
+    get = other.pieces.get
+    monkeypatch.setattr(other.pieces, "get", lambda keys: np.array([wrong.get(k, v) for k, v in zip(keys, get(keys))], np.int32))
+    texts = ["the thing and the other", "a", "running to the sea", "no harm"]
+    flat, at = other.encode(pa.array(texts))
+    assert [flat[a:b].tolist() for a, b in zip(at, at[1:])] == LIBRARY.encode(texts)
+
+
 def test_unigram_shortest_path(tmp_path, monkeypatch):
     """With weights of its own the path is the cheapest of all."""
     from sentencepiece import sentencepiece_model_pb2 as model
@@ -72,6 +104,7 @@ def test_unigram_shortest_path(tmp_path, monkeypatch):
         proto.pieces.add(piece=p, score=vocabulary[p], type=1)
     for b in range(256):
         proto.pieces.add(piece=f"<0x{b:02X}>", score=0, type=6)
+    proto.trainer_spec.byte_fallback = True
     proto.trainer_spec.model_type, proto.normalizer_spec.add_dummy_prefix, proto.normalizer_spec.escape_whitespaces, proto.normalizer_spec.remove_extra_whitespaces = 1, True, True, False
     path = tmp_path / "u.model"
     path.write_bytes(proto.SerializeToString())
@@ -84,3 +117,14 @@ def test_unigram_shortest_path(tmp_path, monkeypatch):
             best[i] = min(((best[j][0] - vocabulary[line[j:i]], best[j][1] + [line[j:i]]) for j in range(i) if line[j:i] in vocabulary), key=lambda x: x[0])
         flat, _ = machine.encode(pa.array([text]))
         assert -sum(vocabulary[machine.names[i]] for i in flat) == pytest.approx(best[len(line)][0])
+    library = sentencepiece.SentencePieceProcessor(model_file=str(path))
+    texts = ["".join(rng.choice("abc é日") for _ in range(rng.randint(0, 12))) for _ in range(300)]
+    flat, at = machine.encode(pa.array(texts))
+    assert [flat[a:b].tolist() for a, b in zip(at, at[1:])] == library.encode(texts)
+    assert machine.solve_plainly("▁abcéab") == library.encode("abcéab")
+    del proto.pieces[len(vocabulary) + 1 :]  # without byte pieces
+    proto.trainer_spec.byte_fallback = False
+    path.write_bytes(proto.SerializeToString())
+    machine, library = piece_fst.Transducer(str(path)), sentencepiece.SentencePieceProcessor(model_file=str(path))
+    flat, at = machine.encode(pa.array(texts))
+    assert [flat[a:b].tolist() for a, b in zip(at, at[1:])] == library.encode(texts)
