@@ -104,21 +104,25 @@ def semester_code(label: Column) -> Column:
 
 
 def occurrences(text: Column, needle: str) -> Column:
-    """How often ``needle`` occurs, occurrences not overlapping."""
+    """How often ``needle`` occurs, occurrences not overlapping; bytes are counted, which takes no pass over the text."""
     gone = F.replace(text, F.lit(needle), F.lit(""))
-    return (F.length(text) - F.length(gone)) / F.lit(len(needle))
+    return (F.octet_length(text) - F.octet_length(gone)) / F.lit(len(needle.encode()))
 
 
 def common_word_rate(text: Column) -> Column:
     """The best language's count of frequent words per 1,000 characters."""
-    low = F.lower(text)
-    sums = [sum((occurrences(low, w) for w in words), F.lit(0.0)) for words in COMMON_WORDS.values()]
-    return F.try_divide(F.greatest(*sums), F.length(text) / F.lit(1000.0))
 
+    def most(low: Column) -> Column:
+        return F.greatest(*[sum((occurrences(low, w) for w in words), F.lit(0.0)) for words in COMMON_WORDS.values()])
 
-def looks_like_words(text: Column) -> Column:
-    """Prose in some language; texts under 500 characters are not judged and pass."""
-    return F.when(F.length(text) < MIN_JUDGED_CHARS, True).otherwise(common_word_rate(text) >= MIN_COMMON_PER_1K)
+    # The text is lowered once: the lambda binds it, where a plain expression would name it for every word.
+    return F.try_divide(F.element_at(F.transform(F.array(F.lower(text)), most), 1), F.length(text) / F.lit(1000.0))
+
+
+def looks_like_words(text: Column, rate: Column | None = None) -> Column:
+    """Prose in some language; texts under 500 characters are not judged and pass. ``rate``: the text's common_word_rate, where a column has it."""
+    rate = common_word_rate(text) if rate is None else rate
+    return F.when(F.length(text) < MIN_JUDGED_CHARS, True).otherwise(rate >= MIN_COMMON_PER_1K)
 
 
 def is_pdf(content: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marlstone.functions.text import MIN_CHARS_PER_PAGE, looks_like_words, strip
+from marlstone.functions.text import MIN_CHARS_PER_PAGE, common_word_rate, looks_like_words, strip
 
 ERROR_CHARS = 200
 
@@ -21,20 +21,23 @@ def extraction(rows: DataFrame, text: str = "text", pages: str = "pages", ocr: s
     ``ocr``, null where recognition failed) takes its place. Locked files are ``encrypted``.
     """
     layer = F.coalesce(F.col(text), F.lit(""))
-    dense = chars_per_page(layer, F.col(pages)) >= MIN_CHARS_PER_PAGE
-    usable = dense & looks_like_words(layer)
+    # The costly measures are columns, so that each is taken once however many decisions read it.
+    rows_ = rows.withColumns({"_rate": common_word_rate(layer), "_layer_chars": F.length(strip(layer))})
+    dense = F.col("_layer_chars") / F.greatest(F.col(pages), F.lit(1)) >= MIN_CHARS_PER_PAGE
+    usable = dense & looks_like_words(layer, F.col("_rate"))
     locked = F.coalesce(F.col(encrypted), F.lit(False)) if encrypted else F.lit(False)
     other = F.col(ocr) if ocr else F.lit(None).cast("string")
     tier = F.when(locked, "encrypted").when(usable, "text_layer").when(other.isNotNull(), "ocr").otherwise("failed")
-    out = rows.withColumn("tier", tier)
-    used = F.when(F.col("tier") == "text_layer", layer).when(F.col("tier") == "ocr", other)
+    out = rows_.withColumn("tier", tier)
+    chars = F.when(F.col("tier") == "text_layer", F.col("_layer_chars")).when(F.col("tier") == "ocr", F.length(strip(other)))
     fault = F.when(F.col("tier").isin("encrypted", "failed"), F.substring(F.col(error), 1, ERROR_CHARS) if error else F.lit(None).cast("string"))
     return (
         out.withColumn("garbled_text_layer", ~locked & dense & ~usable)
-        .withColumn("chars", F.length(strip(used)).cast("int"))
-        .withColumn("chars_per_page", (F.length(strip(used)) / F.greatest(F.col(pages), F.lit(1))).cast("decimal(12,1)"))
+        .withColumn("chars", chars.cast("int"))
+        .withColumn("chars_per_page", (F.col("chars") / F.greatest(F.col(pages), F.lit(1))).cast("decimal(12,1)"))
         .withColumn("ok", F.col("tier").isin("text_layer", "ocr"))
         .withColumn("error", fault)
+        .drop("_rate", "_layer_chars")
     )
 
 

@@ -15,11 +15,12 @@ from dataclasses import dataclass, field
 from functools import reduce
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marlstone.functions.stemmer import STOP_WORDS, stem
+from marlstone.storage import drop_path, new_path
 
 CONFIGS = ("simple", "english")
 _TOKEN = re.compile("[a-z0-9]+")
@@ -41,9 +42,35 @@ def postings(docs: DataFrame, doc_id: str = "doc_id", body: str = "text", config
     return rows.groupBy("token", "doc_id").agg(F.array_sort(F.collect_list("pos")).alias("positions"))
 
 
+#: Bytes of a row group of stored postings: what a lookup of one token reads at least.
+ROW_GROUP = 4 << 20
+_STORED: dict[tuple, str] = {}
+
+
 def write_postings(posted: DataFrame, path: str) -> None:
-    """Sorted by token, so that a lookup reads few row groups."""
-    posted.repartitionByRange("token", "doc_id").sortWithinPartitions("token", "doc_id").write.mode("overwrite").parquet(path)
+    """Sorted by token, so that a lookup reads few row groups and, of those, few pages."""
+    ordered = posted.repartitionByRange("token", "doc_id").sortWithinPartitions("token", "doc_id")
+    ordered.write.mode("overwrite").option("parquet.block.size", ROW_GROUP).parquet(path)
+
+
+def stored(docs: DataFrame, doc_id: str = "doc_id", body: str = "text", config: str = "simple") -> DataFrame:
+    """The postings of documents read from files, built once a session and read from the shared folder by every query after.
+
+    The same files, columns and configuration share one index; other files get their own.
+    """
+    spark = docs.sparkSession
+    key = (spark.sparkContext.applicationId, tuple(sorted(docs.inputFiles())), doc_id, body, config)
+    if key not in _STORED:
+        path = new_path(spark, "postings")
+        write_postings(postings(docs, doc_id, body, config), path)
+        _STORED[key] = path
+    return spark.read.parquet(_STORED[key])
+
+
+def forget(spark: SparkSession) -> None:
+    """Remove the stored postings of this session."""
+    for key in [k for k in _STORED if k[0] == spark.sparkContext.applicationId]:
+        drop_path(spark, _STORED.pop(key))
 
 
 @dataclass

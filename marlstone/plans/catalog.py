@@ -13,7 +13,7 @@ from marlstone.operators import agreement, evidence, exports, merge, neardup, qu
 from marlstone.plans.views import documents, scores, sections, with_views
 from marlstone.schemas import SCALES
 from marlstone.sources.pages import TableRows, is_cut, option_codes
-from marlstone.storage import table
+from marlstone.storage import materialize, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -358,6 +358,99 @@ def syllabi_by_department(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.groupBy("department").agg(F.count("*").alias("n_sections"), F.countDistinct("document_id").alias("n_documents"))
 
 
+_SECTION_LOG = """
+links AS (
+    SELECT event_id, event_type, CASE WHEN event_id % 7 = 0 THEN NULL WHEN event_id % 7 = 1 THEN '' ELSE CAST((event_id * 3) % (2 * (SELECT count(*) FROM documents)) AS VARCHAR) END AS doc_id FROM events
+),
+hashed AS (SELECT CAST(doc_id AS VARCHAR) AS source_id, sha256("text") AS h, min(doc_id) OVER (PARTITION BY sha256("text")) AS document_id FROM documents WHERE doc_id % 6 <> 0)
+"""
+
+
+def _section_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sections as a manifest links them: to documents, to nothing, and to what was not fetched."""
+    docs = table(spark, sf_dir, "documents")
+    n, i = docs.count(), F.col("event_id")
+    link = F.when(i % 7 == 0, F.lit(None)).when(i % 7 == 1, "").otherwise(((i * 3) % F.lit(2 * n)).cast("string"))
+    manifest = table(spark, sf_dir, "events").select(
+        F.when(i % 2 == 0, "2026 Fall").otherwise(" 2025 spring ").alias("semester"), F.concat(F.lit(" "), "event_type", F.lit(" ")).alias("dept"), F.lit("C 1").alias("course"), i.cast("string").alias("unique"), F.lit("t").alias("title"), F.lit("x").alias("instructors"), F.when(i % 3 == 0, "").otherwise("cv").alias("cv"), link.alias("doc_id")
+    )
+    classes = merge.exact_classes(docs.where("doc_id % 6 <> 0"), F.col("text"))
+    by_source = classes.select(F.col("doc_id").cast("string").alias("source_id"), "content_sha256")
+    held = classes.where("doc_id = first_id").select("content_sha256", F.col("first_id").alias("id"))
+    return merge.build_sections(manifest, by_source, held)
+
+
+@_query(
+    f"""
+WITH {_SECTION_LOG.strip()}
+SELECT CAST(event_id AS VARCHAR) AS unique_number, CAST(CASE WHEN event_id % 2 = 0 THEN 20269 ELSE 20252 END AS INTEGER) AS semester_code, event_type AS department,
+       CASE WHEN event_id % 3 <> 0 THEN 'cv' END AS cv_url, document_id, coalesce(links.doc_id, '') <> '' AND document_id IS NULL AS unmatched
+FROM links LEFT JOIN hashed ON source_id = links.doc_id
+"""
+)
+def built_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _section_log(spark, sf_dir).select("unique_number", "semester_code", "department", "cv_url", "document_id", "unmatched")
+
+
+@_query(
+    f"""
+WITH {_SECTION_LOG.strip()}
+SELECT department, count(*) AS n_sections, count(DISTINCT document_id) AS n_documents, CAST(sum(length("text")) AS BIGINT) AS chars
+FROM (SELECT event_type AS department, document_id FROM links JOIN hashed ON source_id = links.doc_id) s JOIN documents ON documents.doc_id = s.document_id GROUP BY 1
+"""
+)
+def built_syllabi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From links to sections to their documents' texts, by department."""
+    texts = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), F.length("text").alias("chars"))
+    rows = merge.syllabi(_section_log(spark, sf_dir), texts)
+    return rows.groupBy("department").agg(F.count("*").alias("n_sections"), F.countDistinct("document_id").alias("n_documents"), F.sum("chars").cast("long").alias("chars"))
+
+
+@_query(
+    """
+WITH t AS (SELECT o_orderkey AS k, o_orderpriority AS title, o_orderstatus AS who, o_custkey AS d, 'old' AS cv FROM orders WHERE o_orderkey % 4 <> 0),
+s AS (SELECT o_orderkey AS k, CASE WHEN o_orderkey % 10 = 0 THEN NULL ELSE o_orderpriority END AS title, o_orderstatus AS who, CASE WHEN o_orderkey % 6 = 0 THEN o_custkey + 1 ELSE o_custkey END AS d, 'old' AS cv FROM orders WHERE o_orderkey % 2 = 0),
+j AS (SELECT coalesce(t.k, s.k) AS k, t.k IS NULL AS fresh, s.k IS NULL AS kept, t.title AS t1, s.title AS t2, t.who AS w1, s.who AS w2, t.d AS d1, s.d AS d2 FROM t FULL JOIN s ON t.k = s.k)
+SELECT CAST(k AS VARCHAR) AS unique_number, CASE WHEN kept THEN 'kept' WHEN fresh THEN 'inserted' WHEN t1 IS DISTINCT FROM t2 OR w1 IS DISTINCT FROM w2 OR d1 IS DISTINCT FROM d2 THEN 'updated' ELSE 'unchanged' END AS change_kind,
+       CASE WHEN kept THEN t1 ELSE t2 END AS section_title, CASE WHEN kept THEN d1 ELSE d2 END AS document_id
+FROM j
+"""
+)
+def upsert_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sections by semester and number; any refreshed column that differs updates the row."""
+    o, k = table(spark, sf_dir, "orders"), F.col("o_orderkey")
+
+    def rows(title, document):
+        return [F.lit(20269).alias("semester_code"), k.cast("string").alias("unique_number"), title.alias("section_title"), F.col("o_orderstatus").alias("instructor"), document.alias("document_id"), F.lit("old").alias("cv_url")]
+
+    target = o.where(k % 4 != 0).select(*rows(F.col("o_orderpriority"), F.col("o_custkey")))
+    stage = o.where(k % 2 == 0).select(*rows(F.when(k % 10 != 0, F.col("o_orderpriority")), F.when(k % 6 == 0, F.col("o_custkey") + 1).otherwise(F.col("o_custkey"))))
+    return upsert.upsert_sections(target, stage).select("unique_number", upsert.CHANGE, "section_title", "document_id")
+
+
+@_query(
+    with_views(
+        """
+t AS (SELECT document_id, 'v1' AS version, score, 'a' AS model FROM scores WHERE scale = 'ai' AND document_id % 3 <> 0),
+s AS (SELECT document_id, CASE WHEN document_id % 5 = 0 THEN 'v2' ELSE 'v1' END AS version, score, 'b' AS model FROM scores2 WHERE scale = 'ai' AND document_id % 2 = 0)
+SELECT coalesce(t.document_id, s.document_id) AS document_id, coalesce(t.version, s.version) AS prompt_version,
+       CASE WHEN s.version IS NULL THEN 'kept' WHEN t.version IS NULL THEN 'inserted' ELSE 'updated' END AS change_kind,
+       coalesce(s.score, t.score) AS ai_score, coalesce(t.model, s.model) AS model
+FROM t FULL JOIN s ON t.document_id = s.document_id AND t.version = s.version
+"""
+    )
+)
+def upsert_policies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores by document and codebook version; an existing row keeps its model."""
+    i = F.col("document_id")
+
+    def rows(coder, version, model):
+        return scores(spark, sf_dir, coder).where("scale = 'ai'").select(i, version.alias("prompt_version"), F.col("score").alias("ai_score"), F.lit(model).alias("model"))
+
+    target, stage = rows(1, F.lit("v1"), "a").where(i % 3 != 0), rows(2, F.when(i % 5 == 0, "v2").otherwise("v1"), "b").where(i % 2 == 0)
+    return upsert.upsert_policies(target, stage).select("document_id", "prompt_version", upsert.CHANGE, "ai_score", "model")
+
+
 _UPSERT_SET = ["o_orderstatus", "o_totalprice", "o_orderpriority"]
 
 
@@ -408,8 +501,9 @@ SELECT doc_id, round({_RATE} / (n / 1000.0), 6) AS rate, CASE WHEN n < 500 THEN
 """
 )
 def word_likeness(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = F.col("text")
-    return table(spark, sf_dir, "documents").select("doc_id", F.round(common_word_rate(t), 6).alias("rate"), looks_like_words(t).alias("looks_like_words"))
+    t, r = F.col("text"), F.col("r")
+    rated = table(spark, sf_dir, "documents").select("doc_id", "text", common_word_rate(t).alias("r"))
+    return rated.select("doc_id", F.round(r, 6).alias("rate"), looks_like_words(t, r).alias("looks_like_words"))
 
 
 _TIERS = f"""
@@ -533,7 +627,8 @@ def _planted(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     docs = documents(spark, sf_dir)
     i, body = F.col("id"), F.coalesce(F.col("body"), F.lit(""))
     true, false = F.substring(body, 5, 60), F.concat(F.lit("qqq zzz "), i.cast("string"))
-    made = F.when(i % 5 == 0, false).when(i % 5 == 1, F.concat(true, F.lit("\n\n"), F.upper(F.substring(body, 20, 40)))).otherwise(true)
+    more = F.substring(body, 20, 40)  # in capitals, but for a letter whose capital is two
+    made = F.when(i % 5 == 0, false).when(i % 5 == 1, F.concat(true, F.lit("\n\n"), F.when(F.contains(more, F.lit("ß")), more).otherwise(F.upper(more)))).otherwise(true)
     cols = {}
     for k, s in enumerate(SCALES):
         cols[f"{s}_score"] = ((i + k) % 6).cast("int")
@@ -542,7 +637,22 @@ def _planted(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return policies, docs.select("id", "body")
 
 
-@_query()
+_NORMAL = r"lower(trim(regexp_replace(regexp_replace({}, '-\s*', '', 'g'), '\s+', ' ', 'g')))"
+
+
+@_query(
+    f"""
+WITH d AS (SELECT doc_id AS i, "text" AS body FROM documents WHERE doc_id % 97 <> 0 AND "text" IS NOT NULL),
+made AS (
+    SELECT i, body, k, CASE WHEN i % 5 = 0 THEN ['qqq zzz ' || i] WHEN i % 5 = 1 THEN [substr(body, 5, 60), CASE WHEN contains(substr(body, 20, 40), 'ß') THEN substr(body, 20, 40) ELSE upper(substr(body, 20, 40)) END] ELSE [substr(body, 5, 60)] END AS quotes
+    FROM d, (VALUES (0), (1), (2)) t(k) WHERE (i + k) % 6 <> 0 AND (i + k) % 4 <> 0
+),
+parts AS (SELECT i, body, unnest(string_split(array_to_string(quotes, chr(10) || chr(10)), chr(10) || chr(10))) AS quote FROM made),
+checked AS (SELECT {_NORMAL.format("quote")} AS q, {_NORMAL.format("body")} AS b FROM parts WHERE trim(quote, ' ' || chr(9) || chr(10) || chr(13)) <> ''),
+c AS (SELECT (SELECT count(*) FROM d) AS rows_audited, count(*) AS checked, count(*) FILTER (WHERE contains(b, q)) AS exact, 0 AS normalized, count(*) FILTER (WHERE NOT contains(b, q)) AS not_found FROM checked)
+SELECT *, {_pct("exact", "checked")} AS exact_pct, {_pct("normalized", "checked")} AS normalized_pct FROM c
+"""
+)
 def evidence_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     policies, docs = _planted(spark, sf_dir)
     return evidence.audit(policies, docs, SCALES)[0]
@@ -634,6 +744,29 @@ def batch_completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
     return validate.batch_gate(files, wanted, held)
 
 
+@_query(
+    f"""
+WITH r AS (SELECT doc_id, k AS seq, (doc_id + k) % 3 <> 0 AS good, d.doc_id IS NOT NULL AND d.doc_id % 97 <> 0 AND coalesce(d."text", '') <> '' AS held FROM documents d, range(3) t(k)),
+s AS (SELECT *, held AND good AS valid FROM r)
+SELECT doc_id, seq, CASE
+    WHEN coalesce(max(valid) OVER (PARTITION BY doc_id ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), false) THEN '{validate.DUPLICATE}'
+    WHEN NOT held THEN '{validate.QUARANTINED}'
+    WHEN NOT good THEN 'document_completeness not full/stub'
+    END AS reason
+FROM s
+"""
+)
+def duplicate_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three records of every document, some refused: the first valid one loads, all after it are duplicates."""
+    docs = documents(spark, sf_dir).select("id", "body")
+    i = F.col("document_id")
+    rows = docs.select(F.col("id").alias("document_id"), F.explode(F.array(*[F.lit(k).cast("long") for k in range(3)])).alias("seq"))
+    cols = {"document_completeness": F.when((i + F.col("seq")) % 3 == 0, "partial").otherwise("full"), "coder_notes": F.lit("")}
+    for s in SCALES:
+        cols |= {f"{s}_score": F.lit(0), f"{s}_label": F.lit("not addressed"), f"{s}_status": F.lit("clear"), f"{s}_confidence": F.lit("low"), f"{s}_required": F.lit(False), f"{s}_evidence": F.lit(None).cast("array<string>")}
+    return validate.check(rows.withColumns(cols), docs).select(i.alias("doc_id"), "seq", "reason")
+
+
 @_query(with_views("pick AS (SELECT doc_id AS document_id FROM labels WHERE quality = 1)\nSELECT document_id, body FROM docs JOIN pick ON docs.id = pick.document_id WHERE body IS NOT NULL"))
 def export_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
     sample = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("document_id"), F.when(F.col("quality") == 1, "dev").otherwise("gold").alias("split"))
@@ -735,6 +868,15 @@ def dedup_sensitivity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.dedup_sensitivity(scores(spark, sf_dir), _clustered(spark, sf_dir))
 
 
+@_query(f"WITH RECURSIVE {_CLUSTERS.strip()}\nSELECT doc_id AS document_id, CASE WHEN root IS NULL THEN CAST(doc_id AS VARCHAR) ELSE 'nd' || root END AS unit, CASE WHEN root IS NOT NULL THEN 'nd' || root ELSE 'old' END AS near_duplicate_group FROM documents LEFT JOIN clustered USING (doc_id)")
+def neardup_units(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents collapsed to units, and the groups written back; labels of other documents stay."""
+    found = materialize(_clustered(spark, sf_dir), "neardup-units")
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("document_id"), F.lit("old").alias("near_duplicate_group"))
+    units = report.collapse(docs.select("document_id"), neardup.groups(found).withColumnRenamed("doc_id", "document_id")).select("document_id", "unit")
+    return neardup.write_back(docs, found, "document_id").join(units, "document_id")
+
+
 @_query()
 def neardup_blake2b(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clusters by the BLAKE2b hash, with their labels."""
@@ -750,7 +892,14 @@ tok AS (SELECT doc_id, regexp_extract_all(lower(coalesce("text", '')), '[a-z0-9]
 
 
 def _posted(spark: SparkSession, sf_dir: str, config: str = "simple") -> DataFrame:
-    return search.postings(table(spark, sf_dir, "documents").select("doc_id", "text"), config=config)
+    return search.stored(table(spark, sf_dir, "documents").select("doc_id", "text"), config=config)
+
+
+@_query(f"WITH {_TOKENS.strip()}, w AS (SELECT doc_id, unnest(t) AS token, generate_subscripts(t, 1) - 1 AS pos FROM tok)\nSELECT token, doc_id, count(*) AS n, min(pos) AS first_pos, max(pos) AS last_pos FROM w GROUP BY 1, 2")
+def search_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored index as a table."""
+    p = F.col("positions")
+    return _posted(spark, sf_dir).select("token", "doc_id", F.size(p).alias("n"), F.element_at(p, 1).alias("first_pos"), F.element_at(p, -1).alias("last_pos"))
 
 
 @_query(f"WITH {_TOKENS.strip()}\nSELECT doc_id FROM tok WHERE list_contains(t, 'worthless')")
@@ -802,13 +951,27 @@ def search_english(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- pages -----------------------------------------------------------------------------
 
 
-@_query("""SELECT page_id, length(html) > 0 AS has_html, contains(html, 'Limiting results') AS cut, 0 AS n_codes FROM pages""")
+@_query(
+    """
+WITH made AS (
+    SELECT page_id, html || CASE WHEN page_id % 3 = 0 THEN '<select name="department"><option value=" ">all</option><option value="A' || page_id || '">a</option>' || chr(10) || '<option value="B C ">b</option></select><option value="no">' ELSE '' END
+           || CASE WHEN page_id % 5 = 0 THEN 'Limiting results to 400' ELSE '' END AS html
+    FROM pages
+)
+SELECT page_id, length(html) > 0 AS has_html, contains(html, 'Limiting results') AS cut,
+       CASE WHEN page_id % 3 = 0 THEN 'A' || page_id || ',B C ' ELSE '' END AS codes
+FROM made
+"""
+)
 def page_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
-    html = F.col("html")
-    return table(spark, sf_dir, "pages").select("page_id", (F.length(html) > 0).alias("has_html"), is_cut(html).alias("cut"), F.size(option_codes(html)).alias("n_codes"))
+    """Pages with a dropdown and a truncation mark put into some of them."""
+    i = F.col("page_id")
+    options = F.concat(F.lit('<select name="department"><option value=" ">all</option><option value="A'), i.cast("string"), F.lit('">a</option>\n<option value="B C ">b</option></select><option value="no">'))
+    html = F.concat("html", F.when(i % 3 == 0, options).otherwise(""), F.when(i % 5 == 0, "Limiting results to 400").otherwise(""))
+    return table(spark, sf_dir, "pages").select("page_id", html.alias("html")).select("page_id", (F.length("html") > 0).alias("has_html"), is_cut(F.col("html")).alias("cut"), F.array_join(option_codes(F.col("html")), ",").alias("codes"))
 
 
-@_query()
+@_query("SELECT page_id, 'b' || page_id AS course, url AS href FROM pages")
 def page_table_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The pages as rows of a listing each, taken apart again."""
     spark.udtf.register("marlstone_table_rows", TableRows)

@@ -46,6 +46,77 @@ def test_runs(spark, sf, name):
     assert catalog.queries()[name](spark, sf).count() >= 0
 
 
+def test_blake2b_clusters_by_brute_force(spark, sf):
+    import hashlib
+    import re
+
+    sketch = {}
+    for r in spark.read.parquet(f"{sf}/documents.parquet").collect():
+        w = [x for x in re.split("[^a-z]+", (r.text or "").lower()) if x]
+        if len(w) >= 120:
+            h = {int.from_bytes(hashlib.blake2b(" ".join(w[i : i + 5]).encode(), digest_size=8).digest(), "big") for i in range(len(w) - 4)}
+            sketch[r.doc_id] = (len(w), sorted(h)[:256])
+    root = {i: i for i in sketch}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    ids = sorted(sketch)
+    for a, i in enumerate(ids):
+        for j in ids[:a]:
+            (n, x), (m, y) = sketch[i], sketch[j]
+            window = set(sorted(set(x) | set(y))[:256])
+            if max(n, m) <= 1.4 * min(n, m) and len(window & set(x) & set(y)) / len(window) >= 0.7:
+                u, v = find(i), find(j)
+                root[max(u, v)] = min(u, v)
+    groups = {i: find(i) for i in ids}
+    want = {(i, f"nd{g}") for i, g in groups.items() if sum(x == g for x in groups.values()) > 1}
+    assert want and {(r.doc_id, r.near_duplicate_group) for r in catalog.queries()["neardup_blake2b"](spark, sf).collect()} == want
+
+
+def test_english_search_by_scanning(spark, sf):
+    import re
+
+    from marlstone.functions.stemmer import STOP_WORDS, stem
+
+    wanted = {stem("tokens"), stem("insulting")}
+    docs = spark.read.parquet(f"{sf}/documents.parquet").collect()
+    want = {r.doc_id for r in docs if wanted & {stem(w) for w in re.findall("[a-z0-9]+", (r.text or "").lower()) if w not in STOP_WORDS}}
+    assert {r.doc_id for r in catalog.queries()["search_english"](spark, sf).collect()} == want
+
+
+def test_fuzzy_tier_by_scanning(spark, sf):
+    """Counts against difflib over every window, with normalising done here."""
+    import difflib
+    import re
+    import unicodedata
+    from collections import Counter
+
+    def normal(t):
+        t = re.sub("[\u200b-\u200f\u00ad\ufeff]", "", unicodedata.normalize("NFKC", t))
+        return re.sub(r"\s+", " ", re.sub(r"-\s*", "", t.translate(str.maketrans("‘’“”–—−", "\'\'\"\"---")))).strip().lower()
+
+    want = Counter()
+    for r in spark.read.parquet(f"{sf}/documents.parquet").collect():
+        body, cut = normal(r.text or ""), (r.text or "")[:80]
+        q = normal(cut[:20] + "q" + cut[21:81])
+        windows = range(0, max(1, len(body) - len(q) + 1), max(1, len(q) // 4))
+        like = q and any(difflib.SequenceMatcher(None, q, body[a : a + len(q)]).ratio() >= 0.92 for a in windows)
+        want["not found" if not q else "substring" if q in body else "fuzzy" if like else "not found"] += 1
+    assert {r.how: r.n for r in catalog.queries()["fuzzy_evidence"](spark, sf).collect()} == dict(want) and want["fuzzy"]
+
+
+def test_stored_index_is_built_once(spark, sf):
+    from marlstone.operators import search
+
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    one, two = (search.stored(docs.select("doc_id", "text")).inputFiles() for _ in range(2))
+    assert sorted(one) == sorted(two)
+    assert sorted(search.stored(docs.limit(5), config="english").inputFiles()) != sorted(one)
+
+
 def test_entry(spark):
     import __spark_entry__ as e
 
