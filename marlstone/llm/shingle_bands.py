@@ -17,11 +17,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marlstone.llm.batches import map_texts, mix, powers, raw, window_hashes, word_hashes, words
+from marlstone.llm.spread import join_salted, join_spread
 from marlstone.storage import materialize
 
 SHINGLE, BANDS, ROWS = 5, 25, 5
 #: Members of a bucket that are all compared with each other.
 FEW = 32
+#: Ids of texts to compare that are broadcast, 16 MB; more are joined by shuffling.
+FEW_IDS = 1_000_000
 
 
 def _shingles(column: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -87,8 +90,11 @@ def links(banded: DataFrame, texts: DataFrame, similarity: float, shingle: int =
     ``banded``: id, group and bands, a row for each text; ``texts``: id and text, repeated or not.
     """
     spots = banded.select("id", "group", F.explode("bands").alias("key"))
-    met = spots.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi"), F.count("*").alias("n"), F.min("group").alias("g"), F.max("group").alias("most")).where(F.col("g") != F.col("most"))
-    spots = materialize(spots.join(met.select(F.col("key").alias("k"), "lo", "hi", "n"), F.col("key") == F.col("k")).select("key", "id", "lo", "hi", "n"), "bands-met")
+    # Most keys have one group; they go before anything else is gathered of them.
+    met = spots.groupBy("key").agg(F.min("group").alias("g"), F.max("group").alias("most")).where(F.col("g") != F.col("most"))
+    spots = materialize(spots.select("id", "key").join(met.select(F.col("key").alias("k")), F.col("key") == F.col("k"), "left_semi"), "bands-shared")
+    sizes = materialize(spots.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi"), F.count("*").alias("n"), F.count("*").alias("rows")), "bands-sizes")
+    spots = materialize(join_spread(spots, sizes, ["key"], "rows"), "bands-met")
     few = spots.where(F.col("n") <= FEW).groupBy("key").agg(F.collect_list("id").alias("ids"))
     few = few.select(F.explode("ids").alias("a"), "ids").select("a", F.explode("ids").alias("b"))
     many = spots.where(F.col("n") > FEW).select("id", F.explode(F.array("lo", "hi")).alias("b"))
@@ -96,10 +102,12 @@ def links(banded: DataFrame, texts: DataFrame, similarity: float, shingle: int =
     of = banded.select("id", "group")
     found = found.join(of.select(F.col("id").alias("a"), F.col("group").alias("u")), "a").join(of.select(F.col("id").alias("b"), F.col("group").alias("v")), "b").where("u <> v")
     found = materialize(found.select("a", "b", "u", "v"), "bands-candidates")
-    needed = found.select(F.explode(F.array("a", "b")).alias("i")).distinct()
+    needed = materialize(found.select(F.explode(F.array("a", "b")).alias("i")).distinct(), "bands-needed")
+    if needed.count() <= FEW_IDS:
+        needed = F.broadcast(needed)  # no text that isn't compared is shuffled
     sets = materialize(_with_sets(texts.join(needed, F.col("id") == F.col("i"), "left_semi").dropDuplicates(["id"]), shingle), "bands-sets")
     one, two = (sets.select(F.col("id").alias(s), F.col("shingles").alias(f"s_{s}")) for s in ("a", "b"))
     near = F.least(F.size("s_a"), F.size("s_b")) >= F.greatest(F.size("s_a"), F.size("s_b")) * F.lit(similarity - 1e-9)
     shared = F.size(F.array_intersect("s_a", "s_b"))
     alike = shared / (F.size("s_a") + F.size("s_b") - shared)
-    return found.join(one, "a").join(two, "b").where(near).where(alike >= F.lit(similarity - 1e-9)).select("u", "v")
+    return join_salted(join_salted(found, one, "a"), two, "b").where(near).where(alike >= F.lit(similarity - 1e-9)).select("u", "v")

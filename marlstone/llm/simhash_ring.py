@@ -259,6 +259,10 @@ def _labels_alike(rows: DataFrame, texts: DataFrame, similarity: float, shingle:
     return of.join(found, F.col("component") == F.col("node"), "left").select("fp", "first_id", F.coalesce("whole", "component").alias("component"))
 
 
+def _row_key(doc_id: F.Column, digest: F.Column) -> F.Column:
+    return F.concat(digest, F.coalesce(doc_id.cast("string"), F.lit("null")))
+
+
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similarity: float | None = None, shingle: int = shingle_bands.SHINGLE) -> DataFrame:
     """``docs`` with one row of each component: that with the smallest id, then the smallest digest of its text.
 
@@ -276,9 +280,10 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", simila
     # A fingerprint's own best row first, so that copies are gone before the components meet.
     own = rows.groupBy("fp").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "digest")).alias("best"))
     best = own.join(of, F.col("fp") == F.col("of_fp")).groupBy("component").agg(F.min("best").alias("best"))
-    marks = best.select(F.col("best.doc_id").alias("_id"), F.col("best.digest").alias("_digest_of"))
+    # One plain key on either side, so that whole rows are shuffled once, for the join and the window alike.
+    marks = best.select(_row_key(F.col("best.doc_id"), F.col("best.digest")).alias("_mark"))
     whole = docs.toDF(*safe.values())
-    whole = whole.withColumn("_digest", F.md5(F.coalesce(F.col(safe[text]).cast("string"), F.lit(""))))
-    found = whole.join(marks, F.col(safe[doc_id]).cast("long").eqNullSafe(F.col("_id")) & (F.col("_digest") == F.col("_digest_of")))
-    one = Window.partitionBy("_id", "_digest_of").orderBy(F.lit(1))
+    whole = whole.withColumn("_key", _row_key(F.col(safe[doc_id]).cast("long"), F.md5(F.coalesce(F.col(safe[text]).cast("string"), F.lit("")))))
+    found = whole.join(marks, F.col("_key") == F.col("_mark"), "left_semi")
+    one = Window.partitionBy("_key").orderBy(F.lit(1))
     return found.withColumn("_row", F.row_number().over(one)).where(F.col("_row") == 1).select(*safe.values()).toDF(*docs.columns)

@@ -106,3 +106,14 @@ def test_hot_groups_are_joined_whole(spark):
     got = join_spread(many, one, ["k"], "n")
     assert set(got.columns) == {"k", "id", "m", "v"}
     assert sorted((r.id, r.v) for r in got.collect()) == [(i, 0 if i % 3 == 0 else 2 * i) for i in range(6000)]
+
+
+def test_salted_join(spark):
+    """A key with most of the rows is cut into cells; nothing is lost or doubled."""
+    from marlstone.llm.spread import join_salted
+
+    many = spark.range(9000).selectExpr("id", "if(id % 3 = 0, 0, id % 50) AS k")
+    one = spark.range(60).selectExpr("id AS k", "array_repeat(id, 3) AS big")
+    got = join_salted(many, one, "k", 100)
+    assert set(got.columns) == {"k", "id", "big"}
+    assert sorted((r.id, r.k, r.big[0]) for r in got.collect()) == [(i, k, k) for i in range(9000) for k in [0 if i % 3 == 0 else i % 50]]
