@@ -596,32 +596,14 @@ SELECT q.item_id, coalesce(n_documents, 0) AS n_documents, first_document FROM q
 """
 )
 def quote_search(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Benchmark passages in documents, after normalizing both.
-
-    A passage may begin and end inside a word of the document, so all its words but the first
-    and the last are whole there. Candidates share the first of those: three in a row, or as
-    many as the passage has. Passages of one or two words have none and meet every document.
-    """
+    """Benchmark passages in documents, after normalizing both."""
     quotes = table(spark, sf_dir, "benchmark").select("item_id", normalize(F.col("text")).alias("q")).where("q <> ''")
     bodies = table(spark, sf_dir, "documents").select("doc_id", normalize(F.col("text")).alias("b"))
-    words, w = F.split("q", " "), F.split("b", " ")
-    keyed = quotes.withColumn("n", F.least(F.size(words) - 2, F.lit(3))).withColumn("k", F.when(F.col("n") > 0, F.array_join(F.slice(words, 2, 3), " ")))
-    keyed = keyed.withColumn("k", F.when(F.size(words) < 5, F.array_join(F.slice(words, F.lit(2), F.greatest(F.col("n"), F.lit(0))), " ")).otherwise(F.col("k")))
-    sizes = [r.n for r in keyed.where("n > 0").select("n").distinct().collect()]  # three values at most
-    hits = bodies.join(keyed.where("n <= 0").select("item_id", "q"), F.contains("b", "q")).select("item_id", "doc_id")
-    for n in sizes:
-        shifted = F.arrays_zip(*[F.slice(w, 1 + i, 1 << 30).alias(f"w{i}") for i in range(n)])
-        grams = bodies.select("doc_id", F.explode(F.array_distinct(_grams(shifted, n))).alias("k"))
-        near = grams.join(keyed.where(F.col("n") == n), "k").select("doc_id", "item_id", "q").distinct()
-        hits = hits.union(near.join(bodies, "doc_id").where(F.contains("b", "q")).select("item_id", "doc_id"))
+    hits = evidence.containing(quotes, bodies, "item_id", "q", "doc_id", "b")
     counts = hits.groupBy("item_id").agg(F.count("*").alias("n_documents"), F.min("doc_id").alias("first_document"))
     return table(spark, sf_dir, "benchmark").select("item_id").join(counts, "item_id", "left").fillna(0, ["n_documents"])
 
 
-def _grams(shifted: F.Column, n: int) -> F.Column:
-    return F.transform(shifted, lambda r: F.concat_ws(" ", *[r[f"w{i}"] for i in range(n)]))
-
-
 def _planted(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Score rows whose evidence is cut from the documents, changed in some and foreign in others."""
     docs = documents(spark, sf_dir)

@@ -27,15 +27,18 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
-def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+def new_path(spark: SparkSession, name: str, released: bool = False) -> str:
+    """A path of its own in the shared folder; ``released``: ``release`` removes what is there."""
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    if released:
+        _MADE.append(path)
+    return path
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: lineage ends there."""
     spark = df.sparkSession
-    path = new_path(spark, name)
-    _MADE.append(path)
+    path = new_path(spark, name, released=True)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -48,7 +51,7 @@ def drop_path(spark: SparkSession, path: str) -> None:
 
 
 def release(spark: SparkSession) -> None:
-    """Remove every table ``materialize`` wrote in this process; results not yet written are lost with them."""
+    """Remove every table ``materialize`` wrote in this process, and what else is to be released; results not yet written are lost with them."""
     while _MADE:
         drop_path(spark, _MADE.pop())
 

@@ -339,3 +339,22 @@ def test_stream_ingest(spark, tmp_path):
     (src / "b.json").write_text('{"sha256": "b", "ok": false}\n{"sha256": "c", "ok": true}\n')
     ingest_new(spark, f"file://{src}", S.EXTRACTION_LOG, out, ck, "sha256")
     assert rows_of(spark.read.parquet(out), "sha256", "ok") == [("a", True), ("b", True), ("c", True)]
+
+
+def test_quotes_in_bodies(spark, monkeypatch):
+    """Long, short and one-word quotes, broadcast and shuffled, against a scan of every pair."""
+    import random
+
+    from marlstone.operators import evidence
+
+    rng = random.Random(0)
+    words = ["ab", "ba", "aab", "c", "bc", "abba"]
+    bodies = [(i, " ".join(rng.choice(words) for _ in range(rng.randint(0, 30)))) for i in range(80)]
+    quotes = [(100 + i, " ".join(rng.choice(words) for _ in range(rng.randint(1, 7)))) for i in range(60)] + [(200, "b"), (201, "a c"), (202, bodies[3][1][1:-1] or "b")]
+    want = sorted((k, d) for k, q in quotes for d, b in bodies if q in b)
+    q, b = spark.createDataFrame(quotes, "k long, q string"), spark.createDataFrame(bodies, "d long, b string")
+    for few, block in ((1 << 20, 500), (0, 7)):
+        monkeypatch.setattr(evidence, "FEW_BYTES", few)
+        monkeypatch.setattr(evidence, "SHORT_BLOCK", block)
+        assert sorted(tuple(r) for r in evidence.containing(q, b, "k", "q", "d", "b").collect()) == want
+    assert evidence.containing(q.limit(0), b, "k", "q", "d", "b").count() == 0
