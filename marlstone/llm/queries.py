@@ -21,7 +21,7 @@ MIX_SHARES = {"clean": 1.05, "junk": 0.5, "toxic": 0.5}
 
 
 def op1_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = new_path(spark, "token-store")
+    path = new_path(spark, "token-store", released=True)
     token_store.write_store(table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
     return token_store.read_store(spark, path)
 

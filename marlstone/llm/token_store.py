@@ -15,7 +15,9 @@ hash and decompresses its frame alone.
 
 Cases: a null text is an empty one and still gets its end id. Null ids come first. Rows that
 share an id all stay, ordered by their text's hash. An empty table gives a store without blocks. Too few
-documents to train on give an empty dictionary. Other columns are not read.
+documents to train on give an empty dictionary. Texts of any length are encoded whole and
+have one frame each; of a very long one the dictionary's sample takes the first SAMPLE_CHARS
+characters. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -39,6 +41,8 @@ from marlstone.llm.chunks import Memo, Ragged, distinct
 
 #: Documents and id bytes that the dictionary is trained on at most, and its size.
 TRAIN_DOCS, TRAIN_BYTES, DICT_BYTES = 512, 8 << 20, 112 << 10
+#: Characters of a document that the dictionary's sample takes at most, so that the driver gets 128 MB at the very most.
+SAMPLE_CHARS = 1 << 16
 #: Frames gathered into one block.
 BLOCK_BYTES = 1 << 20
 LEVEL = 3
@@ -184,7 +188,7 @@ def write_store(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2, doc
     # The sample's hashes come first, without their texts; then the few texts up to the last of them.
     order = F.xxhash64("doc_id", "text")
     last = docs.select(order.alias("h")).orderBy("h").limit(TRAIN_DOCS).agg(F.max("h")).first()[0]
-    picked = docs.where(order <= last).select("text").limit(TRAIN_DOCS) if last is not None else docs.select("text").limit(0)
+    picked = docs.where(order <= last).select(F.substring("text", 1, SAMPLE_CHARS).alias("text")).limit(TRAIN_DOCS) if last is not None else docs.select("text").limit(0)
     encode, kind, samples, size = encoder(tokenizer), id_type(tokenizer), [], 0
     for row in picked.toLocalIterator():
         ids = encode(pa.array([row.text]))[0].tobytes()
