@@ -24,7 +24,7 @@ from marlstone.storage import materialize, table
 SIMILARITY = 0.8
 #: Targets as multiples of the tokens a domain has, without the documents of the barred ones.
 #: Every other document has a rate above 1, so none of them is lost.
-SHARES, BARRED = {"clean": 1.3, "junk": 1.1, "toxic": 1.2}, ("toxic",)
+SHARES, BARRED = {"clean": 1.3, "junk": 1.2, "toxic": 1.25}, ("toxic",)
 
 
 def _renamed(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
