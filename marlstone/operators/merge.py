@@ -65,25 +65,26 @@ def build_documents(pdf_log: DataFrame, page_log: DataFrame, extractions: DataFr
 
     Files come before pages; the first record of a hash gives its attributes and every record
     adds its source id, in order. The last extraction of a hash counts, whatever its state.
-    ``texts``: path and text.
+    ``texts``: path and text; a text joins its document once the records are merged, so that
+    bodies are in no aggregate.
     """
     last = last_wins(extractions, "sha256").select(F.col("sha256").alias("h"), "pages", "tier", F.col("chars").alias("ex_chars"), "chars_per_page", F.col("text_path").alias("ex_path"))
     pdf = ok_only(pdf_log).join(last, F.col("sha256") == F.col("h"), "left")
-    body = texts.select(F.col("path").alias("p"), "text")
-    pdf = pdf.join(body, F.col("ex_path") == F.col("p"), "left")
     null = F.lit(None).cast("string")
     files = pdf.select(
-        "sha256", "doc_id", "seq", F.lit(_PDF_FIRST).alias("rank"), F.lit(PDF_KIND).alias("source_kind"), null.alias("source_url"), "original_filename", F.col("bytes").alias("byte_size"), F.col("pages").alias("page_count"), F.col("text").alias("body"), F.col("tier").alias("extract_tier"), F.col("ex_chars").alias("chars"), F.col("chars_per_page").cast("decimal(12,1)").alias("chars_per_page"), null.alias("last_updated"), "fetched_at"
+        "sha256", "doc_id", "seq", F.lit(_PDF_FIRST).alias("rank"), F.lit(PDF_KIND).alias("source_kind"), null.alias("source_url"), "original_filename", F.col("bytes").alias("byte_size"), F.col("pages").alias("page_count"), F.col("ex_path").alias("body_path"), F.col("tier").alias("extract_tier"), F.col("ex_chars").alias("chars"), F.col("chars_per_page").cast("decimal(12,1)").alias("chars_per_page"), null.alias("last_updated"), "fetched_at"
     )
-    page = ok_only(page_log).join(body, F.col("text_path") == F.col("p"), "left")
+    page = ok_only(page_log)
     none = F.lit(None).cast("int")
     pages = page.select(
-        "sha256", "doc_id", "seq", F.lit(_PAGE_SECOND).alias("rank"), F.lit(PAGE_KIND).alias("source_kind"), F.col("url").alias("source_url"), null.alias("original_filename"), none.alias("byte_size"), none.alias("page_count"), F.col("text").alias("body"), F.lit(PAGE_TIER).alias("extract_tier"), "chars", F.lit(None).cast("decimal(12,1)").alias("chars_per_page"), "last_updated", "fetched_at"
+        "sha256", "doc_id", "seq", F.lit(_PAGE_SECOND).alias("rank"), F.lit(PAGE_KIND).alias("source_kind"), F.col("url").alias("source_url"), null.alias("original_filename"), none.alias("byte_size"), none.alias("page_count"), F.col("text_path").alias("body_path"), F.lit(PAGE_TIER).alias("extract_tier"), "chars", F.lit(None).cast("decimal(12,1)").alias("chars_per_page"), "last_updated", "fetched_at"
     )
     rows = files.unionByName(pages).withColumn("at", F.struct("rank", "seq"))
     attributes = [c for c in files.columns if c not in ("sha256", "doc_id", "seq", "rank")]
     merged = rows.groupBy("sha256").agg(F.min_by(F.struct(*attributes), "at").alias("d"), F.transform(F.array_sort(F.collect_list(F.struct("at", "doc_id"))), lambda x: x["doc_id"]).alias("source_ids"))
-    documents = merged.select(F.col("sha256").alias("content_sha256"), "source_ids", *[F.col(f"d.{a}").alias(a) for a in attributes])
+    body = texts.select(F.col("path").alias("p"), "text")
+    merged = merged.join(body, F.col("d.body_path") == F.col("p"), "left")
+    documents = merged.select(F.col("sha256").alias("content_sha256"), "source_ids", *[F.col("text").alias("body") if a == "body_path" else F.col(f"d.{a}").alias(a) for a in attributes])
     by_source = rows.groupBy(F.col("doc_id").alias("source_id")).agg(F.max_by("sha256", "at").alias("content_sha256"))
     return documents, by_source
 

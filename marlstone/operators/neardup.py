@@ -19,6 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from marlstone.functions.text import letters_only, pct
 from marlstone.operators.components import connected_components
@@ -89,9 +90,30 @@ def similar_pairs(sketched: DataFrame, threshold: float = THRESHOLD) -> DataFram
     return pairs.select("a", "b", (shared / F.size(window)).alias("similarity")).where(F.col("similarity") >= threshold)
 
 
+def plausible_pairs(sketched: DataFrame) -> DataFrame:
+    """pairs_compared: how many pairs of documents are within the length band, counted without forming them.
+
+    Only the number of documents of each length is gathered; the documents up to the band's end
+    come from running totals over lengths and band ends in one order.
+    """
+    sizes = sketched.groupBy(F.col("n_words").cast("double").alias("at")).agg(F.count("*").alias("c"))
+    ends = sizes.select((F.col("at") * F.lit(1.0 + TOLERANCE)).alias("at"), F.lit(0).cast("long").alias("c"), F.col("c").alias("mine"), F.col("at").alias("of"))
+    both = sizes.select("at", "c", F.lit(None).cast("long").alias("mine"), F.lit(None).cast("double").alias("of")).unionByName(ends)
+    upto = F.sum("c").over(Window.orderBy("at", F.col("mine").isNotNull()).rowsBetween(Window.unboundedPreceding, 0))  # one row for each length and band end
+    placed = both.withColumn("upto", upto)
+    own = placed.where("mine is null").select(F.col("at").alias("l"), F.col("upto").alias("before"))
+    counts = placed.where("mine is not null").join(own, F.col("of") == F.col("l"))
+    n = F.col("mine")
+    return counts.agg(F.coalesce(F.sum((n * (n - 1) / 2).cast("long") + n * (F.col("upto") - F.col("before"))), F.lit(0)).alias("pairs_compared"))
+
+
 def linked(docs: DataFrame, doc_id: str = "doc_id", body: str = "text", hash_name: str = "blake2b64") -> tuple[DataFrame, DataFrame]:
     """(links between class representatives, membership doc_id to rep)."""
-    sketched = materialize(sketches(docs, doc_id, body, hash_name), "sketches")
+    return linked_sketches(materialize(sketches(docs, doc_id, body, hash_name), "sketches"))
+
+
+def linked_sketches(sketched: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Like ``linked``, from a table of sketches."""
     members = materialize(classes(sketched), "sketch-classes")
     own = sketched.join(members.where(F.col("doc_id") == F.col("rep")).select("doc_id"), "doc_id", "left_semi")
     return materialize(similar_pairs(own), "sketch-pairs"), members
@@ -125,12 +147,13 @@ def redundant(clustered: DataFrame) -> DataFrame:
     return clustered.where(F.col("doc_id") != F.col("root")).select("doc_id")
 
 
-def statistics(docs: DataFrame, clustered: DataFrame, body: str = "text") -> DataFrame:
-    """examined, clusters, inside, redundant, redundant_pct of all documents with text, and what is left."""
+def statistics(docs: DataFrame, clustered: DataFrame, body: str = "text", sketched: DataFrame | None = None) -> DataFrame:
+    """examined, clusters, inside, redundant, redundant_pct of all documents with text, and what is left; with ``sketched`` also pairs_compared."""
     all_ = docs.where(F.col(body).isNotNull()).agg(F.count("*").alias("examined"))
     found = clustered.agg(F.countDistinct("root").alias("clusters"), F.count("*").alias("inside"))
     rows = all_.crossJoin(found).withColumn("redundant", F.col("inside") - F.col("clusters"))
-    return rows.select("*", pct(F.col("redundant"), F.col("examined")).alias("redundant_pct"), (F.col("examined") - F.col("redundant")).alias("after_collapsing"))
+    rows = rows.select("*", pct(F.col("redundant"), F.col("examined")).alias("redundant_pct"), (F.col("examined") - F.col("redundant")).alias("after_collapsing"))
+    return rows if sketched is None else rows.crossJoin(plausible_pairs(sketched))  # one row each
 
 
 def largest(clustered: DataFrame, n: int = 10) -> DataFrame:

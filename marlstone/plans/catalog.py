@@ -325,11 +325,11 @@ def first_target(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query(
     """
-WITH files AS (SELECT doc_id, sha256("text") AS h, 0 AS kind, doc_id AS seq FROM documents WHERE doc_id % 3 <> 0),
-pages_ AS (SELECT doc_id, sha256("text") AS h, 1 AS kind, doc_id AS seq FROM documents WHERE doc_id % 3 = 0),
+WITH files AS (SELECT doc_id, sha256("text") AS h, 0 AS kind, doc_id AS seq, length("text") AS chars FROM documents WHERE doc_id % 3 <> 0),
+pages_ AS (SELECT doc_id, sha256("text") AS h, 1 AS kind, doc_id AS seq, length("text") AS chars FROM documents WHERE doc_id % 3 = 0),
 log AS (SELECT * FROM files UNION ALL SELECT * FROM pages_)
 SELECT h AS content_sha256, CASE WHEN min(kind) = 0 THEN 'pdf' ELSE 'simple_syllabus' END AS source_kind,
-       string_agg(CAST(doc_id AS VARCHAR), ',' ORDER BY kind, seq) AS source_ids
+       string_agg(CAST(doc_id AS VARCHAR), ',' ORDER BY kind, seq) AS source_ids, CAST(max(chars) AS INTEGER) AS body_chars
 FROM log GROUP BY 1
 """
 )
@@ -340,9 +340,8 @@ def cross_source_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     pdf = log.where(F.col("seq") % 3 != 0).withColumns({"bytes": null.cast("int"), "original_filename": null.cast("string")})
     page = log.where(F.col("seq") % 3 == 0).withColumns({"url": null.cast("string"), "last_updated": null.cast("string")})
     extractions = pdf.select("sha256", "seq", F.lit(1).alias("pages"), F.lit("text_layer").alias("tier"), "chars", null.cast("double").alias("chars_per_page"), "text_path")
-    texts = d.select(name.alias("path"), F.lit("").alias("text"))  # bodies are not part of this report
-    merged, _ = merge.build_documents(pdf, page, extractions, texts)
-    return merged.select("content_sha256", "source_kind", F.array_join("source_ids", ",").alias("source_ids"))
+    merged, _ = merge.build_documents(pdf, page, extractions, d.select(name.alias("path"), "text"))
+    return merged.select("content_sha256", "source_kind", F.array_join("source_ids", ",").alias("source_ids"), F.length("body").alias("body_chars"))
 
 
 @_query(
@@ -809,12 +808,15 @@ def neardup_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query(
     f"""
 WITH RECURSIVE {_CLUSTERS.strip()},
-c AS (SELECT (SELECT count(*) FROM documents WHERE "text" IS NOT NULL) AS examined, count(DISTINCT root) AS clusters, count(*) AS inside, count(*) - count(DISTINCT root) AS redundant FROM clustered)
-SELECT *, {_pct("redundant", "examined")} AS redundant_pct, examined - redundant AS after_collapsing FROM c
+c AS (SELECT (SELECT count(*) FROM documents WHERE "text" IS NOT NULL) AS examined, count(DISTINCT root) AS clusters, count(*) AS inside, count(*) - count(DISTINCT root) AS redundant FROM clustered),
+near AS (SELECT count(*) AS pairs_compared FROM sketch a JOIN sketch b ON (a.n < b.n OR a.n = b.n AND a.doc_id < b.doc_id) AND b.n <= a.n * CAST(1.4 AS DOUBLE))
+SELECT *, {_pct("redundant", "examined")} AS redundant_pct, examined - redundant AS after_collapsing FROM c, near
 """
 )
 def neardup_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return neardup.statistics(table(spark, sf_dir, "documents"), _clustered(spark, sf_dir))
+    docs = table(spark, sf_dir, "documents")
+    sketched = materialize(neardup.sketches(docs.select("doc_id", "text"), hash_name="md5_64"), "sketches")
+    return neardup.statistics(docs, neardup.clusters(*neardup.linked_sketches(sketched)), sketched=sketched)
 
 
 @_query(
