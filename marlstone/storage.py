@@ -56,5 +56,16 @@ def release(spark: SparkSession) -> None:
         drop_path(spark, _MADE.pop())
 
 
+#: A table in fewer files than there are cores is dealt to all of them if it has this many bytes, and no more than so many for each core.
+DEAL_FROM, DEAL_UPTO = 4 << 20, 32 << 20
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A table; a small one in few files, which few tasks would read, is dealt to all cores by a shuffle of its bytes."""
+    rows = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    cores, files = spark.sparkContext.defaultParallelism, rows.inputFiles()
+    if len(files) >= cores:
+        return rows
+    paths = [spark.sparkContext._jvm.org.apache.hadoop.fs.Path(spark.sparkContext._jvm.java.net.URI(f)) for f in files]
+    size = sum(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(p).getLen() for p in paths)
+    return rows.repartition(cores) if DEAL_FROM <= size <= DEAL_UPTO * cores else rows
