@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marlstone.functions.stemmer import STOP_WORDS, stem
+from marlstone.sources.records import exists
 from marlstone.storage import drop_path, new_path
 
 CONFIGS = ("simple", "english")
@@ -60,7 +61,7 @@ def stored(docs: DataFrame, doc_id: str = "doc_id", body: str = "text", config:
     """
     spark = docs.sparkSession
     key = (spark.sparkContext.applicationId, tuple(sorted(docs.inputFiles())), doc_id, body, config)
-    if key not in _STORED:
+    if key not in _STORED or not exists(spark, _STORED[key]):
         path = new_path(spark, "postings")
         write_postings(postings(docs, doc_id, body, config), path)
         _STORED[key] = path
