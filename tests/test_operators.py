@@ -358,3 +358,16 @@ def test_quotes_in_bodies(spark, monkeypatch):
         monkeypatch.setattr(evidence, "SHORT_BLOCK", block)
         assert sorted(tuple(r) for r in evidence.containing(q, b, "k", "q", "d", "b").collect()) == want
     assert evidence.containing(q.limit(0), b, "k", "q", "d", "b").count() == 0
+
+
+def test_small_tables_in_few_files_are_dealt(spark, tmp_path, monkeypatch):
+    from marlstone import storage
+
+    spark.range(1000).coalesce(1).write.parquet(f"file://{tmp_path}/one.parquet")
+    assert storage.table(spark, f"file://{tmp_path}", "one").rdd.getNumPartitions() == 1  # too small to be worth it
+    monkeypatch.setattr(storage, "DEAL_FROM", 1)
+    rows = storage.table(spark, f"file://{tmp_path}", "one")
+    assert rows.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    assert sorted(r.id for r in rows.collect()) == list(range(1000))
+    monkeypatch.setattr(storage, "DEAL_UPTO", 0)
+    assert storage.table(spark, f"file://{tmp_path}", "one").rdd.getNumPartitions() == 1
