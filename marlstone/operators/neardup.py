@@ -2,10 +2,12 @@
 
 A sketch holds the SKETCH smallest distinct hashes of a document's five-word shingles. Of two
 sketches the SKETCH smallest hashes of both together form a window; the share of it in both
-estimates their Jaccard similarity. With a threshold of 0.70 at most floor(0.3 * 256) = 76
-hashes of the window are unshared. All hashes below the smallest shared one are unshared and in the window, so its ranks in
-the two sketches add up to 76 or less: every qualifying pair shares one of the first 77 hashes
-of both. That is an equi-join; no pair is lost, frequent hashes included.
+estimates their Jaccard similarity. The window is as large as either sketch at least, so with a
+threshold of 0.70 two sketches, the larger of n hashes, share o = ceil(0.7 * n) hashes or more.
+Put in any one order, here rare ones first, the first len - o + s hashes of both then have s in
+common: of those o the s-th has o - s behind it. So every qualifying pair meets s times in an
+equi-join of such heads, and no pair is lost, whatever the frequencies are: they only
+decide how many others meet.
 
 Documents with equal sketches and lengths are one class and join once.
 """
@@ -17,6 +19,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -27,7 +30,12 @@ from marlstone.storage import materialize
 
 # The method's settings.
 SHINGLE, SKETCH, THRESHOLD, MIN_WORDS, TOLERANCE = 5, 256, 0.70, 120, 0.40
-PREFIX = int((1 - THRESHOLD) * SKETCH + 1e-9) + 1
+#: Hashes that the heads of a candidate pair have in common, or all that the threshold asks for, if those are fewer.
+SHARED = 8
+#: Frequent hashes that are gathered to order the hashes of sketches, 9 bytes each.
+MOST_FREQUENT = 500_000
+#: Ids that are broadcast; more are joined by shuffling.
+FEW_IDS = 1_000_000
 
 
 def _blake2b(b: bytes) -> bytes:
@@ -76,13 +84,75 @@ def classes(sketched: DataFrame) -> DataFrame:
     return keyed.join(first, "k").select("doc_id", "rep")
 
 
+def _often(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Hashes that a batch of sketches has twice or more, and how often."""
+    for batch in batches:
+        flat = batch.column(0).flatten().to_numpy(zero_copy_only=False)
+        h, n = np.unique(flat, return_counts=True)
+        yield pa.RecordBatch.from_arrays([pa.array(h[n > 1]), pa.array(n[n > 1])], names=["h", "n"])
+
+
+def frequent(sketched: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Ascending hashes that many sketches have, MOST_FREQUENT at most, and the binary logarithm of how many.
+
+    This only orders the hashes of a sketch; any order gives the same pairs, so hashes that are
+    counted low, or not, cost time alone.
+    """
+    counts = sketched.select("sketch").mapInArrow(_often, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).where("n >= 8").select("h", F.floor(F.log2("n")).cast("byte").alias("level"))
+    counts = materialize(counts, "sketch-frequent")
+    least, rows = 0, 0
+    for r in sorted(counts.groupBy("level").agg(F.count("*").alias("c")).collect(), reverse=True):  # a row for each power of two
+        rows += r.c
+        if rows > MOST_FREQUENT:
+            least = r.level + 1
+            break
+    found = counts.where(F.col("level") >= least).toArrow()
+    h, level = (found.column(c).to_numpy() for c in ("h", "level"))
+    order = np.argsort(h)
+    return h[order], level[order]
+
+
+def _heads(threshold: float, often: np.ndarray, levels: np.ndarray):
+    """The rarest hashes of each sketch: as many as leave less than the threshold's share behind, and SHARED - 1 more."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 2048):
+                part = batch.slice(at, 2048)
+                sketch = part.column(2)
+                flat, size = sketch.flatten().to_numpy(zero_copy_only=False), pc.list_value_length(sketch).to_numpy(zero_copy_only=False).astype(np.int64)
+                owner = np.repeat(np.arange(part.num_rows), size)
+                level = np.zeros(len(flat), np.int8)
+                if len(often):
+                    spot = np.minimum(np.searchsorted(often, flat), len(often) - 1)
+                    level = np.where(often[spot] == flat, levels[spot], 0).astype(np.int8)
+                order = np.lexsort((flat, level, owner))
+                share = np.maximum(np.ceil(size * threshold - 1e-9).astype(np.int64), 1)
+                place = np.arange(len(flat)) - np.repeat(np.cumsum(size) - size, size)
+                taken = place < (size - share + SHARED)[owner]
+                who = pa.array(owner[taken])
+                yield pa.RecordBatch.from_arrays([part.column(0).take(who), part.column(1).take(who), pa.array(np.minimum(share, SHARED)[owner[taken]].astype(np.int8)), pa.array(flat[order][taken])], names=["doc_id", "n_words", "need", "h"])
+
+    return run
+
+
+def candidate_pairs(sketched: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """a, b (a < b) within the length band whose rarest hashes have as many in common as those of every qualifying pair."""
+    kind = sketched.schema["doc_id"].dataType.simpleString()
+    heads = sketched.select("doc_id", "n_words", "sketch").mapInArrow(_heads(threshold, *frequent(sketched)), f"doc_id {kind}, n_words int, need byte, h long")
+    x, y = (heads.select(F.col("doc_id").alias(s), F.col("n_words").alias(f"n_{s}"), F.col("need").alias(f"need_{s}"), "h") for s in ("a", "b"))
+    band = F.greatest("n_a", "n_b") <= F.least("n_a", "n_b") * F.lit(1.4)
+    met = x.join(y, (x["h"] == y["h"]) & (F.col("a") < F.col("b")) & band)
+    return met.groupBy("a", "b").agg(F.count("*").alias("c"), F.first(F.greatest("need_a", "need_b")).alias("need")).where("c >= need").select("a", "b")
+
+
 def similar_pairs(sketched: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """a, b (a < b), similarity of pairs at or above the threshold within the length band."""
-    prefix = int((1 - threshold) * SKETCH + 1e-9) + 1
-    heads = sketched.select("doc_id", "n_words", F.posexplode(F.slice("sketch", 1, prefix)).alias("rank", "h"))
-    x, y = (heads.select(F.col("doc_id").alias(s), F.col("n_words").alias(f"n_{s}"), F.col("rank").alias(f"r_{s}"), "h") for s in ("a", "b"))
-    band = F.greatest("n_a", "n_b") <= F.least("n_a", "n_b") * F.lit(1.4)
-    candidates = x.join(y, (x["h"] == y["h"]) & (F.col("a") < F.col("b")) & (F.col("r_a") + F.col("r_b") < prefix) & band).select("a", "b").distinct()
+    candidates = materialize(candidate_pairs(sketched, threshold), "sketch-candidates")
+    needed = materialize(candidates.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "sketch-needed")
+    if needed.count() <= FEW_IDS:
+        needed = F.broadcast(needed)  # no sketch that isn't compared is shuffled
+    sketched = sketched.join(needed, "doc_id", "left_semi")
     one, two = (sketched.select(F.col("doc_id").alias(s), F.col("sketch").alias(f"s_{s}")) for s in ("a", "b"))
     pairs = candidates.join(one, "a").join(two, "b")
     window = F.slice(F.array_sort(F.array_union("s_a", "s_b")), 1, SKETCH)
@@ -115,7 +185,10 @@ def linked(docs: DataFrame, doc_id: str = "doc_id", body: str = "text", hash_nam
 def linked_sketches(sketched: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Like ``linked``, from a table of sketches."""
     members = materialize(classes(sketched), "sketch-classes")
-    own = sketched.join(members.where(F.col("doc_id") == F.col("rep")).select("doc_id"), "doc_id", "left_semi")
+    reps = members.where(F.col("doc_id") == F.col("rep")).select("doc_id")
+    if reps.count() <= FEW_IDS:
+        reps = F.broadcast(reps)  # sketches are not shuffled
+    own = sketched.join(reps, "doc_id", "left_semi")
     return materialize(similar_pairs(own), "sketch-pairs"), members
 
 

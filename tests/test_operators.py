@@ -371,3 +371,30 @@ def test_small_tables_in_few_files_are_dealt(spark, tmp_path, monkeypatch):
     assert sorted(r.id for r in rows.collect()) == list(range(1000))
     monkeypatch.setattr(storage, "DEAL_UPTO", 0)
     assert storage.table(spark, f"file://{tmp_path}", "one").rdd.getNumPartitions() == 1
+
+
+def test_common_hashes_make_no_candidates(spark, monkeypatch):
+    """Sketches that share a third of their hashes with all others are not compared; the pairs are those of brute force, in any order of hashes."""
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    common, made = rng.integers(-(1 << 62), 1 << 62, 90), []
+    for i in range(120):
+        size = 256 if i % 4 else int(rng.integers(5, 120))
+        own = np.unique(np.concatenate([common[: size // 3], rng.integers(-(1 << 62), 1 << 62, size)]))[:size]
+        made.append(own)
+        if i % 3 == 0:  # copies on both sides of the threshold
+            made += [np.unique(np.concatenate([rng.permutation(own)[: int(size * part)], rng.integers(-(1 << 62), 1 << 62, size - int(size * part))])) for part in (0.95, 0.85, 0.8)]
+    rows = [(i, 200 + i % 50, s.tolist()) for i, s in enumerate(made)]
+    want = set()
+    for i, (_, n, x) in enumerate(rows):
+        for j, (_, m, y) in enumerate(rows[:i]):
+            window = sorted({*x, *y})[: neardup.SKETCH]
+            if max(n, m) <= 1.4 * min(n, m) and len({*window} & {*x} & {*y}) / len(window) >= neardup.THRESHOLD:
+                want.add((j, i))
+    sketched = spark.createDataFrame(rows, "doc_id long, n_words int, sketch array<long>")
+    assert len(want) > 20 and {(r.a, r.b) for r in neardup.similar_pairs(sketched).collect()} == want
+    assert neardup.candidate_pairs(sketched).count() < 10 * len(want)
+    for kept in (0, 7):  # no hash, or few, known to be frequent
+        monkeypatch.setattr(neardup, "MOST_FREQUENT", kept)
+        assert {(r.a, r.b) for r in neardup.similar_pairs(sketched).collect()} == want
