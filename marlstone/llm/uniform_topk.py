@@ -1,12 +1,14 @@
 """Exact top-k inner products by a three-phase uniform threshold.
 
 A vector's coordinates are dealt to ``LISTS`` score lists; a candidate's score for a query is
-the sum of its entries in the lists. Candidates and queries are packed into blocks, and the
-stated queries meet all candidates block by block.
+the sum of its entries in the lists. Candidates and queries are packed into blocks of the smallest
+numbers that hold them. The stated queries meet all candidates in cells: a cell holds up to
+QUERY_GROUP blocks of queries, past which its blocks of candidates stream, so a block of candidates is
+shuffled once for each group of queries, and a query once for each group of candidates.
 
 1. Each block of candidates hands on the heads of its sorted coordinates: the candidates with
    the k largest or k smallest values of any coordinate. Their scores are local lower bounds;
-   the k-th best over all blocks is a query's cutoff: at least k candidates reach it.
+   the k-th best over all cells is a query's cutoff: at least k candidates reach it.
 2. The cutoff goes to every block. A candidate whose entries all stay under cutoff / LISTS can't
    reach it. A list is sorted by the length of its candidates' part, which bounds their entries:
    only the head of each list that may hold entries of cutoff / LISTS is computed. A candidate
@@ -29,7 +31,7 @@ Other columns are not read.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -43,9 +45,12 @@ from marlstone.storage import materialize
 LISTS = 4
 CANDIDATES, QUERIES = 4096, 512  # vectors in a block
 STRIP = 128  # queries of a block whose lists are held at once
+QUERY_GROUP, CANDIDATE_GROUP = 64, 64  # blocks of a cell at most
+CELLS = 4  # for each core, as far as there are blocks
+_KINDS = ("i1", "i2", "i4", "f8")  # what a block's components are stored as
 _LEAST, _MOST = np.iinfo(np.int64).min, np.iinfo(np.int64).max
 
-_BLOCK = T.StructType([T.StructField("n", T.IntegerType()), T.StructField("dims", T.IntegerType()), T.StructField("ids", T.BinaryType()), T.StructField("matrix", T.BinaryType()), T.StructField("heads", T.BinaryType())])
+_BLOCK = T.StructType([T.StructField("n", T.IntegerType()), T.StructField("dims", T.IntegerType()), T.StructField("kind", T.StringType()), T.StructField("ids", T.BinaryType()), T.StructField("matrix", T.BinaryType()), T.StructField("heads", T.BinaryType())])
 
 
 def usable(vectors: DataFrame, vec_id: str, vector: str) -> DataFrame:
@@ -98,8 +103,10 @@ def _pack(size: int, k: int | None):
                 heads = heads_of(matrix, k).astype(np.int32)
             ids.clear()
             rows.clear()
-            block = [len(names), matrix.shape[1], names.tobytes(), matrix.tobytes(), heads.tobytes()]
-            return pa.RecordBatch.from_arrays([pa.array([b], t) for b, t in zip(block, (pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary()))], names=_BLOCK.names)
+            most = np.abs(matrix).max(initial=0)
+            kind = next((t for t in _KINDS[:-1] if most <= np.iinfo(t).max), _KINDS[-1])
+            block = [len(names), matrix.shape[1], kind, names.tobytes(), matrix.astype(kind).tobytes(), heads.tobytes()]
+            return pa.RecordBatch.from_arrays([pa.array([b], t) for b, t in zip(block, (pa.int32(), pa.int32(), pa.string(), pa.binary(), pa.binary(), pa.binary()))], names=_BLOCK.names)
 
         for batch in batches:
             for i, r in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
@@ -116,11 +123,12 @@ def _pack(size: int, k: int | None):
 def _only_heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Blocks of candidates to blocks of their heads alone."""
     for batch in batches:
-        for row in batch.to_pylist():
-            ids, c = _unpack(row, "c")
-            at = np.frombuffer(row["c_heads"], np.int32)
-            values = [row["c_block"], len(at), row["c_dims"], ids[at].tobytes(), c[at].tobytes(), b""]
-            yield pa.RecordBatch.from_arrays([pa.array([v], batch.schema.field(n).type) for n, v in zip(batch.schema.names, values)], names=batch.schema.names)
+        for i in range(batch.num_rows):
+            row = batch.slice(i, 1).to_pylist()[0]
+            ids, c = _unpack(row)
+            at = np.frombuffer(row["heads"], np.int32)
+            row |= {"n": len(at), "ids": ids[at].tobytes(), "matrix": c[at].astype(row["kind"]).tobytes(), "heads": b""}
+            yield pa.RecordBatch.from_arrays([pa.array([row[f.name]], f.type) for f in batch.schema], names=batch.schema.names)
 
 
 def _numbered(blocks: DataFrame, name: str) -> DataFrame:
@@ -132,8 +140,9 @@ def _numbered(blocks: DataFrame, name: str) -> DataFrame:
     return blocks.join(numbers.select("key", "block"), "key").drop("key")
 
 
-def _unpack(row: dict, side: str) -> tuple[np.ndarray, np.ndarray]:
-    return np.frombuffer(row[f"{side}_ids"], np.int64), np.frombuffer(row[f"{side}_matrix"], np.float64).reshape(row[f"{side}_n"], row[f"{side}_dims"])
+def _unpack(row: dict) -> tuple[np.ndarray, np.ndarray]:
+    """Ids and components as doubles."""
+    return np.frombuffer(row["ids"], np.int64), np.frombuffer(row["matrix"], row["kind"]).reshape(row["n"], row["dims"]).astype(np.float64)
 
 
 def _largest(m: np.ndarray) -> np.ndarray:
@@ -179,23 +188,47 @@ def _best(ids: np.ndarray, score: np.ndarray, k: int) -> np.ndarray:
     return np.lexsort((ids, ~score))[:k]
 
 
-def _first(k: int):
+def _cells(meet: Callable[[dict, np.ndarray, np.ndarray, np.ndarray, np.ndarray], None], close: Callable[[list[dict]], Iterator[pa.RecordBatch]]):
+    """Rows sorted by (cell, side), the queries' blocks first: each block of candidates meets each block of queries, then the cell's results go out."""
+
     def phase(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cell, queries = None, []
         for batch in batches:
-            for row in batch.to_pylist():
-                (q_ids, q), (c_ids, c) = _unpack(row, "q"), _unpack(row, "c")
-                qs, ss = [], []
-                total = scores(q, c)
-                for i, query in enumerate(q_ids.tolist()):
-                    found = total[i][c_ids != query]
-                    top = np.sort(np.partition(found, len(found) - k)[len(found) - k :] if len(found) > k else found)[::-1]
-                    qs += [query] * len(top)
-                    ss += top.tolist()
-                yield pa.RecordBatch.from_arrays([pa.array([row["q_block"]] * len(qs), pa.int64()), pa.array(qs, pa.int64()), pa.array(ss, pa.int64())], names=["q_block", "query_id", "bound"])
+            for i in range(batch.num_rows):
+                row = batch.slice(i, 1).to_pylist()[0]
+                if row["cell"] != cell:
+                    yield from close(queries)
+                    cell, queries = row["cell"], []
+                if row["side"] == 0:
+                    queries.append(row)
+                    continue
+                c_ids, c = _unpack(row)
+                for held in queries:
+                    meet(held, *_unpack(held), c_ids, c)
+        yield from close(queries)
 
     return phase
 
 
+def _first(k: int):
+    def meet(held: dict, q_ids: np.ndarray, q: np.ndarray, c_ids: np.ndarray, c: np.ndarray) -> None:
+        total = scores(q, c)
+        total[q_ids[:, None] == c_ids] = _LEAST  # no bound; without k bounds a query has no cutoff
+        if "best" in held:
+            total = np.concatenate([held["best"], total], axis=1)
+        held["best"] = np.partition(total, total.shape[1] - k, axis=1)[:, total.shape[1] - k :] if total.shape[1] > k else total
+
+    def close(queries: list[dict]) -> Iterator[pa.RecordBatch]:
+        for held in queries:
+            if "best" in held:
+                best = held["best"]
+                names, bounds = np.repeat(np.frombuffer(held["ids"], np.int64), best.shape[1]), best.ravel()
+                real = bounds > _LEAST
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(int(real.sum()), held["block"])), pa.array(names[real]), pa.array(bounds[real])], names=["block", "query_id", "bound"])
+
+    return _cells(meet, close)
+
+
 def above(q: np.ndarray, c: np.ndarray, cut: np.ndarray) -> tuple[list[np.ndarray], list[np.ndarray], dict[str, int]]:
     """Of each query the candidates that reach its cutoff, and their scores (phases 2 and 3); counts of what was touched.
 
@@ -206,15 +239,20 @@ def above(q: np.ndarray, c: np.ndarray, cut: np.ndarray) -> tuple[list[np.ndarra
     q_parts, c_parts = ([m[:, a:b] for a, b in zip(edges, edges[1:])] for m in (q, c))
     q_len, c_len = (np.stack([np.sqrt((p * p).sum(axis=1)) for p in parts], axis=1) * (1 + 1e-9) for parts in (q_parts, c_parts))
     share = cut / LISTS
-    lists: list[tuple[np.ndarray, np.ndarray]] = []
-    touched = 0
+    heads, touched = [], 0
     for g in range(LISTS):
         with np.errstate(divide="ignore", invalid="ignore"):
             least = np.where(share <= 0, 0.0, share / q_len[:, g])
         order = np.argsort(-c_len[:, g], kind="stable")
         n = int(np.searchsorted(-c_len[order, g], -float(np.nan_to_num(least, nan=0.0, posinf=np.inf).min(initial=np.inf)), side="right"))
-        lists.append((order[:n], q_parts[g] @ c_parts[g][order[:n]].T))
+        heads.append(order[:n])
         touched += n * len(q)
+    if all(len(at) == len(c) for at in heads):  # every list is asked for to its end
+        total = q[:, :dims] @ c[:, :dims].T
+        ok = total >= cut[:, None]
+        found = [np.flatnonzero(x) for x in ok]
+        return found, [t[at].astype(np.int64) for t, at in zip(total, found)], {"entries": touched, "touched": touched, "collected": int(ok.sum()), "looked_up": 0}
+    lists = [(at, q_parts[g] @ c_parts[g][at].T) for g, at in enumerate(heads)]
     known, bound, enough = np.zeros((len(q), len(c))), np.zeros((len(q), len(c))), np.zeros((len(q), len(c)), bool)
     for g, (at, part) in enumerate(lists):
         # What a missing entry can be at most: under the uniform share, and under its list's bound.
@@ -244,57 +282,75 @@ def above(q: np.ndarray, c: np.ndarray, cut: np.ndarray) -> tuple[list[np.ndarra
 
 
 def _rest(k: int):
-    def phase(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                (q_ids, q), (c_ids, c) = _unpack(row, "q"), _unpack(row, "c")
-                cutoffs = {x["query_id"]: x["cutoff"] for x in row["cutoffs"] or []}
-                exact = float(np.abs(q).max(initial=0)) * float(np.abs(c).max(initial=0)) * max(min(q.shape[1], c.shape[1]), 1) < 2.0**52
-                qs, vs, ss = [], [], []
-                for lo in range(0, len(q_ids), STRIP):
-                    names, part = q_ids[lo : lo + STRIP], q[lo : lo + STRIP]
-                    cut = np.array([cutoffs.get(x, _LEAST) for x in names.tolist()], np.int64)  # fewer than k candidates in all: every one is in the answer
-                    if exact and (cut > _LEAST).all():
-                        found, values, _ = above(part, c, cut.astype(np.float64))
-                    else:
-                        total = scores(part, c)
-                        found = [np.flatnonzero(t >= x) for t, x in zip(total, cut)]
-                        values = [t[at] for t, at in zip(total, found)]
-                    for query, at, value in zip(names.tolist(), found, values):
-                        other = c_ids[at] != query
-                        at, value = at[other], value[other]
-                        best = _best(c_ids[at], value, k)
-                        qs += [query] * len(best)
-                        vs += c_ids[at[best]].tolist()
-                        ss += value[best].tolist()
-                yield pa.RecordBatch.from_arrays([pa.array(qs, pa.int64()), pa.array(vs, pa.int64()), pa.array(ss, pa.int64())], names=["query_id", "vec_id", "score"])
-
-    return phase
+    def meet(held: dict, q_ids: np.ndarray, q: np.ndarray, c_ids: np.ndarray, c: np.ndarray) -> None:
+        cutoffs = {x["query_id"]: x["cutoff"] for x in held["cutoffs"] or []}
+        exact = float(np.abs(q).max(initial=0)) * float(np.abs(c).max(initial=0)) * max(min(q.shape[1], c.shape[1]), 1) < 2.0**52
+        parts = held.setdefault("found", [])
+        for lo in range(0, len(q_ids), STRIP):
+            names, part = q_ids[lo : lo + STRIP], q[lo : lo + STRIP]
+            cut = np.array([cutoffs.get(x, _LEAST) for x in names.tolist()], np.int64)  # fewer than k candidates in all: every one is in the answer
+            if exact and (cut > _LEAST).all():
+                found, values, _ = above(part, c, cut.astype(np.float64))
+            else:
+                total = scores(part, c)
+                found = [np.flatnonzero(t >= x) for t, x in zip(total, cut)]
+                values = [t[at] for t, at in zip(total, found)]
+            for query, at, value in zip(names.tolist(), found, values):
+                other = c_ids[at] != query
+                at, value = at[other], value[other]
+                if len(at):
+                    best = _best(c_ids[at], value, k)
+                    parts.append((np.full(len(best), query), c_ids[at[best]], value[best]))
+        if len(parts) > 100 * QUERIES:
+            held["found"] = [_top(parts, k)]
+
+    def close(queries: list[dict]) -> Iterator[pa.RecordBatch]:
+        for held in queries:
+            if held.get("found"):
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in _top(held["found"], k)], names=["query_id", "vec_id", "score"])
+
+    return _cells(meet, close)
+
+
+def _top(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]], k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of (query, id, score) the k best of each query."""
+    query, ids, score = (np.concatenate(x) for x in zip(*parts))
+    order = np.lexsort((ids, ~score, query))
+    at = np.arange(len(order))
+    first = np.concatenate([[True], query[order][1:] != query[order][:-1]])
+    order = order[at - np.maximum.accumulate(np.where(first, at, 0)) < k]
+    return query[order], ids[order], score[order]
 
 
 def top_k(vectors: DataFrame, is_query: F.Column, k: int = 5, vec_id: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """query_id, rank, vec_id, score of each query's k best; ``is_query`` is a condition on vec_id."""
     rows = materialize(usable(vectors, vec_id, vector), "topk-vectors")
-    c = _numbered(rows.mapInArrow(_pack(CANDIDATES, k), _BLOCK), "topk-candidates")
-    q = _numbered(rows.where(is_query).repartition(F.shiftright("vec_id", 15)).mapInArrow(_pack(QUERIES, None), _BLOCK), "topk-queries")
-    c, q = (d.select(F.col("block").alias(f"{s}_block"), *[F.col(x).alias(f"{s}_{x}") for x in _BLOCK.names]) for d, s in ((c, "c"), (q, "q")))
-    # The stated queries against all rows: both sides carry the other's block numbers, and a
-    # cell is found by the pair. Numbers come from ranges, not from the blocks themselves.
+    spark = rows.sparkSession
+    c = materialize(_numbered(rows.mapInArrow(_pack(CANDIDATES, k), _BLOCK), "topk-candidates"), "topk-numbered")
+    q = materialize(_numbered(rows.where(is_query).repartition(F.shiftright("vec_id", 15)).mapInArrow(_pack(QUERIES, None), _BLOCK), "topk-queries"), "topk-numbered")
     n_q, n_c = q.count(), c.count()
     if not n_q or not n_c:
-        return rows.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score long")
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
+    # Few groups of queries, and so many of candidates that all cores have cells.
+    groups_q = -(-n_q // QUERY_GROUP)
+    per_c = max(1, min(CANDIDATE_GROUP, n_c * groups_q // (CELLS * spark.sparkContext.defaultParallelism)))
+    groups_c = -(-n_c // per_c)
+    cutoff = "array<struct<query_id: bigint, cutoff: bigint>>"
 
     def cells(queries: DataFrame, candidates: DataFrame) -> DataFrame:
-        mine = candidates.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_q - 1).cast("long"))).alias("q_block"))
-        return mine.join(queries.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_c - 1).cast("long"))).alias("c_block")), ["c_block", "q_block"])
+        mine = candidates.withColumn("side", F.lit(1)).withColumn("cutoffs", F.lit(None).cast(cutoff)).withColumn("_q", F.explode(F.expr(f"sequence(0L, {groups_q - 1}L)"))).withColumn("_c", F.expr(f"block div {per_c}"))
+        theirs = queries.withColumn("side", F.lit(0)).withColumn("_q", F.expr(f"block div {QUERY_GROUP}")).withColumn("_c", F.explode(F.expr(f"sequence(0L, {groups_c - 1}L)")))
+        both = mine.unionByName(theirs).withColumn("cell", F.col("_c") * groups_q + F.col("_q")).drop("_c", "_q")
+        return both.repartition(min(4 * groups_q * groups_c, 4000), "cell").sortWithinPartitions("cell", "side")
 
-    bounds = cells(q, c.mapInArrow(_only_heads, c.schema)).mapInArrow(_first(k), "q_block long, query_id long, bound long")
+    bounds = cells(q.withColumn("cutoffs", F.lit(None).cast(cutoff)), c.mapInArrow(_only_heads, c.schema)).mapInArrow(_first(k), "block long, query_id long, bound long")
+    bounds = materialize(bounds, "topk-bounds")
     best = bounds.withColumn("r", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("bound")))).where(F.col("r") <= k)
     reached = best.groupBy("query_id").agg(F.min("bound").alias("cutoff"), F.count("*").alias("n")).where(F.col("n") == k).select("query_id", "cutoff")
     # The rows of one query id can lie in several blocks; all get the same cutoff.
-    where = bounds.select("q_block", "query_id").distinct()
-    cutoffs = where.join(reached, "query_id").groupBy("q_block").agg(F.collect_list(F.struct("query_id", "cutoff")).alias("cutoffs"))
-    q = materialize(q.join(cutoffs, "q_block", "left"), "topk-cutoffs")
+    where = bounds.select("block", "query_id").distinct()
+    cutoffs = where.join(reached, "query_id").groupBy("block").agg(F.collect_list(F.struct("query_id", "cutoff")).alias("cutoffs"))
+    q = materialize(q.join(cutoffs, "block", "left"), "topk-cutoffs")
     found = cells(q, c).mapInArrow(_rest(k), "query_id long, vec_id long, score long")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

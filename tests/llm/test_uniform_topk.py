@@ -81,3 +81,16 @@ def test_query_matches_sql(spark, sf):
     for p in glob.glob(f"{sf}/*.parquet"):
         con.execute(f"CREATE VIEW {os.path.basename(p)[:-8]} AS SELECT * FROM '{p}'")
     assert {tuple(r) for r in queries.op4_topk(spark, sf).collect()} == set(con.execute(queries.oracle_sql()["op4_topk"]).fetchall())
+
+
+def test_cells_of_many_blocks(spark, monkeypatch):
+    """Groups of blocks on both sides give the result of brute force, and blocks of vectors never go through the driver."""
+    for name, value in (("CANDIDATES", 32), ("QUERIES", 8), ("QUERY_GROUP", 3), ("CANDIDATE_GROUP", 4)):
+        monkeypatch.setattr(uniform_topk, name, value)
+    rng = np.random.default_rng(9)
+    rows = [(i % 500, (rng.normal(size=7) * (1 if i % 9 else 300)).tolist()) for i in range(600)] + [(1000 + i, [0.25] * 7) for i in range(100)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(5)
+    found = uniform_topk.top_k(df, F.col("vec_id") % 3 == 0, 5)
+    assert Counter(tuple(r) for r in found.collect()) == brute(rows, lambda q: q % 3 == 0, 5)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert not [x for x in plan.splitlines() if "BroadcastHashJoin" in x and "block" in x]
