@@ -2,8 +2,11 @@
 
 A text has BANDS keys of ROWS least hashes each. Two texts of similarity s share a key with
 probability 1 - (1 - s**ROWS)**BANDS, 0.99995 at 0.8. The members of a key's bucket are compared
-with its smallest and its largest member, in buckets of up to FEW all with each other; what is
-linked already is not compared. Every link given has the similarity, by all its shingles.
+all with each other; what is linked already is not compared. In buckets of more than FEW that is done
+in two steps: first with the smallest and the largest member, which links most copies, then, where a
+bucket still has members that aren't linked, all pairs of those whose numbers of shingles allow the
+similarity, dealt into cells of parts of PART members. Every link given has the similarity, by all
+its shingles.
 
 Cases: letters A to Z are folded; a null text, or one of fewer words than a shingle, has no keys.
 """
@@ -18,11 +21,14 @@ from pyspark.sql import types as T
 
 from marlstone.llm.batches import map_texts, mix, powers, raw, window_hashes, word_hashes, words
 from marlstone.llm.spread import join_salted, join_spread
+from marlstone.operators.components import connected_components
 from marlstone.storage import materialize
 
 SHINGLE, BANDS, ROWS = 5, 25, 5
 #: Members of a bucket that are all compared with each other.
 FEW = 32
+#: Members of a larger bucket that meet in one cell.
+PART = 256
 #: Ids of texts to compare that are broadcast, 16 MB; more are joined by shuffling.
 FEW_IDS = 1_000_000
 
@@ -84,6 +90,46 @@ def _with_sets(docs: DataFrame, shingle: int) -> DataFrame:
     return map_texts(docs, "text", [T.StructField("shingles", T.ArrayType(T.LongType()))], work, without=("text",))
 
 
+def _sets_of(ids: DataFrame, texts: DataFrame, shingle: int) -> DataFrame:
+    """id, shingles and n, their number, of the texts named in ``ids`` (column i, distinct)."""
+    needed = materialize(ids, "bands-needed")
+    if needed.count() <= FEW_IDS:
+        needed = F.broadcast(needed)  # no text that isn't compared is shuffled
+    sets = _with_sets(texts.join(needed, F.col("id") == F.col("i"), "left_semi").dropDuplicates(["id"]), shingle)
+    return materialize(sets.withColumn("n", F.size("shingles")), "bands-sets")
+
+
+def _alike(found: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """u, v of the candidates a, b, u, v that have the similarity."""
+    one, two = (sets.select(F.col("id").alias(s), F.col("shingles").alias(f"s_{s}")) for s in ("a", "b"))
+    near = F.least(F.size("s_a"), F.size("s_b")) >= F.greatest(F.size("s_a"), F.size("s_b")) * F.lit(similarity - 1e-9)
+    shared = F.size(F.array_intersect("s_a", "s_b"))
+    alike = shared / (F.size("s_a") + F.size("s_b") - shared)
+    return join_salted(join_salted(found, one, "a"), two, "b").where(near).where(alike >= F.lit(similarity - 1e-9)).select("u", "v")
+
+
+def _rest(many: DataFrame, linked: DataFrame, texts: DataFrame, similarity: float, shingle: int) -> DataFrame | None:
+    """u, v: links between members of large buckets (id, group, key) that ``linked`` leaves apart; None if it leaves none."""
+    whole = connected_components(linked, "bands-linked")
+    many = many.join(whole, F.col("group") == F.col("node"), "left").select("id", "key", "group", F.coalesce("component", "group").alias("whole"))
+    many = materialize(many, "bands-many")
+    mixed = many.groupBy("key").agg(F.min("whole").alias("lo"), F.max("whole").alias("hi"), F.count("*").alias("rows")).where("lo <> hi")
+    mixed = materialize(mixed.select("key", F.ceil(F.col("rows") / PART).cast("int").alias("parts"), "rows"), "bands-mixed")
+    if mixed.isEmpty():
+        return None
+    rows = materialize(join_spread(many, mixed, ["key"], "rows"), "bands-apart")
+    sets = _sets_of(rows.select(F.col("id").alias("i")).distinct(), texts, shingle)
+    rows = join_salted(rows, sets.select("id", "n"), "id")
+    # Part p meets every part q in the cell of the unordered pair (p, q).
+    own = F.expr("cast(pmod(xxhash64(id), parts) as int)")
+    cells = F.explode(F.transform(F.expr("sequence(0, parts - 1)"), lambda q: F.least(q, own).cast("long") * F.col("parts") + F.greatest(q, own)))
+    rows = rows.select("key", cells.alias("cell"), "id", "group", "whole", "n")
+    x, y = (rows.select("key", "cell", F.col("id").alias(s), F.col("group").alias(t), F.col("whole").alias(f"w_{s}"), F.col("n").alias(f"n_{s}")) for s, t in (("a", "u"), ("b", "v")))
+    near = F.least("n_a", "n_b") >= F.greatest("n_a", "n_b") * F.lit(similarity - 1e-9)
+    found = x.join(y, ["key", "cell"]).where((F.col("a") < F.col("b")) & (F.col("w_a") != F.col("w_b")) & near).select("a", "b", "u", "v").distinct()
+    return _alike(materialize(found, "bands-rest"), sets, similarity)
+
+
 def links(banded: DataFrame, texts: DataFrame, similarity: float, shingle: int = SHINGLE) -> DataFrame:
     """u, v: groups that hold two texts of the similarity.
 
@@ -102,12 +148,10 @@ def links(banded: DataFrame, texts: DataFrame, similarity: float, shingle: int =
     of = banded.select("id", "group")
     found = found.join(of.select(F.col("id").alias("a"), F.col("group").alias("u")), "a").join(of.select(F.col("id").alias("b"), F.col("group").alias("v")), "b").where("u <> v")
     found = materialize(found.select("a", "b", "u", "v"), "bands-candidates")
-    needed = materialize(found.select(F.explode(F.array("a", "b")).alias("i")).distinct(), "bands-needed")
-    if needed.count() <= FEW_IDS:
-        needed = F.broadcast(needed)  # no text that isn't compared is shuffled
-    sets = materialize(_with_sets(texts.join(needed, F.col("id") == F.col("i"), "left_semi").dropDuplicates(["id"]), shingle), "bands-sets")
-    one, two = (sets.select(F.col("id").alias(s), F.col("shingles").alias(f"s_{s}")) for s in ("a", "b"))
-    near = F.least(F.size("s_a"), F.size("s_b")) >= F.greatest(F.size("s_a"), F.size("s_b")) * F.lit(similarity - 1e-9)
-    shared = F.size(F.array_intersect("s_a", "s_b"))
-    alike = shared / (F.size("s_a") + F.size("s_b") - shared)
-    return join_salted(join_salted(found, one, "a"), two, "b").where(near).where(alike >= F.lit(similarity - 1e-9)).select("u", "v")
+    sets = _sets_of(found.select(F.explode(F.array("a", "b")).alias("i")).distinct(), texts, shingle)
+    linked = materialize(_alike(found, sets, similarity), "bands-links")
+    large = spots.where(F.col("n") > FEW)
+    if large.isEmpty():
+        return linked
+    rest = _rest(large.select("id", "key").join(of, "id"), linked, texts, similarity, shingle)
+    return linked if rest is None else linked.union(rest)

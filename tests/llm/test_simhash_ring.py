@@ -143,3 +143,32 @@ def test_stage_links_near_copies(spark, sf):
         far += (plain(rows[0][1]) ^ plain(rows[-1][1])).bit_count() > simhash_ring.DISTANCE
     assert far
     assert [r.doc_id for r in corpus_pipeline.near_duplicates(spark, documents(spark, rows), sf).collect()] == [1]
+
+
+def test_large_buckets_lose_no_link(spark):
+    """One bucket of families of like texts: every family is linked, not only those of the smallest and the largest member."""
+    import random
+
+    from marlstone.llm import shingle_bands
+
+    pick, texts = random.Random(1), []
+    for family in range(120):
+        words = [f"w{family}x{i}" for i in range(100)]
+        for copy in range(5):
+            mine = list(words)
+            mine[pick.randrange(100)] = f"new{family}and{copy}"
+            texts.append((len(texts) * 7919 % 600, family, " ".join(mine)))
+    assert len({i for i, _, _ in texts}) == 600 > shingle_bands.PART > shingle_bands.FEW
+    rows = spark.createDataFrame([(i, 1000 + i, [5]) for i, _, _ in texts], "id long, group long, bands array<long>")
+    found = shingle_bands.links(rows, spark.createDataFrame([(i, t) for i, _, t in texts], "id long, text string"), 0.8).collect()
+    family, root = {1000 + i: f for i, f, _ in texts}, {1000 + i: 1000 + i for i, _, _ in texts}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for u, v in found:
+        assert family[u] == family[v]
+        root[find(u)] = find(v)
+    assert len({find(i) for i in root}) == 120
