@@ -139,3 +139,32 @@ def test_mixed_document():
     bad = "\n".join("BUY!! NOW!! ###*** CLICK!! $$$ &&& |||" for _ in range(12))
     out = line_crf.judge(pa.array([good + "\n" + bad]), line_crf.prior_weights())
     assert out["n_lines"][0] == 18 and 0 < out["content_share"][0] < 1
+
+
+def test_threshold_and_model_are_of_all_labels(spark, monkeypatch):
+    """The first guess sees few documents; the share is the best one of all, and the gradient over all lines is still."""
+    import numpy as np
+
+    from marlstone.llm import line_crf
+
+    rng = np.random.default_rng(6)
+    docs, labels = [], []
+    for i in range(400):
+        lines = [" ".join(f"word{rng.integers(500)}" for _ in range(9)) if rng.random() < (0.85 if i % 2 else 0.3) else "BUY $$$ NOW !!! ### <<< " + "!" * int(rng.integers(1, 9)) for _ in range(int(rng.integers(2, 14)))]
+        docs.append((i, "\n".join(lines)))
+        labels.append((i, i % 2))
+    d, l = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, quality int")
+    monkeypatch.setattr(line_crf, "TRAIN_DOCS", 40)
+    weights = line_crf.train(d, l)
+    _, features, chars, first = line_crf.measure(pa.array([t for _, t in docs]))
+    features, chars = features.astype(np.float32).astype(float), chars.astype(np.float32).astype(float)
+    content = line_crf.viterbi(features @ weights["emit"], first, weights) == 0
+    shares = np.add.reduceat(chars * content, first[:-1]) / np.add.reduceat(chars, first[:-1])
+    kinds = np.array([1 - q for _, q in labels])
+    assert float(weights["share"]) == line_crf.best_share(shares, kinds)
+    chains = [features[a:b] for a, b in zip(first[:-1], first[1:])]
+    last = line_crf.line_weights(chains, kinds)[-1]
+    batches, n = line_crf._batches(chains, line_crf.line_labels(chains, kinds, last))
+    w = {k: v for k, v in weights.items() if k != "share"}
+    slope, pull = line_crf._slope(batches, w, 1 / n), line_crf._pull(w)
+    assert max(np.abs(slope[k] + pull[k]).max() for k in w) < 2 * line_crf.STILL
