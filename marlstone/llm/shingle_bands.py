@@ -3,10 +3,11 @@
 A text has BANDS keys of ROWS least hashes each. Two texts of similarity s share a key with
 probability 1 - (1 - s**ROWS)**BANDS, 0.99995 at 0.8. The members of a key's bucket are compared
 all with each other; what is linked already is not compared. In buckets of more than FEW that is done
-in two steps: first with the smallest and the largest member, which links most copies, then, where a
-bucket still has members that aren't linked, all pairs of those whose numbers of shingles allow the
-similarity, dealt into cells of parts of PART members. Every link given has the similarity, by all
-its shingles.
+in two steps: first with the smallest and the largest member, which links most copies, then, where
+buckets still have members that aren't linked, all pairs of these buckets' members. Those that share
+members are one crowd, dealt into cells of parts of PART members; a task has the whole sets of a
+cell, so that no pair is written, only what links the cell. Every link given has the similarity, by
+all its shingles, or is one of a component of such links.
 
 Cases: letters A to Z are folded; a null text, or one of fewer words than a shingle, has no keys.
 """
@@ -21,14 +22,18 @@ from pyspark.sql import types as T
 
 from marlstone.llm.batches import map_texts, mix, powers, raw, window_hashes, word_hashes, words
 from marlstone.llm.spread import join_salted, join_spread
-from marlstone.operators.components import connected_components
+from marlstone.operators.components import connected_components, lowest
 from marlstone.storage import materialize
 
 SHINGLE, BANDS, ROWS = 5, 25, 5
 #: Members of a bucket that are all compared with each other.
 FEW = 32
-#: Members of a larger bucket that meet in one cell.
-PART = 256
+#: Members of larger buckets that are a part, about, and their shingles at most; two parts meet in a cell.
+PART, PART_SHINGLES = 256, 1 << 20
+#: Columns of a cell's table of shingles at once.
+WIDE = 4096
+#: Links, 16 MB, whose components one task finds; of more they are found in rounds.
+FEW_LINKS = 1 << 20
 #: Ids of texts to compare that are broadcast, 16 MB; more are joined by shuffling.
 FEW_IDS = 1_000_000
 
@@ -108,26 +113,54 @@ def _alike(found: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     return join_salted(join_salted(found, one, "a"), two, "b").where(near).where(alike >= F.lit(similarity - 1e-9)).select("u", "v")
 
 
-def _rest(many: DataFrame, linked: DataFrame, texts: DataFrame, similarity: float, shingle: int) -> DataFrame | None:
-    """u, v: links between members of large buckets (id, group, key) that ``linked`` leaves apart; None if it leaves none."""
-    whole = connected_components(linked, "bands-linked")
+def _linked_in(similarity: float):
+    """What gives, of a cell of texts in one part or two (group, whole, own, shingles), u, v: links that join all groups it finds alike."""
+
+    def one(cell: pa.Table) -> pa.Table:
+        cell = cell.combine_chunks()
+        group, whole, own = (cell.column(c).to_numpy() for c in ("group", "whole", "own"))
+        lists = cell.column("shingles").combine_chunks()
+        n = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+        _, at, times = np.unique(lists.flatten().to_numpy(zero_copy_only=False), return_inverse=True, return_counts=True)
+        met = times > 1  # shingles of one text only add nothing
+        column, owner = (np.cumsum(met) - 1)[at], np.repeat(np.arange(len(n)), n)
+        column, owner = column[met[at]], owner[met[at]]
+        order = np.argsort(column, kind="stable")
+        column, owner = column[order], owner[order]
+        a, b = np.flatnonzero(own == own.min()), np.flatnonzero(own == own.max())
+        shared = np.zeros((len(a), len(b)))
+        for first in range(0, int(met.sum()), WIDE):
+            i, j = np.searchsorted(column, [first, first + WIDE])
+            has = np.zeros((len(n), WIDE), np.float32)
+            has[owner[i:j], column[i:j] - first] = 1
+            shared += has[a] @ has[b].T
+        alike = shared / (n[a][:, None] + n[b] - shared) >= similarity - 1e-9
+        x, y = np.nonzero(alike & (whole[a][:, None] != whole[b]))
+        u, v = lowest(group[a][x], group[b][y])
+        return pa.table({"u": u[u != v], "v": v[u != v]})
+
+    return one
+
+
+def _rest(many: DataFrame, whole: DataFrame, sets: DataFrame, similarity: float) -> DataFrame | None:
+    """u, v: links between members of large buckets (id, group, key) that the components ``whole`` leave apart; None if all are together."""
     many = many.join(whole, F.col("group") == F.col("node"), "left").select("id", "key", "group", F.coalesce("component", "group").alias("whole"))
     many = materialize(many, "bands-many")
-    mixed = many.groupBy("key").agg(F.min("whole").alias("lo"), F.max("whole").alias("hi"), F.count("*").alias("rows")).where("lo <> hi")
-    mixed = materialize(mixed.select("key", F.ceil(F.col("rows") / PART).cast("int").alias("parts"), "rows"), "bands-mixed")
-    if mixed.isEmpty():
+    mixed = many.groupBy("key").agg(F.min("whole").alias("lo"), F.max("whole").alias("hi")).where("lo <> hi")
+    rows = materialize(many.join(mixed, "key", "left_semi"), "bands-apart")
+    if rows.isEmpty():
         return None
-    rows = materialize(join_spread(many, mixed, ["key"], "rows"), "bands-apart")
-    sets = _sets_of(rows.select(F.col("id").alias("i")).distinct(), texts, shingle)
-    rows = join_salted(rows, sets.select("id", "n"), "id")
+    # Buckets that share a member are one crowd, so that two texts meet once and not for each of their keys.
+    crowds = connected_components(rows.select(F.col("id").alias("u"), F.col("key").alias("v")), "bands-crowds", FEW_LINKS)
+    once = rows.groupBy("id").agg(F.first("group").alias("group"), F.first("whole").alias("whole"))
+    once = once.join(crowds.select(F.col("node").alias("id"), F.col("component").alias("crowd")), "id")
+    once = materialize(once.join(sets.select("id", "n"), "id"), "bands-once")
+    parts = F.ceil(F.greatest(F.count("*") / PART, F.sum("n") / PART_SHINGLES)).cast("int")
+    dealt = once.join(once.groupBy("crowd").agg(parts.alias("parts")), "crowd").withColumn("own", F.expr("cast(pmod(xxhash64(id), parts) as int)"))
     # Part p meets every part q in the cell of the unordered pair (p, q).
-    own = F.expr("cast(pmod(xxhash64(id), parts) as int)")
-    cells = F.explode(F.transform(F.expr("sequence(0, parts - 1)"), lambda q: F.least(q, own).cast("long") * F.col("parts") + F.greatest(q, own)))
-    rows = rows.select("key", cells.alias("cell"), "id", "group", "whole", "n")
-    x, y = (rows.select("key", "cell", F.col("id").alias(s), F.col("group").alias(t), F.col("whole").alias(f"w_{s}"), F.col("n").alias(f"n_{s}")) for s, t in (("a", "u"), ("b", "v")))
-    near = F.least("n_a", "n_b") >= F.greatest("n_a", "n_b") * F.lit(similarity - 1e-9)
-    found = x.join(y, ["key", "cell"]).where((F.col("a") < F.col("b")) & (F.col("w_a") != F.col("w_b")) & near).select("a", "b", "u", "v").distinct()
-    return _alike(materialize(found, "bands-rest"), sets, similarity)
+    cells = F.explode(F.transform(F.expr("sequence(0, parts - 1)"), lambda q: F.least(q, F.col("own")).cast("long") * F.col("parts") + F.greatest(q, F.col("own"))))
+    dealt = dealt.join(sets.select("id", "shingles"), "id").select("crowd", cells.alias("cell"), "group", "whole", "own", "shingles")
+    return materialize(dealt.groupBy("crowd", "cell").applyInArrow(_linked_in(similarity), "u long, v long"), "bands-rest")
 
 
 def links(banded: DataFrame, texts: DataFrame, similarity: float, shingle: int = SHINGLE) -> DataFrame:
@@ -138,20 +171,23 @@ def links(banded: DataFrame, texts: DataFrame, similarity: float, shingle: int =
     spots = banded.select("id", "group", F.explode("bands").alias("key"))
     # Most keys have one group; they go before anything else is gathered of them.
     met = spots.groupBy("key").agg(F.min("group").alias("g"), F.max("group").alias("most")).where(F.col("g") != F.col("most"))
-    spots = materialize(spots.select("id", "key").join(met.select(F.col("key").alias("k")), F.col("key") == F.col("k"), "left_semi"), "bands-shared")
-    sizes = materialize(spots.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi"), F.count("*").alias("n"), F.count("*").alias("rows")), "bands-sizes")
+    spots = spots.join(met.select(F.col("key").alias("k")), F.col("key") == F.col("k"), "left_semi")
+    spots = materialize(spots.select(F.struct("id", "group").alias("one"), "key"), "bands-shared")
+    sizes = materialize(spots.groupBy("key").agg(F.min("one").alias("lo"), F.max("one").alias("hi"), F.count("*").alias("n"), F.count("*").alias("rows")), "bands-sizes")
     spots = materialize(join_spread(spots, sizes, ["key"], "rows"), "bands-met")
-    few = spots.where(F.col("n") <= FEW).groupBy("key").agg(F.collect_list("id").alias("ids"))
-    few = few.select(F.explode("ids").alias("a"), "ids").select("a", F.explode("ids").alias("b"))
-    many = spots.where(F.col("n") > FEW).select("id", F.explode(F.array("lo", "hi")).alias("b"))
-    found = few.union(many).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct()
-    of = banded.select("id", "group")
-    found = found.join(of.select(F.col("id").alias("a"), F.col("group").alias("u")), "a").join(of.select(F.col("id").alias("b"), F.col("group").alias("v")), "b").where("u <> v")
-    found = materialize(found.select("a", "b", "u", "v"), "bands-candidates")
-    sets = _sets_of(found.select(F.explode(F.array("a", "b")).alias("i")).distinct(), texts, shingle)
+    few = spots.where(F.col("n") <= FEW).groupBy("key").agg(F.collect_list("one").alias("all"))
+    few = few.select(F.explode("all").alias("x"), "all").select("x", F.explode("all").alias("y"))
+    many = spots.where(F.col("n") > FEW).select(F.col("one").alias("x"), F.explode(F.array("lo", "hi")).alias("y"))
+    found = few.union(many).where("x.group <> y.group").select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"))
+    found = found.select(F.col("x.id").alias("a"), F.col("y.id").alias("b"), F.col("x.group").alias("u"), F.col("y.group").alias("v")).distinct()
+    found = materialize(found, "bands-candidates")
+    large = spots.where(F.col("n") > FEW).select("one.id", "key", "one.group")
+    needed = found.select(F.explode(F.array("a", "b")).alias("i")).union(large.select("id"))
+    sets = _sets_of(needed.distinct(), texts, shingle)
     linked = materialize(_alike(found, sets, similarity), "bands-links")
-    large = spots.where(F.col("n") > FEW)
     if large.isEmpty():
         return linked
-    rest = _rest(large.select("id", "key").join(of, "id"), linked, texts, similarity, shingle)
-    return linked if rest is None else linked.union(rest)
+    whole = connected_components(linked, "bands-linked", FEW_LINKS)
+    rest = _rest(large, whole, sets, similarity)
+    stars = whole.select(F.col("node").alias("u"), F.col("component").alias("v"))
+    return stars if rest is None else stars.union(rest)

@@ -242,20 +242,20 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     return join_spread(rows, ids, ["fp"], "n").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def _labels(rows: DataFrame) -> DataFrame:
-    """fp, first_id (its smallest doc_id), n (its rows) and component of every fingerprint in ``rows``."""
+def _labels(rows: DataFrame, few: int = 0) -> DataFrame:
+    """fp, first_id (its smallest doc_id), n (its rows) and component of every fingerprint in ``rows``; up to ``few`` links by one task."""
     first = materialize(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("n")), "simhash-distinct")
-    found = connected_components(links(first), "simhash-links")
+    found = connected_components(links(first), "simhash-links", few)
     return first.join(found.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "first_id", "n", F.coalesce("component", "fp").alias("component"))
 
 
 def _labels_alike(rows: DataFrame, texts: DataFrame, similarity: float, shingle: int) -> DataFrame:
     """Like _labels, and components that hold texts of the similarity are one; ``rows`` have digest and bands too."""
-    of = materialize(_labels(rows), "simhash-labels")
+    of = materialize(_labels(rows, shingle_bands.FEW_LINKS), "simhash-labels")
     once = rows.groupBy("digest").agg(F.first("fp").alias("fp"), F.first("bands").alias("bands"))
     banded = materialize(join_spread(once, of.select("fp", F.col("component").alias("group"), "n"), ["fp"], "n").select(F.xxhash64("digest").alias("id"), "group", "bands"), "bands")
     texts = texts.select(F.xxhash64("digest").alias("id"), "text")
-    found = connected_components(shingle_bands.links(banded, texts, similarity, shingle), "shingle-links").withColumnRenamed("component", "whole")
+    found = connected_components(shingle_bands.links(banded, texts, similarity, shingle), "shingle-links", shingle_bands.FEW_LINKS).withColumnRenamed("component", "whole")
     return of.join(found, F.col("component") == F.col("node"), "left").select("fp", "first_id", F.coalesce("whole", "component").alias("component"))
 
 
@@ -275,7 +275,7 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", simila
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     rows = texts = rows.withColumn("digest", F.md5(F.coalesce("text", F.lit(""))))
     rows = materialize(with_fingerprints(rows, bands=None if similarity is None else shingle, without=("text",)), "simhash-rows")
-    of = _labels(rows) if similarity is None else _labels_alike(rows, texts, similarity, shingle)
+    of = _labels(rows, shingle_bands.FEW_LINKS) if similarity is None else _labels_alike(rows, texts, similarity, shingle)
     of = of.select(F.col("fp").alias("of_fp"), "component")
     # A fingerprint's own best row first, so that copies are gone before the components meet.
     own = rows.groupBy("fp").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "digest")).alias("best"))

@@ -11,15 +11,16 @@ from marlstone.storage import materialize
 HOT = 2000
 
 
-def join_spread(many: DataFrame, one: DataFrame, keys: list[str], count: str) -> DataFrame:
+def join_spread(many: DataFrame, one: DataFrame, keys: list[str], count: str, total: int | None = None) -> DataFrame:
     """The inner join of ``many`` with ``one``, which has a row for each key and its number of rows of ``many``.
 
     Hot keys, fewer than HOT rows of ``one``, are broadcast, and the rows of ``many`` that have
     them are not shuffled. The rest is joined by shuffling; no key there has many rows. Null
     keys find nothing. ``one`` should be a table or cheap: it is read three times. Its ``count`` is not
-    in the result.
+    in the result. ``total`` is the sum of ``count``, if it is known.
     """
-    total = one.agg(F.sum(count).alias("n")).first()["n"] or 0
+    if total is None:
+        total = one.agg(F.sum(count).alias("n")).first()["n"] or 0
     is_hot = F.col(count) * F.lit(HOT) > F.lit(int(total))
     hot, cold = one.where(is_hot).drop(count), one.where(~is_hot).drop(count)
     few = F.broadcast(hot)
@@ -35,6 +36,6 @@ def join_salted(many: DataFrame, one: DataFrame, key: str, least: int = 1000) ->
     counts = materialize(many.groupBy(key).agg(F.count("*").alias("_n")), "salted-counts")
     total = counts.agg(F.sum("_n").alias("n")).first()["n"] or 0
     cells = counts.withColumn("_cells", F.ceil(F.col("_n") / F.lit(max(least, int(total) // HOT))).cast("int"))
-    dealt = join_spread(many, cells, [key], "_n").withColumn("_cell", F.expr(f"cast(pmod(xxhash64({', '.join(f'`{c}`' for c in many.columns)}), _cells) as int)")).drop("_cells")
+    dealt = join_spread(many, cells, [key], "_n", int(total)).withColumn("_cell", F.expr(f"cast(pmod(xxhash64({', '.join(f'`{c}`' for c in many.columns)}), _cells) as int)")).drop("_cells")
     copied = one.join(cells.select(key, "_cells"), key).withColumn("_cell", F.explode(F.expr("sequence(0, _cells - 1)"))).drop("_cells")
     return dealt.join(copied, [key, "_cell"]).drop("_cell")

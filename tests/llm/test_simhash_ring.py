@@ -172,3 +172,49 @@ def test_large_buckets_lose_no_link(spark):
         assert family[u] == family[v]
         root[find(u)] = find(v)
     assert len({find(i) for i in root}) == 120
+
+
+def test_large_buckets_write_no_pairs(spark, monkeypatch):
+    """One bucket of unlike texts and two families: tables grow with the members, not with their pairs, and the families are linked."""
+    from marlstone.llm import shingle_bands
+
+    rng, sizes = random.Random(2), {}
+    texts = [(i, " ".join(f"w{i}x{k}" for k in range(40))) for i in range(1000)]
+    for family in range(2):
+        words = [f"f{family}x{k}" for k in range(100)]
+        texts += [(1000 + 300 * family + i, " ".join(w if k != i % 100 else f"new{i}" for k, w in enumerate(words))) for i in range(300)]
+    rng.shuffle(texts)
+    write = shingle_bands.materialize
+
+    def watched(df, name):
+        made = write(df, name)
+        sizes[name] = max(sizes.get(name, 0), made.count())
+        return made
+
+    monkeypatch.setattr(shingle_bands, "materialize", watched)
+    rows = spark.createDataFrame([(i, 5000 + i, [7, 8]) for i, _ in texts], "id long, group long, bands array<long>")
+    found = shingle_bands.links(rows, spark.createDataFrame(texts, "id long, text string"), 0.8).collect()
+    assert max(sizes.values()) < 4 * len(texts), sizes
+    root = {5000 + i: 5000 + i for i, _ in texts}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for u, v in found:
+        assert (u - 6000) // 300 == (v - 6000) // 300 in (0, 1)
+        root[find(u)] = find(v)
+    assert len({find(i) for i in root}) == 1002
+
+
+def test_few_jobs(spark):
+    """The driver keeps something of every job; links that one task can join take no rounds."""
+    rows = [(10 * g + k, prose(120, 700 + g) + f" one more {k}" * (k > 0)) for g in range(20) for k in range(3)]
+    spark.sparkContext.setJobGroup("few-jobs", "")
+    try:
+        kept = {r.doc_id for r in simhash_ring.keep_one(documents(spark, rows), similarity=0.8).collect()}
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert kept == {10 * g for g in range(20)}
+    assert 0 < len(spark.sparkContext.statusTracker().getJobIdsForGroup("few-jobs")) < 100

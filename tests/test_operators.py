@@ -398,3 +398,16 @@ def test_common_hashes_make_no_candidates(spark, monkeypatch):
     for kept in (0, 7):  # no hash, or few, known to be frequent
         monkeypatch.setattr(neardup, "MOST_FREQUENT", kept)
         assert {(r.a, r.b) for r in neardup.similar_pairs(sketched).collect()} == want
+
+
+def test_components_in_one_task(spark):
+    """Few links are joined by one task with the same result as in rounds; more than ``few`` go in rounds."""
+    rng = random.Random(8)
+    edges = [(i, i + 1) for i in range(-300, 0)] + [(5000, 1000 + i) for i in range(300)] + [(rng.randrange(2000, 2300), rng.randrange(2000, 2300)) for _ in range(150)] + [(7, 7), (1 << 62, -(1 << 62))]
+    rng.shuffle(edges)
+    links = spark.createDataFrame(edges, "u long, v long")
+    want = rows_of(components.connected_components(links), "node", "component")
+    assert len(want) == len(dict(want)) > 600
+    assert sorted(rows_of(components.connected_components(links, few=10_000), "node", "component")) == sorted(want)
+    assert sorted(rows_of(components.connected_components(links, few=100), "node", "component")) == sorted(want)
+    assert components.connected_components(links.limit(0), few=100).count() == 0
